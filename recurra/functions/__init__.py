@@ -16,7 +16,7 @@ from recurra.functions.labels import (
     trend_shade,
 )
 from recurra.functions.numeric import fixed_text, pct_of, round_half_even
-from recurra.functions.text import zero_padded
+from recurra.functions.text import padded_id
 
 __all__ = [
     "churn_trend",
@@ -30,6 +30,7 @@ __all__ = [
     "lookup",
     "month_distance",
     "month_start",
+    "padded_id",
     "pct_label",
     "pct_of",
     "period",
@@ -38,5 +39,4 @@ __all__ = [
     "trend_class",
     "trend_label",
     "trend_shade",
-    "zero_padded",
 ]

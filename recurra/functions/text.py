@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
 
+def padded_id(prefix: str, key: str, width: int = 10) -> str:
+    """SQL text of ``prefix`` plus the key with leading zeros.
 
-def zero_padded(number: Column, width: int = 10) -> Column:
-    """``number`` as text with leading zeros; longer numbers are kept whole.
-
-    A bare ``lpad`` cuts values wider than ``width``, which would merge keys.
+    A bare ``lpad`` cuts keys wider than ``width``, which would merge them;
+    here they are kept whole.
     """
-    digits = number.cast("string")
-    return F.lpad(digits, F.greatest(F.length(digits), F.lit(width)), F.lit("0"))
+    digits = f"CAST({key} AS STRING)"
+    return f"concat('{prefix}', lpad({digits}, greatest(length({digits}), {width}), '0'))"

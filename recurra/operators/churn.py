@@ -175,9 +175,12 @@ def billing_risk(
     moment = lenient_timestamp(F.col("event_date"), events.schema["event_date"].dataType)
     if latest is None:
         latest = events.agg(F.max(moment)).scalar()
+    # Without any date there is no cutoff and every failure counts.
+    never = F.lit("0001-01-01").cast("timestamp_ntz")
+    cutoff = F.coalesce(latest.cast("timestamp_ntz") - F.expr(f"INTERVAL {int(days)} DAYS"), never)
     failures = (
         events.filter((F.col("event_type") == FAILED) & F.col("tenant_id").isNotNull())
-        .filter(latest.isNull() | (moment >= latest - F.expr(f"INTERVAL {int(days)} DAYS")))
+        .filter(F.coalesce(moment.cast("timestamp_ntz"), never) >= cutoff)
         .groupBy("tenant_id")
         .agg(F.count("*").alias("failure_count"))
         .orderBy(F.desc("failure_count"), "tenant_id")

@@ -5,27 +5,27 @@ The rules are set out in FIXTURES.md section 4.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recurra.functions import zero_padded
-from recurra.schemas import CANCELLED, CREATED, CURRENCY, FAILED, PAID
+from recurra.functions import padded_id
 
+# Column types of the shared tables, so that a read needs no look at a file.
+TABLES = {
+    "orders": "o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE, "
+    "o_orderdate TIMESTAMP_NTZ, o_orderpriority STRING",
+    "customer": "c_custkey BIGINT, c_name STRING, c_nationkey INT, c_acctbal DOUBLE, c_mktsegment STRING",
+    "nation": "n_nationkey INT, n_name STRING, n_regionkey INT",
+    "events": "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING",
+}
 
-def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
-def _every(key: Column, n: int) -> Column:
-    return key % n == 0
 
-
-def _tenant_id(custkey: Column) -> Column:
-    return F.concat(F.lit("TNT_"), zero_padded(custkey))
+def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.schema(TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _orders_with_first_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders plus ``is_first``, true on each customer's earliest order.
+    """Orders plus ``first_key``, set on each customer's earliest order.
 
     The earliest order comes from an aggregate (combined map-side) and is
     joined back on the unique order key, so a customer with very many orders
@@ -33,84 +33,62 @@ def _orders_with_first_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     orders = read_table(spark, sf_dir, "orders")
     first_orders = orders.groupBy("o_custkey").agg(
-        F.min(F.struct("o_orderdate", "o_orderkey"))["o_orderkey"].alias("first_key")
+        F.expr("min(struct(o_orderdate, o_orderkey)).o_orderkey AS first_key")
     )
-    return orders.join(
-        first_orders.select("first_key"), F.col("o_orderkey") == F.col("first_key"), "left"
-    ).withColumn("is_first", F.col("first_key").isNotNull())
+    return orders.join(first_orders.select("first_key"), F.expr("o_orderkey = first_key"), "left")
 
 
 def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One billing event per order, with rule violations sprinkled in."""
-    key, slot = F.col("o_orderkey"), F.col("o_orderkey") % 1000
-    true_type = (
-        F.when(F.col("is_first"), CREATED)
-        .when(slot < 700, PAID)
-        .when(slot < 780, FAILED)
-        .when(slot < 860, "subscription_upgraded")
-        .when(slot < 910, "subscription_downgraded")
-        .when(slot < 925, CANCELLED)
-        .when(slot < 963, "trial_started")
-        .otherwise("trial_converted")
-    )
-    kind = F.col("true_type")
-    plan = (
-        F.when(F.col("o_orderpriority") == "1-URGENT", "enterprise")
-        .when(F.col("o_orderpriority") == "2-HIGH", "business")
-        .when(F.col("o_orderpriority") == "3-MEDIUM", "growth")
-        .otherwise("starter")
-    )
-    amount = (
-        F.when(_every(key, 223), -100)
-        .when(~kind.isin(PAID, CREATED) | _every(key, 97), 0)
-        .otherwise(F.floor("o_totalprice").cast("int"))
-    )
-    status = (
-        F.when(kind == FAILED, "failed")
-        .when((kind == PAID) & _every(key, 41), "pending")
-        .otherwise("success")
-    )
-    return (
-        _orders_with_first_flag(spark, sf_dir)
-        .withColumn("true_type", true_type)
-        .select(
-            F.when(~_every(key, 227), F.concat(F.lit("EVT_"), zero_padded(key))).alias("event_id"),
-            F.when(~_every(key, 229), _tenant_id(F.col("o_custkey"))).alias("tenant_id"),
-            F.when(_every(key, 211), "unknown_type").otherwise(kind).alias("event_type"),
-            plan.alias("plan"),
-            amount.alias("amount"),
-            F.lit(CURRENCY).alias("currency"),
-            F.when(~_every(key, 233), F.col("o_orderdate")).alias("event_date"),
-            status.alias("status"),
-            F.when(~_every(key, 43), F.concat(F.lit("INV_"), zero_padded(key))).alias("invoice_id"),
-            (1 + key % 20).cast("int").alias("seats"),
-            (F.col("is_first") & _every(F.col("o_custkey"), 2)).alias("trial"),
-        )
+    true_type = """CASE
+        WHEN first_key IS NOT NULL THEN 'subscription_created'
+        WHEN o_orderkey % 1000 < 700 THEN 'invoice_paid'
+        WHEN o_orderkey % 1000 < 780 THEN 'invoice_failed'
+        WHEN o_orderkey % 1000 < 860 THEN 'subscription_upgraded'
+        WHEN o_orderkey % 1000 < 910 THEN 'subscription_downgraded'
+        WHEN o_orderkey % 1000 < 925 THEN 'subscription_cancelled'
+        WHEN o_orderkey % 1000 < 963 THEN 'trial_started'
+        ELSE 'trial_converted' END"""
+    is_first = "first_key IS NOT NULL"
+    is_paid = f"(NOT {is_first} AND o_orderkey % 1000 < 700)"
+    is_failed = f"(NOT {is_first} AND o_orderkey % 1000 BETWEEN 700 AND 779)"
+    return _orders_with_first_flag(spark, sf_dir).selectExpr(
+        f"IF(o_orderkey % 227 = 0, NULL, {padded_id('EVT_', 'o_orderkey')}) AS event_id",
+        f"IF(o_orderkey % 229 = 0, NULL, {padded_id('TNT_', 'o_custkey')}) AS tenant_id",
+        f"IF(o_orderkey % 211 = 0, 'unknown_type', {true_type}) AS event_type",
+        """CASE o_orderpriority WHEN '1-URGENT' THEN 'enterprise' WHEN '2-HIGH' THEN 'business'
+            WHEN '3-MEDIUM' THEN 'growth' ELSE 'starter' END AS plan""",
+        f"""CASE WHEN o_orderkey % 223 = 0 THEN -100 WHEN o_orderkey % 97 = 0 THEN 0
+            WHEN {is_first} OR {is_paid} THEN CAST(floor(o_totalprice) AS INT) ELSE 0 END AS amount""",
+        "'INR' AS currency",
+        "IF(o_orderkey % 233 = 0, NULL, o_orderdate) AS event_date",
+        f"""CASE WHEN {is_failed} THEN 'failed' WHEN {is_paid} AND o_orderkey % 41 = 0 THEN 'pending'
+            ELSE 'success' END AS status""",
+        f"IF(o_orderkey % 43 = 0, NULL, {padded_id('INV_', 'o_orderkey')}) AS invoice_id",
+        "CAST(1 + o_orderkey % 20 AS INT) AS seats",
+        f"{is_first} AND o_custkey % 2 = 0 AS trial",
     )
 
 
 def tenants(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tenant dimension from customers; every 101st customer is left out."""
-    customers = read_table(spark, sf_dir, "customer").filter(~_every(F.col("c_custkey"), 101))
+    customers = read_table(spark, sf_dir, "customer").filter("c_custkey % 101 <> 0")
     nations = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     signups = (
         read_table(spark, sf_dir, "orders")
-        .groupBy(F.col("o_custkey").alias("c_custkey"))
-        .agg(F.min("o_orderdate").cast("date").cast("string").alias("signup_date"))
-    )
-    slot = F.col("c_custkey") % 10
-    plan = (
-        F.when(slot < 4, "starter").when(slot < 7, "growth").when(slot < 9, "business").otherwise("enterprise")
+        .groupBy("o_custkey")
+        .agg(F.expr("CAST(CAST(min(o_orderdate) AS DATE) AS STRING) AS signup_date"))
     )
     return (
-        customers.join(nations, F.col("c_nationkey") == F.col("n_nationkey"))
-        .join(signups, "c_custkey", "left")
-        .select(
-            _tenant_id(F.col("c_custkey")).alias("tenant_id"),
-            F.col("c_name").alias("company_name"),
-            F.col("c_mktsegment").alias("industry"),
-            plan.alias("plan"),
-            F.col("n_name").alias("country"),
+        customers.join(nations, F.expr("c_nationkey = n_nationkey"))
+        .join(signups, F.expr("c_custkey = o_custkey"), "left")
+        .selectExpr(
+            f"{padded_id('TNT_', 'c_custkey')} AS tenant_id",
+            "c_name AS company_name",
+            "c_mktsegment AS industry",
+            """CASE WHEN c_custkey % 10 < 4 THEN 'starter' WHEN c_custkey % 10 < 7 THEN 'growth'
+                WHEN c_custkey % 10 < 9 THEN 'business' ELSE 'enterprise' END AS plan""",
+            "n_name AS country",
             "signup_date",
         )
     )
@@ -118,41 +96,30 @@ def tenants(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def invoices(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One invoice per order."""
-    key = F.col("o_orderkey")
-    billed = F.col("o_orderdate").cast("date")
-    status = (
-        F.when(_every(key, 53), "refunded")
-        .when(F.col("o_orderstatus") == "F", "paid")
-        .when(F.col("o_orderstatus") == "P", "failed")
-        .otherwise("pending")
-    )
-    return (
-        read_table(spark, sf_dir, "orders")
-        .withColumn("status", status)
-        .select(
-            F.concat(F.lit("INV_"), zero_padded(key)).alias("invoice_id"),
-            _tenant_id(F.col("o_custkey")).alias("tenant_id"),
-            F.floor("o_totalprice").cast("int").alias("amount"),
-            F.lit(CURRENCY).alias("currency"),
-            "status",
-            billed.alias("billing_date"),
-            F.date_add(billed, 30).alias("due_date"),
-            F.when(F.col("status") == "paid", billed).alias("paid_date"),
-        )
+    status = """CASE WHEN o_orderkey % 53 = 0 THEN 'refunded' WHEN o_orderstatus = 'F' THEN 'paid'
+        WHEN o_orderstatus = 'P' THEN 'failed' ELSE 'pending' END"""
+    return read_table(spark, sf_dir, "orders").selectExpr(
+        f"{padded_id('INV_', 'o_orderkey')} AS invoice_id",
+        f"{padded_id('TNT_', 'o_custkey')} AS tenant_id",
+        "CAST(floor(o_totalprice) AS INT) AS amount",
+        "'INR' AS currency",
+        f"{status} AS status",
+        "CAST(o_orderdate AS DATE) AS billing_date",
+        "date_add(CAST(o_orderdate AS DATE), 30) AS due_date",
+        f"IF({status} = 'paid', CAST(o_orderdate AS DATE), NULL) AS paid_date",
     )
 
 
 def scenarios(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One what-if scenario per customer; some break an input range."""
-    key = F.col("c_custkey")
-    return read_table(spark, sf_dir, "customer").select(
-        F.concat(F.lit("SCN_"), zero_padded(key)).alias("scenario_id"),
-        F.when(_every(key, 97), 0).otherwise(1 + key * 37 % 5000).cast("int").alias("starting_tenants"),
-        (F.floor(F.abs("c_acctbal")) * 10 + (key % 4) * 0.25 - F.when(_every(key, 89), 1e6).otherwise(0.0))
-        .alias("monthly_arpu"),
-        (((key * 7) % 60 - 15) / 2 + F.when(_every(key, 83), 500.0).otherwise(0.0)).alias("monthly_growth_pct"),
-        (((key * 11) % 48) / 4 + F.when(_every(key, 79), 100.5).otherwise(0.0)).alias("monthly_churn_pct"),
-        (1 + key % 36 + F.when(_every(key, 73), 36).otherwise(0)).cast("int").alias("months"),
+    return read_table(spark, sf_dir, "customer").selectExpr(
+        f"{padded_id('SCN_', 'c_custkey')} AS scenario_id",
+        "CAST(IF(c_custkey % 97 = 0, 0, 1 + c_custkey * 37 % 5000) AS INT) AS starting_tenants",
+        """floor(abs(c_acctbal)) * 10 + (c_custkey % 4) / 4
+            - IF(c_custkey % 89 = 0, 1e6D, 0D) AS monthly_arpu""",
+        "((c_custkey * 7) % 60 - 15) / 2 + IF(c_custkey % 83 = 0, 500D, 0D) AS monthly_growth_pct",
+        "((c_custkey * 11) % 48) / 4 + IF(c_custkey % 79 = 0, 100.5D, 0D) AS monthly_churn_pct",
+        "CAST(1 + c_custkey % 36 + IF(c_custkey % 73 = 0, 36, 0) AS INT) AS months",
     )
 
 
@@ -162,32 +129,18 @@ def stream_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     Broken on purpose: no tenant on every 61st event, a negative amount on
     every 67th, a bad date on every 71st.
     """
-    key, user, kind = F.col("event_id"), F.col("user_id"), F.col("event_type")
-    event_type = (
-        F.when(kind == "signup", CREATED)
-        .when(kind == "purchase", PAID)
-        .when(kind == "error", FAILED)
-        .when(kind == "click", "subscription_upgraded")
-        .when(kind == "view", "trial_started")
-    )
-    plan = (
-        F.when(user % 4 == 0, "starter")
-        .when(user % 4 == 1, "growth")
-        .when(user % 4 == 2, "business")
-        .otherwise("enterprise")
-    )
-    amount = (
-        F.when(_every(key, 67), -1).when(kind == "purchase", F.floor("value")).otherwise(0).cast("int")
-    )
-    iso = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
-    return read_table(spark, sf_dir, "events").select(
-        F.concat(F.lit("EVT_"), zero_padded(key)).alias("event_id"),
-        F.when(~_every(key, 61), _tenant_id(user)).alias("tenant_id"),
-        event_type.alias("event_type"),
-        plan.alias("plan"),
-        amount.alias("amount"),
-        F.lit(CURRENCY).alias("currency"),
-        F.when(_every(key, 71), "not a date").otherwise(iso).alias("event_date"),
-        F.when(kind == "error", "failed").otherwise("success").alias("status"),
-        key.alias("source_key"),
+    return read_table(spark, sf_dir, "events").selectExpr(
+        f"{padded_id('EVT_', 'event_id')} AS event_id",
+        f"IF(event_id % 61 = 0, NULL, {padded_id('TNT_', 'user_id')}) AS tenant_id",
+        """CASE event_type WHEN 'signup' THEN 'subscription_created' WHEN 'purchase' THEN 'invoice_paid'
+            WHEN 'error' THEN 'invoice_failed' WHEN 'click' THEN 'subscription_upgraded'
+            WHEN 'view' THEN 'trial_started' END AS event_type""",
+        """CASE user_id % 4 WHEN 0 THEN 'starter' WHEN 1 THEN 'growth' WHEN 2 THEN 'business'
+            ELSE 'enterprise' END AS plan""",
+        """CAST(CASE WHEN event_id % 67 = 0 THEN -1 WHEN event_type = 'purchase' THEN floor(value)
+            ELSE 0 END AS INT) AS amount""",
+        "'INR' AS currency",
+        """IF(event_id % 71 = 0, 'not a date', date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")) AS event_date""",
+        "IF(event_type = 'error', 'failed', 'success') AS status",
+        "event_id AS source_key",
     )

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -11,9 +11,9 @@ from recurra.schemas import KAFKA_TOPIC, MESSAGE
 _CORRUPT = "_corrupt_record"
 
 
-def render_messages(events: DataFrame) -> DataFrame:
-    """One JSON text ``value`` per event."""
-    return events.select(F.to_json(F.struct(*MESSAGE.names)).alias("value"))
+def message_text() -> Column:
+    """The JSON text of an event; ``event_date`` must be ISO-8601 text by now."""
+    return F.to_json(F.struct(*MESSAGE.names))
 
 
 def read_message_files(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
