@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException, PySparkException
+import logging
+
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
@@ -11,7 +14,9 @@ from recurra import schemas
 MONTH_PARTITIONS = ["event_year", "event_month"]
 
 _ABSENT = {"PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"}
-_UNREADABLE = "FAILED_READ_FILE"
+_UNREADABLE = "CANNOT_READ_FILE_FOOTER"
+
+_log = logging.getLogger(__name__)
 
 
 def read_events_csv(spark: SparkSession, path: str) -> DataFrame:
@@ -71,7 +76,8 @@ def load_or_empty(spark: SparkSession, path: str, schema: StructType) -> DataFra
     except AnalysisException as error:
         if error.getCondition() not in _ABSENT:
             raise
-    except PySparkException as error:
-        if not (error.getCondition() or "").startswith(_UNREADABLE):
+    except Py4JJavaError as error:
+        if _UNREADABLE not in str(error.java_exception):
             raise
+        _log.warning("treating unreadable dataset %s as empty", path)
     return spark.createDataFrame([], schema)

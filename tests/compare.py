@@ -34,17 +34,30 @@ def _plain(value):
 def _rows(columns, rows):
     order = sorted(range(len(columns)), key=lambda i: columns[i])
     plain = [tuple(_plain(row[i]) for i in order) for row in rows]
-    return [columns[i] for i in order], sorted(plain, key=repr)
+    return sorted(plain, key=repr)
+
+
+TYPES = {
+    "bigint": "BIGINT",
+    "int": "INTEGER",
+    "double": "DOUBLE",
+    "string": "VARCHAR",
+    "boolean": "BOOLEAN",
+    "date": "DATE",
+    "timestamp_ntz": "TIMESTAMP",
+}
 
 
 def difference(spark, con, name: str, sf_dir: str) -> str:
-    """Empty if equal, else what differs."""
+    """Empty if names, types, row counts and values are equal, else what differs."""
     df = spark_entry.queries()[name](spark, sf_dir)
-    got_columns, got = _rows(df.columns, [tuple(r) for r in df.collect()])
-    result = con.execute(spark_entry.oracle_sql()[name])
-    want_columns, want = _rows([d[0] for d in result.description], result.fetchall())
-    if got_columns != want_columns:
-        return f"columns {got_columns} != {want_columns}"
+    result = con.sql(spark_entry.oracle_sql()[name])
+    got_types = sorted((c, TYPES.get(t, t)) for c, t in df.dtypes)
+    want_types = sorted((c, str(t)) for c, t in zip(result.columns, result.types))
+    if got_types != want_types:
+        return f"columns differ: {sorted(set(got_types) ^ set(want_types))}"
+    got = _rows(df.columns, [tuple(r) for r in df.collect()])
+    want = _rows(result.columns, result.fetchall())
     if len(got) != len(want):
         return f"{len(got)} rows != {len(want)}"
     wrong = [(g, w) for g, w in zip(got, want) if g != w]

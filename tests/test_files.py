@@ -1,0 +1,90 @@
+import pathlib
+
+from pyspark.sql import functions as F
+
+from recurra import schemas
+from recurra.operators.validation import split_events
+from recurra.plans import marts
+from recurra.sources import files, fixtures
+from tests.rows import SIX_EVENTS, enriched, events
+
+SF = "/root/testdata/sf0.001"
+
+CSV = """event_id,tenant_id,event_type,plan,amount,currency,event_date,status,invoice_id,seats,trial
+E1,T,invoice_paid,starter,12,INR,2024-01-15 10:00:00,success,I1,2,True
+E2,T,invoice_paid,starter,twelve,INR,2024-01-15 10:00:00,success,I1,2,False
+E3,T,invoice_paid,starter,12,INR,2024-01-15T10:00:00.123456,success,,two,False
+"""
+
+
+def test_dirty_cells_become_null(spark, tmp_path):
+    (tmp_path / "events.csv").write_text(CSV)
+    raw = files.read_events_csv(spark, str(tmp_path / "events.csv"))
+    good, bad_amount, bad_date = raw.orderBy("event_id").collect()
+    assert good.amount == 12 and good.trial is True and good.event_date.hour == 10
+    assert bad_amount.amount is None and bad_amount.status == "success"
+    assert bad_date.event_date is None and bad_date.seats is None and bad_date.invoice_id is None
+    clean, rejected = split_events(raw)
+    assert [r.event_id for r in clean.orderBy("event_id").collect()] == ["E1", "E2"]
+    assert rejected.first().validation_error == "null event_date"
+
+
+def test_month_directories_are_pruned(spark, tmp_path):
+    path = str(tmp_path / "events")
+    files.write_events(enriched(spark, SIX_EVENTS), path)
+    stored = spark.read.parquet(path)
+    assert dict(stored.dtypes)["event_year"] == "int"
+    assert {p.name for p in pathlib.Path(path, "event_year=2024").iterdir()} == {f"event_month={m}" for m in (1, 2, 3)}
+    plan = stored.filter("event_month = 1").select("event_id")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(event_month" in plan
+    assert stored.filter("event_month = 1").count() == 4
+
+
+def test_missing_and_unreadable_datasets_are_empty(spark, tmp_path):
+    assert files.load_or_empty(spark, str(tmp_path / "none"), schemas.TENANTS).count() == 0
+    (tmp_path / "hollow").mkdir()
+    assert files.load_or_empty(spark, str(tmp_path / "hollow"), schemas.TENANTS).count() == 0
+    (tmp_path / "broken").mkdir()
+    (tmp_path / "broken" / "part-0.parquet").write_bytes(b"this is no parquet file")
+    assert files.load_or_empty(spark, str(tmp_path / "broken"), schemas.TENANTS).count() == 0
+    files.write_table(spark.range(3), str(tmp_path / "good"))
+    assert files.load_or_empty(spark, str(tmp_path / "good"), schemas.TENANTS).count() == 3
+
+
+def test_csv_to_marts_and_no_stale_rejects(spark, tmp_path):
+    root = str(tmp_path / "root")
+    dim = str(tmp_path / "tenants.csv")
+    files.write_csv(fixtures.tenants(spark, SF), dim)
+    dirty = str(tmp_path / "dirty.csv")
+    files.write_csv(events(spark, SIX_EVENTS), dirty)
+    marts.run_from_csv(spark, dirty, dim, root)
+    assert spark.read.parquet(f"{root}/rejected").count() == 1
+    assert all(spark.read.parquet(f"{root}/{name}").columns for name in marts.MARTS)
+    total = spark.read.parquet(f"{root}/global_mrr_monthly").filter("period = '2024-01'").first()
+    assert total.total_mrr == 3797
+    tidy = str(tmp_path / "tidy.csv")
+    files.write_csv(events(spark, SIX_EVENTS[:5]), tidy)
+    marts.run_from_csv(spark, tidy, dim, root)
+    assert spark.read.parquet(f"{root}/rejected").count() == 0
+
+
+def test_refresh_replaces_touched_months_only(spark, tmp_path):
+    path = str(tmp_path / "view")
+    dim = fixtures.tenants(spark, SF)
+    before = fixtures.invoices(spark, SF)
+    marts.write_monthly_revenue(marts.revenue.monthly_revenue_view(before, dim), path)
+    month = F.trunc("billing_date", "month")
+    hit = month == F.lit("1996-05-01").cast("date")
+    # Every invoice of one month is refunded, in another month amounts double.
+    doubled = month == F.lit("1997-02-01").cast("date")
+    after = before.withColumn("status", F.when(hit, "refunded").otherwise(F.col("status"))).withColumn(
+        "amount", F.when(doubled, F.col("amount") * 2).otherwise(F.col("amount"))
+    )
+    files_before = {p for p in pathlib.Path(path).rglob("*.parquet")}
+    marts.refresh_monthly_revenue(after, dim, after.filter(hit | doubled), path)
+    want = marts.revenue.monthly_revenue_view(after, dim)
+    got = marts.read_monthly_revenue(spark, path).select(*want.columns)
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+    assert got.filter("billing_month = DATE'1996-05-01'").count() == 0
+    gone = files_before - {p for p in pathlib.Path(path).rglob("*.parquet")}
+    assert {p.parent.name for p in gone} == {"billing_month=1996-05-01", "billing_month=1997-02-01"}
