@@ -19,7 +19,7 @@ from pyspark.sql import SparkSession
 from recurra.operators import churn, cohorts, revenue, validation
 from recurra.plans import marts
 from recurra.plans.queries import QUERIES, Billing, bind
-from recurra.sources import files
+from recurra.sources import event_store, files
 from recurra.sources.scratch import shared_path
 
 HEADLINE = [
@@ -63,7 +63,7 @@ def stored_queries(spark, sf_dir):
         return files.read_events_csv(spark, f"{root}/events-csv")
 
     def events():
-        return spark.read.parquet(f"{root}/billing_events")
+        return event_store.read_clean(spark, f"{root}/billing_events")
 
     def tenants():
         return spark.read.parquet(f"{root}/tenants")

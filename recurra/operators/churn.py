@@ -16,6 +16,7 @@ from recurra.functions import (
     plan_label,
 )
 from recurra.functions.labels import CHURN_PLAN_COLOUR_DEFAULT, CHURN_PLAN_COLOURS
+from recurra.operators.hints import broadcast_rows
 from recurra.schemas import CANCELLED, FAILED, PAID, PLANS
 
 MONTH_PLAN = ["event_year", "event_month", "plan"]
@@ -187,8 +188,8 @@ def billing_risk(
         .limit(k)
     )
     count = F.col("failure_count")
-    # The broadcast side has k rows at most.
-    return known_tenants.select("tenant_id", "company_name").join(F.broadcast(failures), "tenant_id").select(
+    names = known_tenants.select("tenant_id", "company_name")
+    return names.join(broadcast_rows(failures, k), "tenant_id").select(
         "tenant_id",
         "company_name",
         "failure_count",

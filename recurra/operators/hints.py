@@ -1,0 +1,17 @@
+"""Join hints."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# A few megabytes for the narrow rows joined here.
+MOST_ROWS = 10_000
+
+
+def broadcast_rows(df: DataFrame, rows: int) -> DataFrame:
+    """Ask for a broadcast of a side known to have at most ``rows`` rows.
+
+    Above :data:`MOST_ROWS` the choice stays with Spark, which goes by size.
+    """
+    return F.broadcast(df) if rows <= MOST_ROWS else df

@@ -19,6 +19,7 @@ from recurra.functions import (
 )
 from recurra.functions.labels import REVENUE_PLAN_COLOUR_DEFAULT, REVENUE_PLAN_COLOURS
 from recurra.operators.churn import churn_by_period
+from recurra.operators.hints import broadcast_rows
 from recurra.operators.revenue import latest_tenant_mrr, top_by_ltv
 from recurra.schemas import PLAN_TIER
 
@@ -175,9 +176,9 @@ def top_tenants(ltv: DataFrame, mrr: DataFrame, k: int = 5) -> DataFrame:
     ``mrr`` is the table ``ltv`` was built from, so each tenant has a month.
     """
     best = top_by_ltv(ltv, k).select("tenant_id", "company_name", "plan", "estimated_ltv")
-    # The broadcast side has k rows; it cuts the history down before grouping.
+    # The small side cuts the history down before grouping.
     history = mrr.select("tenant_id", "event_year", "event_month", "mrr", "mrr_growth_pct").join(
-        F.broadcast(best), "tenant_id"
+        broadcast_rows(best, k), "tenant_id"
     )
     growth = F.col("mrr_growth_pct")
     return latest_tenant_mrr(history).select(

@@ -6,9 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from recurra.functions import month_start
-from recurra.operators import churn, cohorts, revenue, validation
+from recurra.operators import churn, cohorts, revenue
 from recurra.schemas import MONTHLY_REVENUE
-from recurra.sources import files
+from recurra.sources import event_store, files
 
 MARTS = [
     "mrr_by_tenant_month",
@@ -21,10 +21,8 @@ MARTS = [
 
 
 def ingest(raw: DataFrame, tenants: DataFrame, root: str) -> None:
-    """Write clean events by month, rejected rows and the tenant dimension."""
-    clean, rejected = validation.split_events(raw)
-    files.write_events(validation.enrich_events(clean), f"{root}/billing_events")
-    files.write_table(rejected, f"{root}/rejected")
+    """Write the validated events (one pass for clean and rejected) and the tenants."""
+    event_store.write_events(raw, f"{root}/billing_events")
     files.write_table(tenants, f"{root}/tenants")
 
 
@@ -41,7 +39,7 @@ def build_marts(spark: SparkSession, root: str) -> None:
     def save(name: str, df: DataFrame) -> None:
         files.write_table(df, f"{root}/{name}")
 
-    events = table("billing_events")
+    events = event_store.read_clean(spark, f"{root}/billing_events")
     save("mrr_by_tenant_month", revenue.monthly_mrr(events))
     save("global_mrr_monthly", revenue.global_mrr(table("mrr_by_tenant_month")))
     save("tenant_ltv", revenue.tenant_ltv(table("mrr_by_tenant_month"), table("tenants")))

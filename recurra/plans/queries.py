@@ -7,6 +7,7 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.readwriter import DataStreamWriter
 
 from recurra import functions as fn
 from recurra import schemas
@@ -24,7 +25,7 @@ from recurra.operators import (
     validation,
 )
 from recurra.plans import marts
-from recurra.sources import files, fixtures
+from recurra.sources import event_store, files, fixtures
 from recurra.sources.scratch import shared_path
 from recurra.streaming import jobs, messages
 
@@ -121,6 +122,13 @@ def _plain_dates(events: DataFrame) -> DataFrame:
     return events.withColumn("event_date", F.col("event_date").cast("timestamp_ntz"))
 
 
+def _union(parts: list[DataFrame]) -> DataFrame:
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
+
+
 # --- file round trips -------------------------------------------------------
 
 
@@ -138,9 +146,8 @@ def _csv_roundtrip_tenants(b: Billing) -> DataFrame:
 
 def _partitioned_roundtrip(b: Billing) -> DataFrame:
     path = shared_path(b.spark, "events")
-    files.write_events(b.events, path)
-    stored = b.spark.read.parquet(path)
-    return stored.groupBy("event_year", "event_month").agg(
+    event_store.write_events(b.raw, path)
+    return event_store.read_clean(b.spark, path).groupBy("event_year", "event_month").agg(
         F.count("*").alias("events"),
         F.sum("amount").alias("amount"),
         F.countDistinct("event_date_only").alias("days"),
@@ -165,13 +172,18 @@ def _marts_roundtrip(b: Billing) -> DataFrame:
         "cohort_retention": F.sum("retained_tenants"),
         "cohort_sizes": F.sum("cohort_size"),
     }
-    out = None
-    for name, check in checks.items():
-        part = b.spark.read.parquet(f"{root}/{name}").agg(
-            F.lit(name).alias("table_name"), F.count("*").alias("table_rows"), check.alias("checksum")
-        )
-        out = part if out is None else out.unionByName(part)
-    return out
+    events = f"{root}/billing_events"
+    tables = {name: b.spark.read.parquet(f"{root}/{name}") for name in ["tenants", *marts.MARTS]}
+    tables["billing_events"] = event_store.read_clean(b.spark, events)
+    tables["rejected"] = event_store.read_rejected(b.spark, events)
+    return _union(
+        [
+            tables[name].agg(
+                F.lit(name).alias("table_name"), F.count("*").alias("table_rows"), check.alias("checksum")
+            )
+            for name, check in checks.items()
+        ]
+    )
 
 
 def _mv_refresh(b: Billing) -> DataFrame:
@@ -207,33 +219,30 @@ def _clean_stream(b: Billing) -> DataFrame:
     return validation.split_events(_message_stream(b))[0].drop("raw_message")
 
 
-def _finish(writers, root: str) -> None:
-    running = [jobs.start(w, f"{root}/checkpoint-{i}") for i, w in enumerate(writers)]
-    for query in running:
-        query.awaitTermination()
+def _finish(writer: DataStreamWriter, root: str) -> None:
+    jobs.start(writer, f"{root}/checkpoint").awaitTermination()
 
 
 def _ingested(b: Billing) -> str:
     root = shared_path(b.spark, "stream-ingest")
-    _finish(jobs.ingest(_message_stream(b), root), root)
-    return root
+    _finish(jobs.ingest(_message_stream(b), f"{root}/events"), root)
+    return f"{root}/events"
 
 
 def _stream_ingest(b: Billing) -> DataFrame:
-    stored = b.spark.read.parquet(f"{_ingested(b)}/billing_events")
+    stored = event_store.read_clean(b.spark, _ingested(b))
     return _plain_dates(stored).drop("invoice_id", "seats", "trial")
 
 
 def _stream_rejects(b: Billing) -> DataFrame:
-    stored = b.spark.read.parquet(f"{_ingested(b)}/rejected")
-    return stored.select(
+    return event_store.read_rejected(b.spark, _ingested(b)).select(
         "event_id", "tenant_id", "event_type", "amount", "status", "raw_message", "validation_error"
     )
 
 
 def _to_parquet(b: Billing, name: str, stream: DataFrame) -> DataFrame:
     root = shared_path(b.spark, name)
-    _finish([stream.writeStream.format("parquet").option("path", f"{root}/out")], root)
+    _finish(stream.writeStream.format("parquet").option("path", f"{root}/out"), root)
     return b.spark.read.parquet(f"{root}/out")
 
 
@@ -244,7 +253,7 @@ def _stream_dedup(b: Billing) -> DataFrame:
 
 def _stream_mrr(b: Billing) -> DataFrame:
     root = shared_path(b.spark, "stream-mrr")
-    _finish([jobs.running_mrr(_clean_stream(b), f"{root}/log")], root)
+    _finish(jobs.running_mrr(_clean_stream(b), f"{root}/log"), root)
     return jobs.read_running_mrr(b.spark, f"{root}/log")
 
 
@@ -254,7 +263,7 @@ def _stream_daily(b: Billing) -> DataFrame:
 
 def _stream_mart_refresh(b: Billing) -> DataFrame:
     root = shared_path(b.spark, "stream-marts")
-    _finish([jobs.refresh_marts(_clean_stream(b), f"{root}/events", f"{root}/mrr")], root)
+    _finish(jobs.refresh_marts(_clean_stream(b), f"{root}/events", f"{root}/mrr"), root)
     return b.spark.read.parquet(f"{root}/mrr").select(*jobs.MONTH_KEYS, "mrr", "payments")
 
 
@@ -296,13 +305,6 @@ def _plan_scenarios(b: Billing) -> DataFrame:
     return projection.plan_scenarios(b.mrr, b.tenants, churn.plan_churn(b.churn))
 
 
-def _union(parts: list[DataFrame]) -> DataFrame:
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
-
-
 def _dq_duplicate_keys(b: Billing) -> DataFrame:
     return _union(
         [

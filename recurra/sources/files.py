@@ -11,8 +11,6 @@ from pyspark.sql.types import StructType
 
 from recurra import schemas
 
-MONTH_PARTITIONS = ["event_year", "event_month"]
-
 _ABSENT = {"PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"}
 _UNREADABLE = "CANNOT_READ_FILE_FOOTER"
 
@@ -46,26 +44,8 @@ def write_csv(df: DataFrame, path: str) -> None:
     )
 
 
-def write_events(enriched: DataFrame, path: str) -> None:
-    """Enriched events as Parquet, one directory per year and month.
-
-    ``rebalance`` groups rows by month before the write, so a task holds few
-    months, while AQE cuts a month above the advisory size into several tasks:
-    neither a file per task and month nor one task for the busiest month.
-    """
-    (
-        enriched.hint("rebalance", *MONTH_PARTITIONS)
-        .write.mode("overwrite")
-        .partitionBy(*MONTH_PARTITIONS)
-        .parquet(path)
-    )
-
-
 def write_table(df: DataFrame, path: str) -> None:
-    """Unpartitioned Parquet table, replaced as a whole.
-
-    Also used for rejected rows: an empty result replaces an older one.
-    """
+    """Unpartitioned Parquet table, replaced as a whole."""
     df.write.mode("overwrite").parquet(path)
 
 

@@ -11,11 +11,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.readwriter import DataStreamWriter
 
-from recurra.operators.validation import enrich_events, split_events
+from recurra.operators.validation import enrich_events
 from recurra.schemas import PAID
-from recurra.sources.files import MONTH_PARTITIONS
+from recurra.sources.event_store import MONTH, PARTITIONS, stored_layout
 
-MONTH_KEYS = ["tenant_id", *MONTH_PARTITIONS]
+MONTH_KEYS = ["tenant_id", *MONTH]
 
 
 def start(writer: DataStreamWriter, checkpoint: str, available_now: bool = True) -> StreamingQuery:
@@ -24,19 +24,13 @@ def start(writer: DataStreamWriter, checkpoint: str, available_now: bool = True)
     return (writer.trigger(availableNow=True) if available_now else writer).start()
 
 
-def ingest(events: DataFrame, root: str) -> list[DataStreamWriter]:
-    """Clean enriched events to ``billing_events`` by month, the rest to ``rejected``.
+def ingest(events: DataFrame, path: str) -> DataStreamWriter:
+    """Validate, enrich and append to an event store, clean and rejected rows at once.
 
-    Two file sinks, each exactly-once by its own checkpoint.
+    The file sink is exactly-once by its own log; read the whole ``path`` back
+    through :mod:`recurra.sources.event_store`, which goes by that log.
     """
-    clean, rejected = split_events(events)
-    return [
-        enrich_events(clean.drop("raw_message"))
-        .writeStream.format("parquet")
-        .partitionBy(*MONTH_PARTITIONS)
-        .option("path", f"{root}/billing_events"),
-        rejected.writeStream.format("parquet").option("path", f"{root}/rejected"),
-    ]
+    return stored_layout(events).writeStream.format("parquet").partitionBy(*PARTITIONS).option("path", path)
 
 
 def drop_redelivered(clean: DataFrame, delay: str = "1 day") -> DataFrame:
@@ -91,25 +85,29 @@ def read_running_mrr(spark: SparkSession, path: str) -> DataFrame:
 def refresh_marts(clean: DataFrame, events_path: str, mart_path: str) -> DataStreamWriter:
     """Append each micro-batch to the event table, then recompute its months.
 
-    The batch goes below its own ``batch_id``, and touched months are replaced
-    as whole partitions, so a replayed batch changes nothing.
+    Both tables are replaced by whole partitions, the events by month and
+    batch, the mart by month, so a replayed batch changes nothing. Only the
+    directories of the touched months are listed and read.
     """
 
-    def apply(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        written = f"{events_path}/batch_id={batch_id}"
-        batch.write.mode("overwrite").partitionBy(*MONTH_PARTITIONS).parquet(written)
-        # One row per calendar month in the batch.
-        touched = spark.read.schema(batch.schema).parquet(written).select(*MONTH_PARTITIONS).distinct()
-        events = spark.read.schema(batch.schema).parquet(events_path)
-        months = events.join(F.broadcast(touched), MONTH_PARTITIONS, "left_semi")
+    def replace(df: DataFrame, path: str, partitions: list[str]) -> None:
         (
-            _paid_by_month(months)
-            .hint("rebalance", *MONTH_PARTITIONS)
+            df.hint("rebalance", *partitions)
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(*MONTH_PARTITIONS)
-            .parquet(mart_path)
+            .partitionBy(*partitions)
+            .parquet(path)
         )
 
+    def apply(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        stored = batch.withColumn("batch_id", F.lit(batch_id))
+        replace(stored, events_path, [*MONTH, "batch_id"])
+        # One row per calendar month in the batch, few of them.
+        touched = batch.select(*MONTH).distinct().collect()
+        if touched:
+            months = [f"{events_path}/event_year={y}/event_month={m}" for y, m in touched]
+            reader = spark.read.schema(stored.schema).option("basePath", events_path)
+            replace(_paid_by_month(reader.parquet(*months)), mart_path, MONTH)
+
     return enrich_events(clean).writeStream.foreachBatch(apply)

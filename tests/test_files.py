@@ -5,8 +5,8 @@ from pyspark.sql import functions as F
 from recurra import schemas
 from recurra.operators.validation import split_events
 from recurra.plans import marts
-from recurra.sources import files, fixtures
-from tests.rows import SIX_EVENTS, enriched, events
+from recurra.sources import event_store, files, fixtures
+from tests.rows import SIX_EVENTS, events
 
 SF = "/root/testdata/sf0.001"
 
@@ -31,13 +31,31 @@ def test_dirty_cells_become_null(spark, tmp_path):
 
 def test_month_directories_are_pruned(spark, tmp_path):
     path = str(tmp_path / "events")
-    files.write_events(enriched(spark, SIX_EVENTS), path)
-    stored = spark.read.parquet(path)
+    event_store.write_events(events(spark, SIX_EVENTS), path)
+    stored = event_store.read_clean(spark, path)
     assert dict(stored.dtypes)["event_year"] == "int"
-    assert {p.name for p in pathlib.Path(path, "event_year=2024").iterdir()} == {f"event_month={m}" for m in (1, 2, 3)}
-    plan = stored.filter("event_month = 1").select("event_id")._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(event_month" in plan
-    assert stored.filter("event_month = 1").count() == 4
+    months = pathlib.Path(path, "outcome=clean", "event_year=2024").iterdir()
+    assert {p.name for p in months} == {f"event_month={m}" for m in (1, 2, 3)}
+    assert stored.filter("event_month = 1").count() == 3
+    assert event_store.read_rejected(spark, path).columns == [*schemas.EVENTS.names, "validation_error"]
+
+
+def test_a_busy_month_is_written_by_several_tasks(spark, tmp_path):
+    path = str(tmp_path / "events")
+    raw = fixtures.raw_events(spark, "/root/testdata/sf0.01").repartition(16)
+    hot = raw.withColumn("event_date", F.when(F.rand(1) < 0.5, F.lit("1997-03-01").cast("timestamp_ntz")).otherwise(F.col("event_date")))
+    conf = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    spark.conf.set(conf, "64k")
+    try:
+        event_store.write_events(hot, path)
+    finally:
+        spark.conf.unset(conf)
+    files_in = {p.parent.name + "/" + p.name: sum(1 for _ in p.glob("*.parquet")) for p in pathlib.Path(path).rglob("event_month=*")}
+    busiest = files_in.pop("event_year=1997/event_month=3")
+    # Months hashed to the busy month's partition are cut along with it, the rest are not.
+    counts = sorted(files_in.values())
+    assert busiest >= 4 and counts[len(counts) * 3 // 4] <= 2
+    assert event_store.read_clean(spark, path).count() + event_store.read_rejected(spark, path).count() == 15_000
 
 
 def test_missing_and_unreadable_datasets_are_empty(spark, tmp_path):
@@ -58,14 +76,14 @@ def test_csv_to_marts_and_no_stale_rejects(spark, tmp_path):
     dirty = str(tmp_path / "dirty.csv")
     files.write_csv(events(spark, SIX_EVENTS), dirty)
     marts.run_from_csv(spark, dirty, dim, root)
-    assert spark.read.parquet(f"{root}/rejected").count() == 1
+    assert event_store.read_rejected(spark, f"{root}/billing_events").count() == 1
     assert all(spark.read.parquet(f"{root}/{name}").columns for name in marts.MARTS)
     total = spark.read.parquet(f"{root}/global_mrr_monthly").filter("period = '2024-01'").first()
     assert total.total_mrr == 3797
     tidy = str(tmp_path / "tidy.csv")
     files.write_csv(events(spark, SIX_EVENTS[:5]), tidy)
     marts.run_from_csv(spark, tidy, dim, root)
-    assert spark.read.parquet(f"{root}/rejected").count() == 0
+    assert event_store.read_rejected(spark, f"{root}/billing_events").count() == 0
 
 
 def test_refresh_replaces_touched_months_only(spark, tmp_path):

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from recurra.operators.revenue import monthly_mrr
 from recurra.operators.validation import enrich_events, split_events
+from recurra.sources import event_store
 from recurra.streaming import jobs, messages
 
 
@@ -63,16 +64,14 @@ def test_ingest_splits_like_the_batch_job(spark, topic, tmp_path):
         message(7, "2024-01-02T00:00:08", amount="many"),
         '{"event_id": "EVT_8", "tenant',
     ])
-    root = str(tmp_path / "out")
-    for n, writer in enumerate(jobs.ingest(decoded(spark, topic), root)):
-        run(writer, tmp_path / f"c{n}")
-    stored = spark.read.parquet(f"{root}/billing_events")
-    rows = {r.event_id: r for r in stored.collect()}
+    path = str(tmp_path / "out")
+    run(jobs.ingest(decoded(spark, topic), path), tmp_path / "c")
+    rows = {r.event_id: r for r in event_store.read_clean(spark, path).collect()}
     # An amount that is no number is NULL, and a NULL amount passes.
     assert set(rows) == {"EVT_1", "EVT_2", "EVT_7"}
     assert rows["EVT_1"].event_date.microsecond == 179575 and rows["EVT_1"].event_month == 1
     assert rows["EVT_7"].amount is None and rows["EVT_1"].seats is None
-    errors = {r.validation_error: r.raw_message for r in spark.read.parquet(f"{root}/rejected").collect()}
+    errors = {r.validation_error: r.raw_message for r in event_store.read_rejected(spark, path).collect()}
     assert set(errors) == {"missing event_id", "missing tenant_id", "invalid event_type", "negative amount", "null event_date"}
     assert errors["missing event_id"].startswith('{"event_id": "EVT_8"')
 
