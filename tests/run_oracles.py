@@ -1,4 +1,6 @@
-"""``python -m tests.run_oracles [sf] [query ...]``: compare queries with their SQL."""
+"""``python -m tests.run_oracles [sf] [query ...]``: compare queries with their SQL.
+
+Instead of a scale factor, the path of a table directory will do."""
 
 import sys
 import time
@@ -11,7 +13,8 @@ from tests.compare import difference, duck
 
 
 def main():
-    sf_dir = f"/root/testdata/sf{sys.argv[1] if len(sys.argv) > 1 else '0.01'}"
+    sf = sys.argv[1] if len(sys.argv) > 1 else "0.01"
+    sf_dir = sf if "/" in sf else f"/root/testdata/sf{sf}"
     names = sys.argv[2:] or list(QUERIES)
     spark = (
         SparkSession.builder.master("local[8]")
