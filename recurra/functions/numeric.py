@@ -23,5 +23,16 @@ def fixed_text(value: Column, digits: int) -> Column:
 
 
 def round_half_even(value: Column, digits: int) -> Column:
-    """Round the exact binary value of a double, ties to even."""
-    return fixed_text(value, digits).cast("double")
+    """Round the exact binary value of a double, ties to even.
+
+    The scaled value decides where it is clearly off a tie: below 2**40 the
+    product is wrong by less than 0.0002. Only what remains takes the slower
+    way over text. ``value`` is used several times, so pass a column rather
+    than a long expression. ``digits`` is 0 to 2.
+    """
+    scale = float(10**digits)
+    scaled = value.cast("double") * scale
+    off_tie = F.abs(scaled - F.floor(scaled) - 0.5) > 0.001
+    return F.when((F.abs(scaled) < 2.0**40) & off_tie, F.rint(scaled) / scale).otherwise(
+        fixed_text(value, digits).cast("double")
+    )

@@ -38,8 +38,7 @@ def _with_path(scenarios: DataFrame) -> DataFrame:
     Months are folded one after the other inside the row: a power would round
     differently. A path has 37 numbers at most.
     """
-    growth = F.col("monthly_growth_pct") / 100
-    churn = F.col("monthly_churn_pct") / 100
+    growth, churn = F.col("growth"), F.col("churn")
 
     def step(path, month):
         start = F.element_at(path, -1)
@@ -48,55 +47,75 @@ def _with_path(scenarios: DataFrame) -> DataFrame:
 
     begin = F.array(F.col("starting_tenants").cast("double"))
     months = F.sequence(F.lit(1), F.col("months"))
-    return scenarios.withColumn("path", F.aggregate(months, begin, step))
+    rates = scenarios.withColumns(
+        {"growth": F.col("monthly_growth_pct") / 100, "churn": F.col("monthly_churn_pct") / 100}
+    )
+    return rates.withColumn("path", F.aggregate(months, begin, step))
 
 
 def revenue_projection(scenarios: DataFrame) -> DataFrame:
     """One row per scenario and month. Scenarios stay in their partitions."""
-    start = F.element_at("path", F.col("month"))
-    end = F.element_at("path", F.col("month") + 1)
-    added = F.greatest(start * (F.col("monthly_growth_pct") / 100), -start)
-    churned = start * (F.col("monthly_churn_pct") / 100)
-    mrr = end * F.col("monthly_arpu")
-    return (
+    start, end = F.col("start"), F.col("end")
+    figures = (
         _with_path(scenarios)
-        .withColumn("month", F.explode(F.sequence(F.lit(1), F.col("months"))))
+        .select("*", F.explode(F.sequence(F.lit(1), F.col("months"))).alias("month"))
+        .select(
+            "scenario_id",
+            "month",
+            "growth",
+            "churn",
+            "monthly_arpu",
+            F.element_at("path", F.col("month")).alias("start"),
+            F.element_at("path", F.col("month") + 1).alias("end"),
+        )
         .select(
             "scenario_id",
             "month",
-            round_half_even(start, 1).alias("starting_tenants"),
-            round_half_even(added, 1).alias("added_tenants"),
-            round_half_even(churned, 1).alias("churned_tenants"),
-            round_half_even(end, 1).alias("ending_tenants"),
-            round_half_even(mrr, 2).alias("mrr"),
-            inr_label(mrr).alias("mrr_formatted"),
-            inr_label(mrr * 12).alias("arr_formatted"),
+            "start",
+            "end",
+            F.greatest(start * F.col("growth"), -start).alias("added"),
+            (start * F.col("churn")).alias("churned"),
+            (end * F.col("monthly_arpu")).alias("mrr"),
         )
     )
+    mrr = F.col("mrr")
+    return figures.select(
+        "scenario_id",
+        "month",
+        round_half_even(start, 1).alias("starting_tenants"),
+        round_half_even(F.col("added"), 1).alias("added_tenants"),
+        round_half_even(F.col("churned"), 1).alias("churned_tenants"),
+        round_half_even(end, 1).alias("ending_tenants"),
+        round_half_even(mrr, 2).alias("mrr"),
+        inr_label(mrr).alias("mrr_formatted"),
+        inr_label(mrr * 12).alias("arr_formatted"),
+    )
 
 
 def projection_summary(scenarios: DataFrame) -> DataFrame:
     """One row per scenario: start against end. Ends are the rounded monthly values."""
-    tenants = F.element_at("path", -1)
-    starting = F.col("starting_tenants").cast("double") * F.col("monthly_arpu")
-    figures = _with_path(scenarios).select(
-        "scenario_id",
-        starting.alias("starting_mrr"),
-        round_half_even(tenants * F.col("monthly_arpu"), 2).alias("ending_mrr"),
-        round_half_even(tenants, 1).alias("ending_tenants"),
+    starting, ending, tenants = F.col("start_value"), F.col("end_value"), F.col("tenants")
+    figures = (
+        _with_path(scenarios)
+        .withColumn("tenants", F.element_at("path", -1))
+        .select(
+            "scenario_id",
+            (F.col("starting_tenants").cast("double") * F.col("monthly_arpu")).alias("start_value"),
+            (tenants * F.col("monthly_arpu")).alias("end_value"),
+            "tenants",
+        )
+        .withColumn("end_value", round_half_even(ending, 2))
+        .withColumn("change", ending - starting)
+        .withColumn("change_pct", F.when(starting != 0, F.col("change") / starting * 100).otherwise(F.lit(0.0)))
     )
-    change = F.col("ending_mrr") - F.col("starting_mrr")
-    change_pct = F.when(
-        F.col("starting_mrr") != 0, round_half_even(change / F.col("starting_mrr") * 100, 1)
-    ).otherwise(F.lit(0.0))
     return figures.select(
         "scenario_id",
-        inr_label(F.col("starting_mrr")).alias("starting_mrr"),
-        inr_label(F.col("ending_mrr")).alias("ending_mrr"),
-        inr_label(F.col("ending_mrr") * 12).alias("ending_arr"),
-        inr_label(change).alias("mrr_change"),
-        change_pct.alias("mrr_change_pct"),
-        "ending_tenants",
+        inr_label(starting).alias("starting_mrr"),
+        inr_label(ending).alias("ending_mrr"),
+        inr_label(ending * 12).alias("ending_arr"),
+        inr_label(F.col("change")).alias("mrr_change"),
+        round_half_even(F.col("change_pct"), 1).alias("mrr_change_pct"),
+        round_half_even(tenants, 1).alias("ending_tenants"),
     )
 
 
