@@ -96,6 +96,11 @@ def with_activity(churn: DataFrame) -> DataFrame:
     return churn.filter(F.col("active_tenants") > 0)
 
 
+def churn_head(churn: DataFrame, rows: int = 8) -> DataFrame:
+    """The first rows with activity, by month and plan."""
+    return with_activity(churn).orderBy("event_year", "event_month", "plan").limit(rows)
+
+
 def latest_churn_period(churn: DataFrame) -> DataFrame:
     """The latest month with churn, or the latest month if none has any."""
     totals = churn_by_period(churn)

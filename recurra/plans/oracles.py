@@ -390,6 +390,7 @@ _TAILS: dict[str, str] = {
     "churned_tenants_by_plan": "SELECT * FROM churned",
     "churn_by_plan_month": "SELECT * FROM churn ORDER BY event_year, event_month, plan",
     "churn_month_sample": "SELECT * FROM churn WHERE event_month = 6",
+    "churn_head": "SELECT * FROM churn ORDER BY event_year, event_month, plan LIMIT 8",
     "churn_by_period": "SELECT * FROM churn_period",
     "latest_churn_period": "SELECT * FROM selected",
     "churn_kpis": f"""SELECT selected_period, c.churned_tenants / c.active_tenants * 100 AS overall_churn_pct,
@@ -436,6 +437,7 @@ _TAILS: dict[str, str] = {
         CASE WHEN churn_change > 0 THEN 'dn' WHEN churn_change < 0 THEN 'up' ELSE 'neutral' END FROM kpis""",
     "overview_empty": _LABEL_ROWS + "SELECT 'Churn Rate', '0.0%', '-', 'neutral' FROM kpis",
     "mrr_trend": _TREND_ROWS.format(shown=12),
+    "mrr_trend_6m": _TREND_ROWS.format(shown=6),
     "mrr_trend_all": _TREND_ROWS.format(shown=1_000_000),
     "revenue_by_plan": f"""SELECT {_capital("plan")} AS plan, mrr AS raw_mrr, {_inr("mrr")} AS mrr,
         CAST(floor(mrr / sum(mrr) OVER () * 100) AS INTEGER) AS pct,

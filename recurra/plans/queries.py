@@ -390,6 +390,7 @@ QUERIES: dict[str, Callable[[Billing], DataFrame]] = {
     "churned_tenants_by_plan": lambda b: churn.churned_tenants(b.events),
     "churn_by_plan_month": lambda b: b.churn.orderBy("event_year", "event_month", "plan"),
     "churn_month_sample": lambda b: churn.churn_in_month(b.churn),
+    "churn_head": lambda b: churn.churn_head(b.churn),
     "churn_by_period": lambda b: churn.churn_by_period(churn.with_activity(b.churn)),
     "latest_churn_period": lambda b: churn.latest_churn_period(b.churn),
     "churn_kpis": lambda b: churn.churn_kpis(b.churn, b.events),
@@ -408,6 +409,7 @@ QUERIES: dict[str, Callable[[Billing], DataFrame]] = {
     "overview_labels": lambda b: overview.overview_labels(overview.overview_kpis(b.global_mrr, b.churn)),
     "overview_empty": _overview_empty,
     "mrr_trend": lambda b: overview.mrr_trend(b.global_mrr),
+    "mrr_trend_6m": lambda b: overview.mrr_trend(b.global_mrr, "6m"),
     "mrr_trend_all": lambda b: overview.mrr_trend(b.global_mrr, "all"),
     "revenue_by_plan": lambda b: overview.revenue_by_plan(b.mrr, b.tenants),
     "top_tenants": lambda b: overview.top_tenants(b.stored_ltv, b.stored_mrr),

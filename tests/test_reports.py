@@ -1,9 +1,9 @@
 import pytest
 
 from recurra import schemas
-from recurra.operators import inventory, overview, portfolio, revenue
+from recurra.operators import fallback, inventory, overview, portfolio, revenue
 from recurra.operators.access import tenant_scope
-from recurra.operators.churn import churn_by_plan
+from recurra.operators.churn import billing_risk, churn_by_plan
 from recurra.sources.files import load_or_empty
 from tests.rows import collected, enriched, event
 from tests.test_revenue import tenants
@@ -75,6 +75,15 @@ def test_revenue_by_plan_uses_the_tenant_plan_and_latest_month(spark, mrr):
     assert [r.raw_mrr for r in overview.revenue_by_plan(mrr, tenants(spark, "BC")).collect()] == [0]
 
 
+def test_empty_reports_fall_back(spark, events, mrr, ltv):
+    full = overview.revenue_by_plan(mrr, tenants(spark, "ABC"))
+    assert fallback.revenue_by_plan_or_zero(full).collect() == full.collect()
+    zero = collected(fallback.revenue_by_plan_or_zero(full.limit(0)), "tier")
+    assert [(r["plan"], r["mrr"], r["pct"]) for r in zero] == [(p, "INR 0", 0) for p in ("Starter", "Growth", "Business", "Enterprise")]
+    notice = fallback.billing_risk_or_notice(billing_risk(events, ltv)).collect()
+    assert [r.company_name for r in notice] == ["No high-risk accounts found"]
+
+
 def test_top_tenants_show_their_own_latest_month(ltv, mrr):
     got = collected(overview.top_tenants(ltv, mrr, 2), "tenant_id")
     assert [(r["tenant_id"], r["latest_mrr"], r["mom_growth"]) for r in got] == [("A", 1500, "+50.0%"), ("B", 500, "-")]
