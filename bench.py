@@ -4,8 +4,7 @@ The ``queries`` start from the Parquet tables in ``$BENCH_SF_DIR``, so each of
 them includes deriving the billing events. The entries named ``stored_*`` run
 the same operators on billing tables written before the clock starts, as CSV or
 as Parquet by month. Every run goes to the last row, into Spark's ``noop`` sink.
-One untimed pass over everything warms the JVM, then the best of
-``$BENCH_REPEATS`` runs counts.
+Each query runs once untimed, then the best of ``$BENCH_REPEATS`` runs counts.
 """
 
 import json
@@ -85,13 +84,14 @@ def stored_queries(spark, sf_dir):
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    repeats = int(os.environ.get("BENCH_REPEATS", "2"))
+    repeats = int(os.environ.get("BENCH_REPEATS", "3"))
     spark = (
         SparkSession.builder.master(f"local[{cpus}]")
         .appName("recurra-bench")
         .config("spark.sql.shuffle.partitions", cpus)
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
+        .config("spark.sql.codegen.cache.maxEntries", "1000")
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.driver.memory", "8g")
         .getOrCreate()
@@ -106,9 +106,10 @@ def main() -> None:
         run().write.format("noop").mode("overwrite").save()
         return time.perf_counter() - start
 
-    for run in runs.values():
+    best = {}
+    for name, run in runs.items():
         seconds(run)
-    best = {name: round(min(seconds(run) for _ in range(repeats)), 4) for name, run in runs.items()}
+        best[name] = round(min(seconds(run) for _ in range(repeats)), 4)
     spark.stop()
     print(
         json.dumps(

@@ -1,4 +1,5 @@
 import json
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -27,8 +28,6 @@ def topic(tmp_path):
         file = folder / f"{name}.txt"
         file.write_text("\n".join(lines) + "\n")
         stamp = 1_700_000_000 + 100 * len(list(folder.iterdir()))
-        import os
-
         os.utime(file, (stamp, stamp))
 
     deliver.path = str(folder)
