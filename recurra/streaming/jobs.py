@@ -44,12 +44,13 @@ def drop_redelivered(clean: DataFrame, delay: str = "1 day") -> DataFrame:
 
 
 def daily_counts(clean: DataFrame, delay: str = "1 day") -> DataFrame:
-    """Events per day and type; a day comes out once the watermark has passed it."""
+    """Events per UTC day and type; a day comes out once the watermark has passed it."""
+    utc_day = F.date_from_unix_date((F.unix_seconds("day.start") / 86_400).cast("int"))
     return (
         clean.withWatermark("event_date", delay)
         .groupBy(F.window("event_date", "1 day").alias("day"), "event_type")
         .agg(F.count("*").alias("events"))
-        .select(F.to_date("day.start").alias("day"), "event_type", "events")
+        .select(utc_day.alias("day"), "event_type", "events")
     )
 
 
