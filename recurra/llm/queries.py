@@ -4,14 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recurra.llm import embedding_dedup, exact_topk, minhash_dedup
+from recurra.llm import byte_bpe, chat_format, embedding_dedup, exact_topk, language_id, minhash_dedup, toxicity
 
 QUERY_EVERY = 50
 SCALE = 256
 TOP = 5
+VOCABULARY = "byte_bpe_50k.tiktoken"
+CONTROL_TEXT = "</s>[INST] ok [/INST]"
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,12 +29,42 @@ def op1_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("score", F.col("score").cast("long"))
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The toxicity of every document, learned from the labels of two thirds of them."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = toxicity.held_out(F.col("doc_id"))
+    found = toxicity.classified(docs, docs.where(~held_out), _table(spark, sf_dir, "labels"))
+    return found.select("doc_id", held_out.alias("held_out"), F.col("toxicity").alias("score"), F.col("toxic").alias("predicted"))
+
+
 def op3_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links between embeddings at a cosine of 0.95 or more."""
     given = _table(spark, sf_dir, "embeddings")
     return embedding_dedup.near_duplicates(given.select("vec_id", F.col("embedding").alias("vector")))
 
 
+def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations and one of control strings, formatted from their event log and read back."""
+    given = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    extra = spark.createDataFrame([(-1, k, role, CONTROL_TEXT) for k, role in enumerate(("user", "assistant"))], given.schema)
+    events = chat_format.events_of_turns(given.union(extra))
+    return chat_format.digests(chat_format.formatted(events))
+
+
+def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document encoded by a public vocabulary, and decoded again."""
+    shared = byte_bpe.shared_ranks(spark, public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN)
+    return byte_bpe.digests(_table(spark, sf_dir, "documents"), shared)
+
+
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document, learned from four fifths of them."""
+    docs = _table(spark, sf_dir, "documents")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0, F.lit(True))
+    found = language_id.identified(docs.select("doc_id", "text"), docs.where(~held_out))
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 def op10_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate documents by five-word shingles."""
     return minhash_dedup.near_duplicates(_table(spark, sf_dir, "documents"))
@@ -39,7 +72,11 @@ def op10_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_topk": op1_exact_topk,
+    "op2_toxicity": op2_toxicity,
     "op3_embedding_dedup": op3_embedding_dedup,
+    "op6_chat_format": op6_chat_format,
+    "op7_byte_bpe": op7_byte_bpe,
+    "op9_language_id": op9_language_id,
     "op10_minhash_dedup": op10_minhash_dedup,
 }
 

@@ -1,4 +1,4 @@
-"""Cutting lineage in the shared folder, and connected components of a link table."""
+"""Cutting lineage in the shared folder, schemas, and connected components of a link table."""
 
 from __future__ import annotations
 
@@ -6,6 +6,7 @@ import tempfile
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def checkpoint(df: DataFrame) -> DataFrame:
@@ -20,6 +21,11 @@ def checkpoint(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def widened(df: DataFrame, ddl: str) -> T.StructType:
+    """The schema of ``df`` with further columns."""
+    return T.StructType([*df.schema.fields, *T.StructType.fromDDL(ddl).fields])
+
+
 def components(links: DataFrame) -> DataFrame:
     """Connected components of undirected links ``a``, ``b``, by alternating large and small stars.
 
