@@ -7,9 +7,8 @@ A word's script comes from the code point of its first letter; only languages th
 letters in that script are candidates for it (all, if none does). A word's score in a language is the mean log-likelihood of its n-grams times
 the square root of their number (0 is the mean of all languages), bounded by ``WORD_BOUND``, plus ``OFF_SCRIPT`` for a language that isn't a candidate. The best
 path over all words of a text pays ``PENALTY`` for each change of language, so that single odd words don't break a span while
-longer foreign passages become spans of their own. The label is the language with the most letters on the path; the
-score is the share of letters with that language, times how clearly it wins over the whole text (a logistic of the mean
-margin). Texts are read whole; batches advance word by word together, long texts included.
+longer foreign passages become spans of their own. A language's score is the mean of its share of the letters on the path and of
+its share in a softmax over the whole text's scores (divided by the square root of the number of words); the label is the best one. Texts are read whole; batches advance word by word together, long texts included.
 
 Defined results: a null text, an empty one or one without letters is ``und`` with score 0 and no spans. Ties go to the first
 language by name. Without any labelled text every prediction is ``und``.
@@ -221,12 +220,11 @@ class Labeller:
         path = paths(scores, cuts)
         share = _sums(weight[:, None] * (path[:, None] == np.arange(len(self.model.languages))), cuts)
         total = share.sum(axis=1)
-        winner = share.argmax(axis=1)
-        others = sums.copy()
-        others[np.arange(len(counts)), winner] = -np.inf
-        margin = (sums[np.arange(len(counts)), winner] - others.max(axis=1, initial=-1e9)) / np.sqrt(np.maximum(1, counts))
-        sure = 1 / (1 + np.exp(-np.clip(margin, -50, 50)))
-        score = np.where(total > 0, share[np.arange(len(counts)), winner] / np.maximum(1, total) * sure, 0.0)
+        level = (sums - sums.max(axis=1, keepdims=True)) / np.sqrt(np.maximum(1, counts))[:, None]
+        likely = np.exp(level) / np.exp(level).sum(axis=1, keepdims=True)
+        found = (share / np.maximum(1, total)[:, None] + likely) / 2
+        winner = found.argmax(axis=1)
+        score = np.where(total > 0, found[np.arange(len(counts)), winner], 0.0)
         names = [self.model.languages[w] if n else UNKNOWN for w, n in zip(winner, total)]
         return names, score, [self._spans(path[a:b], place[a:b] - offsets[k]) for k, (a, b) in enumerate(zip(cuts, cuts[1:]))]
 

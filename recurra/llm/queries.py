@@ -8,7 +8,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recurra.llm import byte_bpe, chat_format, embedding_dedup, exact_topk, language_id, minhash_dedup, toxicity
+from recurra.llm import (
+    byte_bpe,
+    chat_format,
+    embedding_dedup,
+    exact_topk,
+    html_extract,
+    language_id,
+    line_dedup,
+    minhash_dedup,
+    mixing,
+    toxicity,
+)
 
 QUERY_EVERY = 50
 SCALE = 256
@@ -43,6 +54,21 @@ def op3_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.near_duplicates(given.select("vec_id", F.col("embedding").alias("vector")))
 
 
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rates of all documents that bring the two quality domains to their target weights."""
+    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    rated = mixing.rates(docs, mixing.quality_domains(labels), mixing.QUALITY_TARGETS, mixing.BUDGET)
+    return rated.select(
+        "doc_id", "n_tokens", F.element_at("posteriors", "high").alias("p_high"), "rate", "copies"
+    )
+
+
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without recurring lines."""
+    found = line_dedup.deduplicated(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "text", "n_lines", "n_dropped")
+
+
 def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All conversations and one of control strings, formatted from their event log and read back."""
     given = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
@@ -57,6 +83,12 @@ def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.digests(_table(spark, sf_dir, "documents"), shared)
 
 
+def op8_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    found = html_extract.extracted(_table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return found.select("page_id", "url", "text", "n_chars")
+
+
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The language of every document, learned from four fifths of them."""
     docs = _table(spark, sf_dir, "documents")
@@ -70,14 +102,57 @@ def op10_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash_dedup.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+#: The same rules by DuckDB: the tokens of all lines in shared leaves, support and first document by position.
+LINE_DEDUP = """
+WITH split AS (
+  SELECT doc_id, unnest(string_split(text, chr(10))) AS raw,
+         unnest(range(len(string_split(text, chr(10))))) AS place
+  FROM documents WHERE doc_id IS NOT NULL AND text IS NOT NULL
+), tidy AS (
+  SELECT doc_id, place,
+         string_split(regexp_replace(trim(regexp_replace(raw, '[ \\t\\r\\f\\x0B]+', ' ', 'g')),
+                                     '[^ ]*[0-9][^ ]*', '<*>', 'g'), ' ') AS tokens
+  FROM split
+), lines AS (
+  SELECT doc_id, place, tokens, len(tokens) AS n, tokens[1:3] AS head FROM tidy WHERE len(tokens) >= 4
+), leaves AS (
+  SELECT n, head FROM lines GROUP BY n, head HAVING count(DISTINCT doc_id) >= 3
+), shared AS (
+  SELECT l.* FROM lines l JOIN leaves USING (n, head)
+), contents AS (
+  SELECT tokens, any_value(n) AS n, any_value(head) AS head, count(DISTINCT doc_id) AS docs, min(doc_id) AS first
+  FROM shared GROUP BY tokens
+), spread AS (
+  SELECT n, head, tokens, docs, first, unnest(tokens) AS token, unnest(range(len(tokens))) AS spot FROM contents
+), constants AS (
+  SELECT n, head, spot, token, min(first) AS brought FROM spread GROUP BY n, head, spot, token HAVING sum(docs) >= 3
+), verdicts AS (
+  SELECT s.tokens, s.first, s.n, count(*) AS constant, count(*) FILTER (WHERE c.brought < s.first) AS earlier
+  FROM spread s JOIN constants c USING (n, head, spot, token) GROUP BY s.tokens, s.first, s.n
+), dropped AS (
+  SELECT doc_id, place FROM shared JOIN verdicts v USING (tokens)
+  WHERE CASE WHEN doc_id > v.first THEN v.constant ELSE v.earlier END >= 0.6 * v.n
+), kept AS (
+  SELECT s.doc_id, string_agg(s.raw, chr(10) ORDER BY s.place) FILTER (WHERE d.place IS NULL) AS text,
+         count(*) AS n_lines, count(d.place) AS n_dropped
+  FROM split s LEFT JOIN dropped d USING (doc_id, place) GROUP BY s.doc_id
+)
+SELECT o.doc_id, CASE WHEN k.doc_id IS NULL THEN o.text ELSE coalesce(k.text, '') END AS text,
+       coalesce(k.n_lines, 0) AS n_lines, coalesce(k.n_dropped, 0) AS n_dropped
+FROM documents o LEFT JOIN kept k USING (doc_id)
+"""
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_topk": op1_exact_topk,
     "op2_toxicity": op2_toxicity,
     "op3_embedding_dedup": op3_embedding_dedup,
+    "op4_mixing": op4_mixing,
+    "op5_line_dedup": op5_line_dedup,
     "op6_chat_format": op6_chat_format,
     "op7_byte_bpe": op7_byte_bpe,
+    "op8_html_extract": op8_html_extract,
     "op9_language_id": op9_language_id,
     "op10_minhash_dedup": op10_minhash_dedup,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op5_line_dedup": LINE_DEDUP}
