@@ -6,8 +6,8 @@ aren't empty, so the next rank is three find-first-set steps away, however long
 from left to right; an entry whose position is gone, or whose pair has changed meanwhile, is stale and skipped. A merge
 adds at most two entries, so a pre-token of n bytes takes O(n) steps besides sorting its buckets.
 
-Pre-tokens repeat, so a worker remembers the ids of short ones, in a table that is emptied when it is full. Texts are
-split, encoded, joined and decoded whole. Ranks are read on the driver and sent once; the file is of fixed size.
+Pre-tokens repeat, so a worker remembers the ids of short ones, in a table that is emptied when it is full. Texts are split, encoded,
+joined and decoded whole. Ranks are read on the driver and sent once; the file is of fixed size.
 
 Defined results: a null text is empty; an empty text has no tokens. Characters that UTF-8 can't hold don't occur in Spark strings.
 """
@@ -29,8 +29,8 @@ from pyspark.sql import functions as F
 from recurra.llm.shared import widened
 from recurra.llm.words import chunks
 
-REMEMBERED = 400_000
-REMEMBERED_BYTES = 64
+REMEMBERED = 1_000_000
+REMEMBERED_CHARS = 64
 
 Ranks = dict[bytes, int]
 
@@ -42,7 +42,7 @@ def read_ranks(path: str) -> Ranks:
 
 
 class RankQueue:
-    """Buckets of positions by rank, the lowest rank first, under a bitmap of three levels."""
+    """The non-empty buckets by rank: a bit for each rank, for each 64 ranks and for each 4096 ranks."""
 
     def __init__(self, size: int):
         self.words = [0] * ((size >> 6) + 1)
@@ -56,69 +56,66 @@ class RankQueue:
             heapq.heappush(bucket, position)
             return
         self.buckets[rank] = [position]
-        self.words[rank >> 6] |= 1 << (rank & 63)
-        self.pages[rank >> 12] |= 1 << (rank >> 6 & 63)
-        self.top |= 1 << (rank >> 12)
-
-    def lowest(self) -> int:
-        """The lowest rank with entries, -1 if there is none."""
-        if not self.top:
-            return -1
+        word, page = rank >> 6, rank >> 12
+        if not self.words[word]:
+            self.pages[page] |= 1 << (word & 63)
+            self.top |= 1 << page
+        self.words[word] |= 1 << (rank & 63)
+
+    def pop(self) -> tuple[int, int]:
+        """The lowest rank and its leftmost position, by three find-first-set steps; an emptied bucket leaves the bitmap."""
         page = (self.top & -self.top).bit_length() - 1
-        word = (page << 6) + (self.pages[page] & -self.pages[page]).bit_length() - 1
-        return (word << 6) + (self.words[word] & -self.words[word]).bit_length() - 1
-
-    def pop(self, rank: int) -> int:
-        """The leftmost position in the bucket of ``rank``; an emptied bucket leaves the bitmap."""
+        bits = self.pages[page]
+        word = (page << 6) + (bits & -bits).bit_length() - 1
+        bits = self.words[word]
+        low = bits & -bits
+        rank = (word << 6) + low.bit_length() - 1
         bucket = self.buckets[rank]
-        position = heapq.heappop(bucket)
-        if not bucket:
-            del self.buckets[rank]
-            word, page = rank >> 6, rank >> 12
-            self.words[word] &= ~(1 << (rank & 63))
-            if not self.words[word]:
-                self.pages[page] &= ~(1 << (word & 63))
-                if not self.pages[page]:
-                    self.top &= ~(1 << page)
-        return position
-
-
-def merge(token: bytes, ranks: Ranks, queue: RankQueue) -> list[int]:
+        if len(bucket) > 1:
+            return rank, heapq.heappop(bucket)
+        del self.buckets[rank]
+        self.words[word] = bits ^ low
+        if bits == low:
+            self.pages[page] &= ~(1 << (word & 63))
+            if not self.pages[page]:
+                self.top &= ~(1 << page)
+        return rank, bucket[0]
+
+
+def merge(token: bytes, ranks: Ranks, queue: RankQueue) -> tuple[int, ...]:
     """The ids of one pre-token. ``queue`` is empty before and after."""
-    whole = ranks.get(token)
-    if whole is not None:
-        return [whole]
-    n = len(token)
+    rank_of = ranks.get
+    if (whole := rank_of(token)) is not None:
+        return (whole,)
+    n, add, pop = len(token), queue.add, queue.pop
     parts: list[bytes | None] = [token[i : i + 1] for i in range(n)]
     after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-    current = [-1] * n
-    for i in range(n - 1):
-        rank = ranks.get(token[i : i + 2])
+    current = [rank_of(token[i : i + 2]) for i in range(n)]
+    current[-1] = None
+    for i, rank in enumerate(current):
         if rank is not None:
-            current[i] = rank
-            queue.add(rank, i)
-    while (rank := queue.lowest()) >= 0:
-        i = queue.pop(rank)
+            add(rank, i)
+    while queue.top:
+        rank, i = pop()
         if current[i] != rank:
             continue
         j = after[i]
-        parts[i] += parts[j]
-        parts[j], current[j] = None, -1
-        k = after[j]
-        after[i] = k
-        current[i] = -1
+        joined = parts[i] = parts[i] + parts[j]
+        parts[j] = current[j] = None
+        k = after[i] = after[j]
         if k < n:
             before[k] = i
-            if (new := ranks.get(parts[i] + parts[k])) is not None:
-                current[i] = new
-                queue.add(new, i)
+            current[i] = new = rank_of(joined + parts[k])
+            if new is not None:
+                add(new, i)
+        else:
+            current[i] = None
         h = before[i]
         if h >= 0:
-            new = ranks.get(parts[h] + parts[i])
-            current[h] = -1 if new is None else new
+            current[h] = new = rank_of(parts[h] + joined)
             if new is not None:
-                queue.add(new, h)
-    return [ranks[part] for part in parts if part is not None]
+                add(new, h)
+    return tuple([ranks[part] for part in parts if part is not None])
 
 
 class Codec:
@@ -132,19 +129,19 @@ class Codec:
         for token, rank in ranks.items():
             self.bytes_of[rank] = token
         self.text_of = list(map(str, range(len(self.bytes_of))))
-        self.memory: dict[str, list[int]] = {}
+        self.memory: dict[str, tuple[int, ...]] = {}
 
-    def _ids(self, pre: str) -> list[int]:
-        ids = merge(pre.encode("utf-8"), self.ranks, self.queue)
-        if len(pre) <= REMEMBERED_BYTES:
+    def _ids(self, part: str) -> tuple[int, ...]:
+        ids = merge(part.encode("utf-8"), self.ranks, self.queue)
+        if len(part) <= REMEMBERED_CHARS:
             if len(self.memory) >= REMEMBERED:
                 self.memory.clear()
-            self.memory[pre] = ids
+            self.memory[part] = ids
         return ids
 
     def encode(self, text: str) -> list[int]:
         get, slow = self.memory.get, self._ids
-        return list(chain.from_iterable([get(pre) or slow(pre) for pre in self.find(text)]))
+        return list(chain.from_iterable([get(part) or slow(part) for part in self.find(text)]))
 
     def decode(self, ids: list[int]) -> bytes:
         return b"".join(map(self.bytes_of.__getitem__, ids))
@@ -196,6 +193,22 @@ def decoded(docs: DataFrame, shared: Broadcast, ids: str = "ids", into: str = "d
     return rest.mapInArrow(decode, widened(rest, f"{into} binary"))
 
 
+def tokenised(docs: DataFrame, shared: Broadcast) -> DataFrame:
+    """``docs`` with n_tokens, ids and exact (whether the ids decode to the text), in one pass over the texts."""
+    rest = docs.drop("n_tokens", "ids", "exact")
+
+    def tokenise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codec = codec_of(shared)
+        for batch in chunks(batches, "text"):
+            texts = [value.as_py() or "" for value in batch.column("text")]
+            ids = [codec.encode(text) for text in texts]
+            exact = [codec.decode(row) == text.encode("utf-8") for row, text in zip(ids, texts)]
+            columns = [pa.array(list(map(len, ids)), pa.int64()), pa.array(ids, pa.list_(pa.int32())), pa.array(exact)]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *columns], [*batch.schema.names, "n_tokens", "ids", "exact"])
+
+    return rest.mapInArrow(tokenise, widened(rest, "n_tokens long, ids array<int>, exact boolean"))
+
+
 def digests(docs: DataFrame, shared: Broadcast) -> DataFrame:
     """doc_id, n_tokens, and the SHA-256 of the ids and of the bytes decoded from them, in one pass over the texts."""
 
