@@ -13,7 +13,7 @@ The log is partitioned by conversation and sorted by sequence. Per message, the
     <|im_start|>ROLE\\nTEXT<|im_end|>\\n
 
 Control strings in texts and roles are escaped, so that none of them occurs in the result but as markup: every backslash is doubled,
-then a single backslash goes behind the first character of a control string; a line break in a role becomes ``<\\n>``.
+then a single backslash goes behind the first character of a control string; a line break in a role becomes ``<n>``.
 :func:`unescaped` undoes it exactly. The loss mask is a list of [start, end) spans of code points over the assistant texts.
 
 One conversation is one string in the result, so its events meet in one task; messages are folded before that.
@@ -71,7 +71,7 @@ def fold(events: DataFrame) -> DataFrame:
     )
     reset = F.expr("int(array_max(transform(log, (e, i) -> if(e.step < 3, i, 0))))")
     kept = F.expr("transform(slice(log, reset + 1, size(log)), e -> e.text)")
-    role = F.expr("coalesce(element_at(filter(log, e -> e.step = 0 and e.role is not null), -1).role, '')")
+    role = F.expr("coalesce(try_element_at(filter(log, e -> e.step = 0 and e.role is not null), -1).role, '')")
     first = F.coalesce("opened", F.struct(F.lit(None).cast("long").alias("seq"), F.lit(0).alias("step")))
     earlier = Window.partitionBy("conv_id").orderBy(F.col("message").asc_nulls_first()).rowsBetween(
         Window.unboundedPreceding, -1
@@ -89,7 +89,7 @@ def rendered(messages: DataFrame) -> DataFrame:
     listed = messages.groupBy("conv_id").agg(
         F.sort_array(F.collect_list(F.struct("message", F.col("role"), F.col("text")))).alias("turns")
     )
-    name = lambda t: F.replace(escaped(t["role"]), F.lit("\n"), F.lit("<\\n>"))
+    name = lambda t: F.replace(escaped(t["role"]), F.lit("\n"), F.lit("<n>"))
     head = F.transform(
         "turns",
         lambda t: F.struct(
@@ -124,7 +124,7 @@ def read_back(chats: DataFrame) -> DataFrame:
 
     def turn(piece: Column) -> Column:
         cut = F.locate("\n", piece)
-        role = F.replace(F.substring(piece, F.lit(len(START) + 1), cut - len(START) - 1), F.lit("<\\n>"), F.lit("\n"))
+        role = F.replace(F.substring(piece, F.lit(len(START) + 1), cut - len(START) - 1), F.lit("<n>"), F.lit("\n"))
         return F.struct(unescaped(role).alias("role"), unescaped(F.substring(piece, cut + 1, F.length(piece))).alias("text"))
 
     spans = F.transform("loss_spans", lambda s: unescaped(F.substring(F.col("formatted"), s[0] + 1, s[1] - s[0])))

@@ -143,7 +143,7 @@ class Network:
         used = np.flatnonzero(of_words.any(axis=1))
         table, inverse = np.unique(places[used], return_inverse=True)
         of_table = np.zeros((len(table), DIMENSIONS), np.float32)
-        np.add.at(of_table, inverse.reshape(len(used), -1), of_words[used][:, None, :])
+        np.add.at(of_table, inverse.reshape(len(used), places.shape[1]), of_words[used][:, None, :])
         return (table, of_table), [*of_filters, *of_bias, miss @ pooled, miss.sum(keepdims=True)]
 
     def score(self, logits: np.ndarray, language: np.ndarray) -> np.ndarray:
