@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from recurra.functions import (
@@ -16,7 +16,6 @@ from recurra.functions import (
     plan_label,
 )
 from recurra.functions.labels import CHURN_PLAN_COLOUR_DEFAULT, CHURN_PLAN_COLOURS
-from recurra.operators.hints import broadcast_rows
 from recurra.schemas import CANCELLED, FAILED, PAID, PLANS
 
 MONTH_PLAN = ["event_year", "event_month", "plan"]
@@ -194,13 +193,16 @@ def billing_risk(
     )
     count = F.col("failure_count")
     names = known_tenants.select("tenant_id", "company_name")
-    return names.join(broadcast_rows(failures, k), "tenant_id").select(
+    # The unpartitioned window sees at most k rows.
+    place = F.row_number().over(Window.orderBy(F.desc("failure_count"), "tenant_id"))
+    return names.join(failures, "tenant_id").select(
+        place.alias("rank"),
         "tenant_id",
         "company_name",
         "failure_count",
         failure_reason(count).alias("reason"),
         failure_severity(count).alias("color"),
-    )
+    ).orderBy("rank")
 
 
 def churn_candidates(

@@ -112,7 +112,7 @@ def cohort_matrix(retention: DataFrame, sizes: DataFrame) -> DataFrame:
     size = F.coalesce(F.col("cohort_size"), F.lit(DEFAULT_COHORT_SIZE).cast("long"))
     return wide.join(sizes.select("cohort", "cohort_size"), "cohort", "left").select(
         "cohort", size.alias("cohort_size"), *labels
-    )
+    ).orderBy("cohort")
 
 
 def retention_lists(matrix: DataFrame) -> DataFrame:

@@ -19,7 +19,6 @@ from recurra.functions import (
 )
 from recurra.functions.labels import REVENUE_PLAN_COLOUR_DEFAULT, REVENUE_PLAN_COLOURS
 from recurra.operators.churn import churn_by_period
-from recurra.operators.hints import broadcast_rows
 from recurra.operators.revenue import latest_tenant_mrr, top_by_ltv
 from recurra.schemas import PLAN_TIER
 
@@ -109,7 +108,7 @@ def overview_labels(kpis: DataFrame) -> DataFrame:
 
 
 def mrr_trend(monthly: DataFrame, window: str = "1y") -> DataFrame:
-    """The latest 6 (``6m``) or 12 (``1y``) months, or all, with bar heights.
+    """The latest 6 (``6m``) or 12 (``1y``) months, or all, oldest first, with bar heights.
 
     The unpartitioned window sees the chosen months only: one row per month.
     """
@@ -120,7 +119,7 @@ def mrr_trend(monthly: DataFrame, window: str = "1y") -> DataFrame:
     tallest = F.max(mrr).over(Window.partitionBy())
     height = F.when(tallest > 0, F.floor(mrr / tallest * TREND_HEIGHT)).otherwise(F.lit(0)).cast("int")
     first_day = F.make_date(F.col("event_year"), F.col("event_month"), F.lit(1))
-    return shown.select("period", first_day.alias("first_day"), mrr, height.alias("pct_height")).select(
+    return shown.orderBy("event_year", "event_month").select("period", first_day.alias("first_day"), mrr, height.alias("pct_height")).select(
         "period",
         F.date_format("first_day", "MMM").alias("month_name"),
         mrr.alias("mrr"),
@@ -137,7 +136,10 @@ def plan_revenue(mrr: DataFrame, tenants: DataFrame) -> DataFrame:
     month is that month, so one row per tenant is joined with the plans and
     the month is picked afterwards from a few rows per month and plan.
     """
-    latest = latest_tenant_mrr(mrr).select("tenant_id", "period", "mrr")
+    # Narrow first: history columns that nobody asks for are then never computed.
+    narrow = mrr.select("tenant_id", "event_year", "event_month", "period", "mrr")
+    latest = narrow.groupBy("tenant_id").agg(F.max(F.struct("event_year", "event_month", "period", "mrr")).alias("last"))
+    latest = latest.select("tenant_id", "last.period", "last.mrr")
     per_month = (
         latest.join(tenants.select("tenant_id", "plan"), "tenant_id", "left")
         .groupBy("period", "plan")
@@ -178,10 +180,13 @@ def top_tenants(ltv: DataFrame, mrr: DataFrame, k: int = 5) -> DataFrame:
     best = top_by_ltv(ltv, k).select("tenant_id", "company_name", "plan", "estimated_ltv")
     # The small side cuts the history down before grouping.
     history = mrr.select("tenant_id", "event_year", "event_month", "mrr", "mrr_growth_pct").join(
-        broadcast_rows(best, k), "tenant_id"
+        best, "tenant_id"
     )
     growth = F.col("mrr_growth_pct")
+    place = F.row_number().over(Window.orderBy(F.desc("estimated_ltv"), "tenant_id"))
+    # The unpartitioned window sees at most k rows.
     return latest_tenant_mrr(history).select(
+        place.alias("rank"),
         "tenant_id",
         "company_name",
         plan_label(F.col("plan")).alias("plan"),
@@ -191,4 +196,4 @@ def top_tenants(ltv: DataFrame, mrr: DataFrame, k: int = 5) -> DataFrame:
         inr_label(F.col("mrr")).alias("mrr"),
         trend_label(growth).alias("mom_growth"),
         trend_class(growth).alias("mom_class"),
-    )
+    ).orderBy("rank")

@@ -11,19 +11,28 @@ from recurra.schemas import PAID
 TENANT_ATTRIBUTES = ["company_name", "industry", "plan", "country"]
 
 
+def paid_by_month(events: DataFrame) -> DataFrame:
+    """Paid revenue, invoices and seats per tenant and month."""
+    paid = events.filter((F.col("event_type") == PAID) & (F.col("status") == "success"))
+    return paid.groupBy("tenant_id", "event_year", "event_month").agg(
+        F.sum("amount").alias("mrr"),
+        F.count("invoice_id").alias("invoice_count"),
+        F.avg("seats").alias("avg_seats"),
+    )
+
+
 def monthly_mrr(events: DataFrame) -> DataFrame:
-    """Paid revenue per tenant and month, with growth, running and rolling values.
+    """Paid revenue per tenant and month, with growth, running and rolling values."""
+    return with_history(paid_by_month(events))
+
+
+def with_history(monthly: DataFrame) -> DataFrame:
+    """Previous, running and rolling values, growth and ARR for :func:`paid_by_month`.
 
     "Previous" and "rolling" count existing rows: a month without payment has
     none. The windows run on the aggregate, at most one row per tenant and
     month, so a tenant with very many events does not make a large window.
     """
-    paid = events.filter((F.col("event_type") == PAID) & (F.col("status") == "success"))
-    monthly = paid.groupBy("tenant_id", "event_year", "event_month").agg(
-        F.sum("amount").alias("mrr"),
-        F.count("invoice_id").alias("invoice_count"),
-        F.avg("seats").alias("avg_seats"),
-    )
     by_month = Window.partitionBy("tenant_id").orderBy("event_year", "event_month")
     to_date = by_month.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     last_three = by_month.rowsBetween(-2, Window.currentRow)

@@ -408,7 +408,8 @@ _TAILS: dict[str, str] = {
     "plan_churn_latest": f"""SELECT {_capital("plan")} AS plan, rate AS churn_rate_pct,
         printf('%.1f%%', rate) AS rate_label, CAST(floor(least(rate * 10, 100)) AS INTEGER) AS bar_width,
         {_choose("plan", labels.CHURN_PLAN_COLOURS, labels.CHURN_PLAN_COLOUR_DEFAULT)} AS color FROM plan_rates""",
-    "billing_risk": """SELECT tenant_id, company_name, failure_count,
+    "billing_risk": """SELECT CAST(row_number() OVER (ORDER BY failure_count DESC, tenant_id) AS INTEGER) AS rank,
+        tenant_id, company_name, failure_count,
         CASE WHEN failure_count > 1 THEN CAST(failure_count AS VARCHAR) || ' failed invoices in last 90d'
           ELSE '1 failed invoice in last 90d' END AS reason,
         CASE WHEN failure_count >= 3 THEN 'var(--color-text-danger)'
@@ -443,7 +444,7 @@ _TAILS: dict[str, str] = {
         CAST(floor(mrr / sum(mrr) OVER () * 100) AS INTEGER) AS pct,
         {_choose("plan", labels.REVENUE_PLAN_COLOURS, labels.REVENUE_PLAN_COLOUR_DEFAULT)} AS color,
         {_choose("plan", schemas.PLAN_TIER, 0)} AS tier FROM plan_latest""",
-    "top_tenants": f"""SELECT t.tenant_id, company_name, {_capital("plan")} AS plan, estimated_ltv,
+    "top_tenants": f"""SELECT CAST(row_number() OVER (ORDER BY estimated_ltv DESC, t.tenant_id) AS INTEGER) AS rank, t.tenant_id, company_name, {_capital("plan")} AS plan, estimated_ltv,
         {_inr("estimated_ltv")} AS ltv, m.mrr AS latest_mrr, {_inr("m.mrr")} AS mrr,
         {_trend("mrr_growth_pct")} AS mom_growth, {_trend_class("mrr_growth_pct")} AS mom_class
         FROM (SELECT * FROM ltv ORDER BY estimated_ltv DESC, tenant_id LIMIT 5) t
@@ -536,7 +537,7 @@ _TAILS: dict[str, str] = {
     "stream_ingest": """SELECT *, CAST(event_date AS DATE) AS event_date_only,
         event_type = 'invoice_paid' AS is_revenue_event, event_type = 'subscription_cancelled' AS is_churn_event,
         CAST(year(event_date) AS INTEGER) AS event_year, CAST(month(event_date) AS INTEGER) AS event_month
-        FROM stream_clean""",
+        FROM (SELECT DISTINCT * FROM stream_clean)""",
     "stream_rejects": """SELECT CASE WHEN NOT broken THEN event_id END AS event_id,
         CASE WHEN NOT broken THEN tenant_id END AS tenant_id,
         CASE WHEN NOT broken THEN event_type END AS event_type,
@@ -547,14 +548,19 @@ _TAILS: dict[str, str] = {
         FROM delivered WHERE broken OR tenant_id IS NULL OR amount < 0 OR event_date IS NULL""",
     "stream_dedup": """SELECT DISTINCT event_id, tenant_id, event_type, amount, event_date FROM stream_clean""",
     "stream_mrr": """SELECT tenant_id, CAST(year(event_date) AS INTEGER) AS event_year,
-        CAST(month(event_date) AS INTEGER) AS event_month, CAST(sum(amount) AS BIGINT) AS mrr,
-        count(*) AS payments FROM stream_clean WHERE event_type = 'invoice_paid' AND status = 'success'
+        CAST(month(event_date) AS INTEGER) AS event_month, CAST(sum(amount) AS BIGINT) AS mrr
+        FROM (SELECT DISTINCT * FROM stream_clean) WHERE event_type = 'invoice_paid' AND status = 'success'
         GROUP BY ALL""",
     "stream_daily": """SELECT CAST(event_date AS DATE) AS day, event_type, count(*) AS events FROM stream_clean
         GROUP BY 1, 2 HAVING CAST(event_date AS DATE) + INTERVAL 1 DAY
           <= (SELECT max(event_date) FROM stream_clean) - INTERVAL 1 DAY""",
 }
-_TAILS["stream_mart_refresh"] = _TAILS["stream_mrr"]
+_TAILS["stream_mart_refresh"] = f"""SELECT *, CAST(0 AS BIGINT) AS invoice_count, CAST(NULL AS DOUBLE) AS avg_seats,
+    {_period("event_year", "event_month")} AS period, lag(mrr) OVER w AS prev_mrr,
+    CASE WHEN lag(mrr) OVER w <> 0 THEN round((mrr - lag(mrr) OVER w) / lag(mrr) OVER w * 100, 2) END AS mrr_growth_pct,
+    CAST(sum(mrr) OVER (w ROWS UNBOUNDED PRECEDING) AS BIGINT) AS cumulative_mrr,
+    avg(mrr) OVER (w ROWS 2 PRECEDING) AS rolling_3m_mrr, mrr * 12 AS arr
+    FROM ({_TAILS["stream_mrr"]}) WINDOW w AS (PARTITION BY tenant_id ORDER BY event_year, event_month)"""
 
 ORACLES: dict[str, str] = {
     name: f"{_PREFIX}{tail if tail.startswith(',') else chr(10) + tail}" for name, tail in _TAILS.items()

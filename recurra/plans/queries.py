@@ -215,10 +215,6 @@ def _message_stream(b: Billing) -> DataFrame:
     return messages.decode_messages(messages.read_message_files(b.spark, path))
 
 
-def _clean_stream(b: Billing) -> DataFrame:
-    return validation.split_events(_message_stream(b))[0].drop("raw_message")
-
-
 def _finish(writer: DataStreamWriter, root: str) -> None:
     jobs.start(writer, f"{root}/checkpoint").awaitTermination()
 
@@ -247,24 +243,23 @@ def _to_parquet(b: Billing, name: str, stream: DataFrame) -> DataFrame:
 
 
 def _stream_dedup(b: Billing) -> DataFrame:
-    kept = _to_parquet(b, "stream-dedup", jobs.drop_redelivered(_clean_stream(b)))
-    return _plain_dates(kept).select("event_id", "tenant_id", "event_type", "amount", "event_date")
+    stored = event_store.read_clean(b.spark, _ingested(b))
+    return _plain_dates(stored).select("event_id", "tenant_id", "event_type", "amount", "event_date")
 
 
 def _stream_mrr(b: Billing) -> DataFrame:
-    root = shared_path(b.spark, "stream-mrr")
-    _finish(jobs.running_mrr(_clean_stream(b), f"{root}/log"), root)
-    return jobs.read_running_mrr(b.spark, f"{root}/log")
+    return jobs.running_mrr(b.spark, _ingested(b)).select("tenant_id", "event_year", "event_month", "mrr")
 
 
 def _stream_daily(b: Billing) -> DataFrame:
-    return _to_parquet(b, "stream-daily", jobs.daily_counts(_clean_stream(b)))
+    clean = validation.split_events(_message_stream(b))[0].drop("raw_message")
+    return _to_parquet(b, "stream-daily", jobs.daily_counts(clean))
 
 
 def _stream_mart_refresh(b: Billing) -> DataFrame:
     root = shared_path(b.spark, "stream-marts")
-    _finish(jobs.refresh_marts(_clean_stream(b), f"{root}/events", f"{root}/mrr"), root)
-    return b.spark.read.parquet(f"{root}/mrr").select(*jobs.MONTH_KEYS, "mrr", "payments")
+    _finish(jobs.refresh_marts(_message_stream(b), f"{root}/events", f"{root}/mrr"), root)
+    return jobs.read_mart(b.spark, f"{root}/mrr")
 
 
 # --- reports ----------------------------------------------------------------

@@ -7,10 +7,13 @@ months only. Rejected rows have no month, as their dates cannot be trusted.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from recurra.operators.validation import enrich_events, tag_events
+from recurra.sources.files import load_or_empty
 
 MONTH = ["event_year", "event_month"]
 PARTITIONS = ["outcome", *MONTH]
@@ -48,6 +51,39 @@ def write_events(raw: DataFrame, path: str) -> None:
     )
 
 
+def append_once(events: DataFrame, path: str) -> None:
+    """Append raw events, the clean ones only if their id isn't stored yet.
+
+    Copies within ``events`` count once. Ids are looked up in the months that
+    ``events`` touches, so the cost follows the new rows and their months, and
+    no event is ever too late. Run again on the same or other cuts of the same
+    events, nothing is added twice. Rejected rows may lack an id; they are
+    appended as they come.
+    """
+    spark = events.sparkSession
+    batch = stored_layout(events).persist()
+    try:
+        clean = batch.filter(F.col("outcome") == CLEAN).dropDuplicates(["event_id"])
+        # One row per calendar month in the batch, few of them.
+        touched = clean.select(*MONTH).distinct().collect()
+        months = reduce(
+            lambda a, b: a | b,
+            ((F.col("event_year") == y) & (F.col("event_month") == m) for y, m in touched),
+            F.lit(False),
+        )
+        known = load_or_empty(spark, path, batch.schema).filter((F.col("outcome") == CLEAN) & months)
+        fresh = clean.join(known.select("event_id"), "event_id", "left_anti").select(*batch.columns)
+        (
+            fresh.union(batch.filter(F.col("outcome") == REJECTED))
+            .hint("rebalance", *PARTITIONS)
+            .write.mode("append")
+            .partitionBy(*PARTITIONS)
+            .parquet(path)
+        )
+    finally:
+        batch.unpersist()
+
+
 def read_clean(spark: SparkSession, path: str) -> DataFrame:
     """Clean enriched events; month filters prune directories."""
     stored = spark.read.parquet(path)

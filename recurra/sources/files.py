@@ -2,19 +2,13 @@
 
 from __future__ import annotations
 
-import logging
-
-from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from recurra import schemas
 
-_ABSENT = {"PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"}
-_UNREADABLE = "CANNOT_READ_FILE_FOOTER"
-
-_log = logging.getLogger(__name__)
+_ABSENT = {"PATH_NOT_FOUND"}
 
 
 def read_events_csv(spark: SparkSession, path: str) -> DataFrame:
@@ -50,14 +44,13 @@ def write_table(df: DataFrame, path: str) -> None:
 
 
 def load_or_empty(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """A Parquet dataset, or an empty frame where it is missing or unreadable."""
+    """A Parquet dataset, or an empty frame where the path is missing or holds no files.
+
+    A file that can't be read is an error when its rows are, never an empty dataset.
+    """
     try:
-        return spark.read.parquet(path)
+        return spark.read.schema(schema).parquet(path)
     except AnalysisException as error:
         if error.getCondition() not in _ABSENT:
             raise
-    except Py4JJavaError as error:
-        if _UNREADABLE not in str(error.java_exception):
-            raise
-        _log.warning("treating unreadable dataset %s as empty", path)
     return spark.createDataFrame([], schema)

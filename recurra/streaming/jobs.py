@@ -1,21 +1,24 @@
-"""Streaming jobs: ingest, redelivery removal, running totals, mart refresh.
+"""Streaming jobs: ingest without redelivered copies, running totals, mart refresh, daily counts.
 
-Each job takes a stream of decoded events and starts one query; the caller
-decides on the trigger. Sinks are Parquet folders in shared storage.
+Each job takes a stream of events and starts one query; the caller decides on
+the trigger. Sinks are Parquet folders in shared storage. Producers deliver at
+least once, so money is summed over event ids: the event store takes each id
+once, whatever way the micro-batches are cut, replayed or restarted, and totals
+are computed from the store.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.readwriter import DataStreamWriter
 
-from recurra.operators.validation import enrich_events
-from recurra.schemas import PAID
-from recurra.sources.event_store import MONTH, PARTITIONS, stored_layout
-
-MONTH_KEYS = ["tenant_id", *MONTH]
+from recurra.operators.revenue import paid_by_month, with_history
+from recurra.sources import event_store
+from recurra.sources.event_store import MONTH
 
 
 def start(writer: DataStreamWriter, checkpoint: str, available_now: bool = True) -> StreamingQuery:
@@ -25,22 +28,12 @@ def start(writer: DataStreamWriter, checkpoint: str, available_now: bool = True)
 
 
 def ingest(events: DataFrame, path: str) -> DataStreamWriter:
-    """Validate, enrich and append to an event store, clean and rejected rows at once.
-
-    The file sink is exactly-once by its own log; read the whole ``path`` back
-    through :mod:`recurra.sources.event_store`, which goes by that log.
-    """
-    return stored_layout(events).writeStream.format("parquet").partitionBy(*PARTITIONS).option("path", path)
-
+    """Validate, enrich and append to an event store: clean events once by id, rejected rows as they come."""
 
-def drop_redelivered(clean: DataFrame, delay: str = "1 day") -> DataFrame:
-    """Keep the first delivery of each event id; state is dropped after ``delay``.
+    def append(batch: DataFrame, batch_id: int) -> None:
+        event_store.append_once(batch, path)
 
-    Takes validated events: NULL ids would all count as one event. Rows pass
-    the state store one at a time, so many copies of one id cost time in one
-    task of the micro-batch but no memory.
-    """
-    return clean.withWatermark("event_date", delay).dropDuplicatesWithinWatermark(["event_id"])
+    return events.writeStream.foreachBatch(append)
 
 
 def daily_counts(clean: DataFrame, delay: str = "1 day") -> DataFrame:
@@ -54,63 +47,46 @@ def daily_counts(clean: DataFrame, delay: str = "1 day") -> DataFrame:
     )
 
 
-def _paid_by_month(enriched: DataFrame) -> DataFrame:
-    return (
-        enriched.filter((F.col("event_type") == PAID) & (F.col("status") == "success"))
-        .groupBy(*MONTH_KEYS)
-        .agg(F.sum("amount").alias("mrr"), F.count("*").alias("payments"))
-    )
-
-
-def running_mrr(clean: DataFrame, path: str) -> DataStreamWriter:
-    """Running revenue per tenant and month as a log of changed rows.
-
-    Each micro-batch writes only the totals it changed, below its own version,
-    so a replayed batch replaces itself. Read with :func:`read_running_mrr`.
-    """
-
-    def write_version(changed: DataFrame, batch_id: int) -> None:
-        changed.write.mode("overwrite").parquet(f"{path}/version={batch_id}")
-
-    return _paid_by_month(enrich_events(clean)).writeStream.outputMode("update").foreachBatch(write_version)
-
-
-def read_running_mrr(spark: SparkSession, path: str) -> DataFrame:
-    """The newest total per tenant and month."""
-    return (
-        spark.read.parquet(path)
-        .groupBy(*MONTH_KEYS)
-        .agg(F.max_by(F.struct("mrr", "payments"), "version").alias("newest"))
-        .select(*MONTH_KEYS, "newest.*")
-    )
+def running_mrr(spark: SparkSession, path: str) -> DataFrame:
+    """Revenue per tenant and month of all events that :func:`ingest` has stored so far."""
+    return paid_by_month(event_store.read_clean(spark, path))
 
 
-def refresh_marts(clean: DataFrame, events_path: str, mart_path: str) -> DataStreamWriter:
-    """Append each micro-batch to the event table, then recompute its months.
+def refresh_marts(events: DataFrame, events_path: str, mart_path: str) -> DataStreamWriter:
+    """Append each micro-batch to the event store, then recompute its months.
 
-    Both tables are replaced by whole partitions, the events by month and
-    batch, the mart by month, so a replayed batch changes nothing. Only the
-    directories of the touched months are listed and read.
+    The mart is replaced by whole months, and a month is computed from the
+    stored events, each id once. Only directories of touched months are read.
+    Read the mart with :func:`read_mart`.
     """
 
-    def replace(df: DataFrame, path: str, partitions: list[str]) -> None:
-        (
-            df.hint("rebalance", *partitions)
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(*partitions)
-            .parquet(path)
-        )
-
     def apply(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        stored = batch.withColumn("batch_id", F.lit(batch_id))
-        replace(stored, events_path, [*MONTH, "batch_id"])
-        # One row per calendar month in the batch, few of them.
-        touched = batch.select(*MONTH).distinct().collect()
+        batch.persist()
+        try:
+            event_store.append_once(batch, events_path)
+            # One row per calendar month in the batch, few of them.
+            clean = event_store.stored_layout(batch).filter(F.col("outcome") == event_store.CLEAN)
+            touched = clean.select(*MONTH).distinct().collect()
+        finally:
+            batch.unpersist()
         if touched:
-            months = [f"{events_path}/event_year={y}/event_month={m}" for y, m in touched]
-            reader = spark.read.schema(stored.schema).option("basePath", events_path)
-            replace(_paid_by_month(reader.parquet(*months)), mart_path, MONTH)
-
-    return enrich_events(clean).writeStream.foreachBatch(apply)
+            stored = event_store.read_clean(spark, events_path)
+            months = reduce(
+                lambda a, b: a | b, ((F.col("event_year") == y) & (F.col("event_month") == m) for y, m in touched)
+            )
+            (
+                paid_by_month(stored.filter(months))
+                .hint("rebalance", *MONTH)
+                .write.mode("overwrite")
+                .option("partitionOverwriteMode", "dynamic")
+                .partitionBy(*MONTH)
+                .parquet(mart_path)
+            )
+
+    return events.writeStream.foreachBatch(apply)
+
+
+def read_mart(spark: SparkSession, mart_path: str) -> DataFrame:
+    """The mart of :func:`refresh_marts` with the columns of the batch table, history included."""
+    return with_history(spark.read.parquet(mart_path))

@@ -1,5 +1,6 @@
 import pathlib
 
+import pytest
 from pyspark.sql import functions as F
 
 from recurra import schemas
@@ -35,8 +36,8 @@ def test_month_directories_are_pruned(spark, tmp_path):
     stored = event_store.read_clean(spark, path)
     assert dict(stored.dtypes)["event_year"] == "int"
     months = pathlib.Path(path, "outcome=clean", "event_year=2024").iterdir()
-    assert {p.name for p in months} == {f"event_month={m}" for m in (1, 2, 3)}
-    assert stored.filter("event_month = 1").count() == 3
+    assert {p.name for p in months} == {f"event_month={m}" for m in (2, 3, 5)}
+    assert stored.filter("event_month = 2").count() == 3
     assert event_store.read_rejected(spark, path).columns == [*schemas.EVENTS.names, "validation_error"]
 
 
@@ -58,15 +59,20 @@ def test_a_busy_month_is_written_by_several_tasks(spark, tmp_path):
     assert event_store.read_clean(spark, path).count() + event_store.read_rejected(spark, path).count() == 15_000
 
 
-def test_missing_and_unreadable_datasets_are_empty(spark, tmp_path):
+def test_missing_datasets_are_empty_and_unreadable_ones_are_errors(spark, tmp_path):
     assert files.load_or_empty(spark, str(tmp_path / "none"), schemas.TENANTS).count() == 0
     (tmp_path / "hollow").mkdir()
     assert files.load_or_empty(spark, str(tmp_path / "hollow"), schemas.TENANTS).count() == 0
     (tmp_path / "broken").mkdir()
     (tmp_path / "broken" / "part-0.parquet").write_bytes(b"this is no parquet file")
-    assert files.load_or_empty(spark, str(tmp_path / "broken"), schemas.TENANTS).count() == 0
-    files.write_table(spark.range(3), str(tmp_path / "good"))
+    with pytest.raises(Exception, match="(?i)parquet|footer|read"):
+        files.load_or_empty(spark, str(tmp_path / "broken"), schemas.TENANTS).count()
+    good = spark.createDataFrame([tuple("abcdef")] * 3, schemas.TENANTS)
+    files.write_table(good, str(tmp_path / "good"))
     assert files.load_or_empty(spark, str(tmp_path / "good"), schemas.TENANTS).count() == 3
+    (tmp_path / "good" / "part-x.parquet").write_bytes(b"this is no parquet file")
+    with pytest.raises(Exception, match="(?i)parquet|footer|read"):
+        files.load_or_empty(spark, str(tmp_path / "good"), schemas.TENANTS).count()
 
 
 def test_csv_to_marts_and_no_stale_rejects(spark, tmp_path):
@@ -78,8 +84,8 @@ def test_csv_to_marts_and_no_stale_rejects(spark, tmp_path):
     marts.run_from_csv(spark, dirty, dim, root)
     assert event_store.read_rejected(spark, f"{root}/billing_events").count() == 1
     assert all(spark.read.parquet(f"{root}/{name}").columns for name in marts.MARTS)
-    total = spark.read.parquet(f"{root}/global_mrr_monthly").filter("period = '2024-01'").first()
-    assert total.total_mrr == 3797
+    total = spark.read.parquet(f"{root}/global_mrr_monthly").filter("period = '2024-02'").first()
+    assert total.total_mrr == 9485
     tidy = str(tmp_path / "tidy.csv")
     files.write_csv(events(spark, SIX_EVENTS[:5]), tidy)
     marts.run_from_csv(spark, tidy, dim, root)

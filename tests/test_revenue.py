@@ -17,10 +17,10 @@ def tenants(spark, ids):
 
 def test_six_rows(spark):
     mrr = revenue.monthly_mrr(enrich_events(split_events(events(spark, SIX_EVENTS))[0]))
-    january = collected(revenue.global_mrr(mrr), "period")[0]
-    assert (january["total_mrr"], january["total_arr"], january["paying_tenants"]) == (3797, 3797 * 12, 3)
-    first = collected(mrr.filter("tenant_id = 'TNT_001'"), "period")
-    assert [r["mrr"] for r in first] == [299, 299] and first[1]["mrr_growth_pct"] == 0.0
+    february = collected(revenue.global_mrr(mrr), "period")[0]
+    assert (february["total_mrr"], february["total_arr"], february["paying_tenants"]) == (9485, 9485 * 12, 3)
+    first = collected(mrr.filter("tenant_id = 'TNT_ADA'"), "period")
+    assert [r["mrr"] for r in first] == [410, 410] and first[1]["mrr_growth_pct"] == 0.0
 
 
 def test_windows_go_by_rows_not_by_calendar(spark):

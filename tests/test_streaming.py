@@ -77,10 +77,20 @@ def test_ingest_splits_like_the_batch_job(spark, topic, tmp_path):
 
 def test_redelivery_within_and_across_batches(spark, topic, tmp_path):
     topic("a", [message(1, "2024-01-01T00:00:01"), message(1, "2024-01-01T00:00:01"), message(2, "2024-01-01T00:10:00")])
-    topic("b", [message(1, "2024-01-01T00:00:01"), message(3, "2024-01-01T01:00:00")])
-    topic("c", [message(3, "2024-01-01T01:00:00"), message(2, "2024-01-01T00:10:00")])
-    run(to_folder(jobs.drop_redelivered(clean(spark, topic, 1)), tmp_path / "out"), tmp_path / "c")
-    assert sorted(r.event_id for r in spark.read.parquet(str(tmp_path / "out")).collect()) == ["EVT_1", "EVT_2", "EVT_3"]
+    topic("b", [message(1, "2024-01-01T00:00:01"), message(3, "2024-03-01T01:00:00")])
+    topic("c", [message(3, "2024-03-01T01:00:00"), message(2, "2024-01-01T00:10:00")])
+    path = str(tmp_path / "out")
+    run(jobs.ingest(decoded(spark, topic, 1), path), tmp_path / "c")
+    assert sorted(r.event_id for r in event_store.read_clean(spark, path).collect()) == ["EVT_1", "EVT_2", "EVT_3"]
+
+
+def test_late_first_deliveries_are_stored(spark, topic, tmp_path):
+    topic("a", [message(1, "2030-01-10T00:00:00")])  # a date far ahead
+    for n in range(2, 5):
+        topic(f"b{n}", [message(n, f"2024-01-{12 - n:02d}T00:00:00"), message(1, "2030-01-10T00:00:00")])
+    path = str(tmp_path / "out")
+    run(jobs.ingest(decoded(spark, topic, 1), path), tmp_path / "c")
+    assert sorted(r.event_id for r in event_store.read_clean(spark, path).collect()) == [f"EVT_{n}" for n in range(1, 5)]
 
 
 def test_late_rows_are_dropped_from_the_third_batch_on(spark, topic, tmp_path):
@@ -99,24 +109,30 @@ def test_running_totals_equal_the_batch_job(spark, topic, tmp_path):
             message(f"{batch}{n}", f"2024-{1 + n % 3:02d}-05T00:00:00", tenant=f"T{n % 4}", amount=n * 10 + batch)
             for n in range(24)
         ])
-    log = str(tmp_path / "log")
-    writer = jobs.running_mrr(clean(spark, topic, 1), log)
-    run(writer, tmp_path / "c")
-    streamed = {(r.tenant_id, r.event_month): (r.mrr, r.payments) for r in jobs.read_running_mrr(spark, log).collect()}
-    batch = messages.decode_messages(spark.read.text(topic.path))
+    topic("again", [message("10", "2024-01-05T00:00:00", tenant="T0", amount=999)])  # an id that is stored already
+    path = str(tmp_path / "events")
+    run(jobs.ingest(decoded(spark, topic, 1), path), tmp_path / "c")
+    run(jobs.ingest(decoded(spark, topic), path), tmp_path / "d")  # everything again, in one batch
+    streamed = {(r.tenant_id, r.event_month): r.mrr for r in jobs.running_mrr(spark, path).collect()}
+    batch = messages.decode_messages(spark.read.text(topic.path)).filter("event_id != 'EVT_10' OR amount != 999")
     want = monthly_mrr(enrich_events(split_events(batch)[0])).collect()
-    assert {k: v[0] for k, v in streamed.items()} == {(r.tenant_id, r.event_month): r.mrr for r in want}
-    assert sum(v[1] for v in streamed.values()) == 72
+    assert streamed == {(r.tenant_id, r.event_month): r.mrr for r in want}
 
 
-def test_mart_refresh_over_batches_and_replay(spark, topic, tmp_path):
+def test_mart_refresh_over_other_cuts_and_added_files(spark, topic, tmp_path):
     topic("a", [message(1, "2024-01-05T00:00:00"), message(2, "2024-02-05T00:00:00")])
-    topic("b", [message(3, "2024-02-06T00:00:00", amount=50), message(4, "2024-03-06T00:00:00")])
+    topic("b", [message(3, "2024-02-06T00:00:00", amount=50), message(4, "2024-03-06T00:00:00"), message(1, "2024-01-05T00:00:00")])
     store, mart = str(tmp_path / "events"), str(tmp_path / "mart")
-    for attempt in range(2):  # a new checkpoint replays every batch
-        run(jobs.refresh_marts(clean(spark, topic, 1), store, mart), tmp_path / f"c{attempt}")
-        got = {r.event_month: (r.mrr, r.payments) for r in spark.read.parquet(mart).collect()}
-        assert got == {1: (100, 1), 2: (150, 2), 3: (100, 1)}
+    for attempt, files in enumerate((1, None, 1)):  # new checkpoints replay every batch, cut in other ways
+        run(jobs.refresh_marts(decoded(spark, topic, files), store, mart), tmp_path / f"c{attempt}")
+        got = {r.event_month: r.mrr for r in jobs.read_mart(spark, mart).collect()}
+        assert got == {1: 100, 2: 150, 3: 100}
+    topic("c", [message(5, "2024-01-09T00:00:00", amount=7)])
+    run(jobs.refresh_marts(decoded(spark, topic, 2), store, mart), tmp_path / "more")
+    batch = messages.decode_messages(spark.read.text(topic.path)).dropDuplicates(["event_id"])
+    want = monthly_mrr(enrich_events(split_events(batch)[0]))
+    got = jobs.read_mart(spark, mart).select(*want.columns)
+    assert sorted(got.collect()) == sorted(want.collect()) and got.columns == want.columns
 
 
 def test_message_text_round_trip(spark):

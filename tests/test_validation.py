@@ -37,4 +37,4 @@ def test_six_rows(spark):
     ]
     rich = enrich_events(clean)
     assert rich.filter("is_churn_event").count() == 1
-    assert enrich_events(events(spark, SIX_EVENTS)).filter("event_month = 1").count() == 4
+    assert enrich_events(events(spark, SIX_EVENTS)).filter("event_month = 2").count() == 4
