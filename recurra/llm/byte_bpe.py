@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from recurra.llm.shared import widened
 from recurra.llm.words import chunks
 
-REMEMBERED = 1_000_000
+REMEMBERED = 600_000
 REMEMBERED_CHARS = 64
 
 Ranks = dict[bytes, int]

@@ -9,7 +9,7 @@ import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 
-CHUNK_BYTES = 4_000_000
+CHUNK_BYTES = 2_000_000
 
 
 def chunks(batches: Iterator[pa.RecordBatch], text: str, limit: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
