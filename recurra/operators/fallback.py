@@ -47,7 +47,7 @@ def revenue_by_plan_or_zero(report: DataFrame) -> DataFrame:
 def billing_risk_or_notice(report: DataFrame) -> DataFrame:
     """The billing-risk list, or one row saying there is none."""
     notice = report.sparkSession.createDataFrame(
-        [(None, NO_RISK_NAME, 0, NO_RISK_REASON, NO_RISK_COLOUR)],
-        "tenant_id string, company_name string, failure_count long, reason string, color string",
+        [(1, None, NO_RISK_NAME, 0, NO_RISK_REASON, NO_RISK_COLOUR)],
+        "rank int, tenant_id string, company_name string, failure_count long, reason string, color string",
     )
     return _or_else(report, notice)
