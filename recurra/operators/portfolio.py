@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from recurra.functions import inr_label, plan_label
+from recurra.operators.revenue import tenant_ltv
 
 
 def latest_period(mrr: DataFrame) -> Column:
@@ -27,6 +28,23 @@ def tenant_status(ltv: DataFrame, mrr: DataFrame, latest: Column | None = None)
     )
 
 
+def tenant_standing(mrr: DataFrame, tenants: DataFrame) -> DataFrame:
+    """Lifetime value and status of each known tenant, straight from the revenue table.
+
+    The same rows as :func:`tenant_status` over :func:`~recurra.operators.revenue.tenant_ltv`, for a revenue table
+    that isn't stored: it is read once for the tenants and once for its latest month.
+    """
+    latest = latest_period(mrr)
+    last_paid = F.max(F.struct("period", "mrr")).alias("last")
+    current = (F.col("last.period") == latest)
+    per_tenant = tenant_ltv(mrr, tenants, last_paid)
+    return (
+        per_tenant.withColumn("latest_mrr", F.when(current, F.col("last.mrr")))
+        .withColumn("status", F.when(current, "Active").otherwise("Churned"))
+        .drop("last")
+    )
+
+
 def tenant_portfolio(status: DataFrame) -> DataFrame:
     """One row of counts and averages over all tenants, before any search."""
     return status.agg(

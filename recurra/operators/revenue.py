@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from recurra.functions import month_start, period
@@ -80,10 +80,11 @@ def last_months(monthly: DataFrame, months: int = 6) -> DataFrame:
     return monthly.orderBy(F.desc("event_year"), F.desc("event_month")).limit(months)
 
 
-def tenant_ltv(mrr: DataFrame, tenants: DataFrame) -> DataFrame:
+def tenant_ltv(mrr: DataFrame, tenants: DataFrame, *further: Column) -> DataFrame:
     """Average revenue, paid months and lifetime value of each known tenant.
 
-    Lifetime value is the average paid month times the number of paid months.
+    Lifetime value is the average paid month times the number of paid months. ``further`` aggregates of a tenant's
+    months are taken in the same pass.
     Both sides have one row per tenant, so the join cannot be skewed; Spark
     broadcasts the tenants only while they are below its size threshold.
     """
@@ -91,6 +92,7 @@ def tenant_ltv(mrr: DataFrame, tenants: DataFrame) -> DataFrame:
         F.avg("mrr").alias("avg_monthly_mrr"),
         F.count("period").alias("active_months"),
         F.sum("mrr").alias("total_revenue"),
+        *further,
     )
     return per_tenant.join(tenants.select("tenant_id", *TENANT_ATTRIBUTES), "tenant_id").withColumn(
         "estimated_ltv", F.col("avg_monthly_mrr") * F.col("active_months")

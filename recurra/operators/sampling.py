@@ -5,29 +5,34 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-_BUCKET_BITS = 16
+_BUCKET_DIGITS = 4
 
 
 def sample_rows(df: DataFrame, n: int, seed: int = 42) -> DataFrame:
     """``n`` rows without replacement (all rows if there are fewer).
 
-    Each row draws a number by hashing its content with the seed, and the
-    ``n`` smallest draws win, so the same table and seed always give the same
-    sample. A histogram of the draws (2**16 buckets at most) first tells which
-    draws can win; only those rows, about ``n``, reach the final ordering.
+    Each row draws a number, the MD5 of the seed and its columns as text, and the ``n`` smallest draws win, so
+    the same table and seed always give the same sample. A histogram of the draws by their first
+    hex digits (65 536 buckets at most) tells in which bucket the sample ends. Buckets below it are taken whole and
+    unsorted; only that bucket is ranked, with equal rows collapsed to one row and a count.
     """
     columns = df.columns
-    drawn = df.withColumn("_draw", F.xxhash64(F.lit(seed), *columns)).withColumn(
-        "_bucket", F.shiftright("_draw", 64 - _BUCKET_BITS)
-    )
-    histogram = drawn.groupBy("_bucket").agg(F.count("*").alias("rows"))
-    running = F.sum("rows").over(Window.orderBy("_bucket"))
-    last_bucket = (
-        histogram.withColumn("running", running).filter(F.col("running") >= n).agg(F.min("_bucket")).scalar()
-    )
-    return (
-        drawn.filter(F.col("_bucket") <= F.coalesce(last_bucket, F.lit(2 ** (_BUCKET_BITS - 1))))
-        .orderBy("_draw", *columns)
-        .limit(n)
-        .select(*columns)
-    )
+    text = [F.coalesce(F.col(f"`{name}`").cast("string"), F.lit("")) for name in columns]
+    draw = F.md5(F.concat_ws("|", F.lit(str(seed)), *text))
+    drawn = df.withColumn("_draw", draw).withColumn("_bucket", F.substring("_draw", 1, _BUCKET_DIGITS))
+    in_order = Window.orderBy("_bucket")
+    histogram = drawn.groupBy("_bucket").agg(F.count("*").alias("_rows"))
+    running = histogram.select("_bucket", "_rows", F.sum("_rows").over(in_order).alias("_running"))
+    ends = running.filter((F.col("_running") >= n) & (F.col("_running") - F.col("_rows") < n))
+    last, before = (ends.agg(F.max(c)).scalar() for c in (F.col("_bucket"), F.col("_running") - F.col("_rows")))
+
+    whole = drawn.filter((F.col("_bucket") < last) | (last.isNull() & F.lit(n > 0)))
+    bucket = drawn.filter(F.col("_bucket") == last).groupBy(*(F.col(f"`{c}`") for c in columns), "_draw", "_bucket")
+    ranked = Window.partitionBy("_bucket").orderBy("_draw", *(F.col(f"`{c}`") for c in columns))
+    upto = F.sum("_copies").over(ranked.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    distinct = bucket.agg(F.count("*").alias("_copies")).withColumn("_upto", upto)
+    taken = F.least(F.col("_copies"), n - before - F.col("_upto") + F.col("_copies")).cast("int")
+    rest = distinct.withColumn("_taken", taken).filter(F.col("_taken") > 0)
+    rest = rest.withColumn("_copy", F.explode(F.array_repeat(F.lit(1), F.col("_taken"))))
+    selected = [F.col(f"`{c}`") for c in columns]
+    return whole.select(*selected).unionByName(rest.select(*selected))

@@ -366,6 +366,12 @@ _MATRIX = ", ".join(
     f"max(retention_pct) FILTER (WHERE months_since_start = {m}) AS M{m}" for m in range(12)
 )
 _UNION = "\nUNION ALL "
+_RAW_TEXT = " || '|' || ".join(
+    f"coalesce(CAST({c} AS VARCHAR), '')"
+    for c in (
+        "event_id", "tenant_id", "event_type", "plan", "amount", "currency", "event_date", "status", "invoice_id", "seats", "trial"
+    )
+)
 
 _TAILS: dict[str, str] = {
     "validated_events": "SELECT * FROM clean",
@@ -473,6 +479,7 @@ _TAILS: dict[str, str] = {
           UNION ALL SELECT 'paying_tenants', count(*) FROM ltv
           UNION ALL SELECT 'cohorts', count(DISTINCT cohort) FROM retention)""",
     "tenant_scoped_mrr": "SELECT * FROM mrr WHERE tenant_id = 'TNT_0000000007'",
+    "sample_events": f"SELECT * FROM raw ORDER BY md5('42|' || {_RAW_TEXT}) LIMIT 5000",
     "revenue_projection": _projected("scenarios", _MONTH_ROWS),
     "projection_summary": _projected("scenarios", _SUMMARY),
     "scenario_rejects": "SELECT * FROM scenario_tags WHERE scenario_error IS NOT NULL",

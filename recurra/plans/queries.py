@@ -97,20 +97,9 @@ class Billing:
     def view(self) -> DataFrame:
         return revenue.monthly_revenue_view(self.invoices, self.tenants)
 
-    @cached_property
-    def stored_mrr(self) -> DataFrame:
-        """The monthly table written once, for queries that read it several times."""
-        path = shared_path(self.spark, "mrr")
-        files.write_table(self.mrr, path)
-        return self.spark.read.schema(self.mrr.schema).parquet(path)
-
-    @cached_property
-    def stored_ltv(self) -> DataFrame:
-        return revenue.tenant_ltv(self.stored_mrr, self.tenants)
-
     @cached_property
     def status(self) -> DataFrame:
-        return portfolio.tenant_status(self.stored_ltv, self.stored_mrr)
+        return portfolio.tenant_standing(self.mrr, self.tenants)
 
     @cached_property
     def scenarios(self) -> DataFrame:
@@ -407,7 +396,7 @@ QUERIES: dict[str, Callable[[Billing], DataFrame]] = {
     "mrr_trend_6m": lambda b: overview.mrr_trend(b.global_mrr, "6m"),
     "mrr_trend_all": lambda b: overview.mrr_trend(b.global_mrr, "all"),
     "revenue_by_plan": lambda b: overview.revenue_by_plan(b.mrr, b.tenants),
-    "top_tenants": lambda b: overview.top_tenants(b.stored_ltv, b.stored_mrr),
+    "top_tenants": lambda b: overview.top_tenants(b.ltv, b.mrr),
     "kpi_formatting": _kpi_formatting,
     "tenant_status": lambda b: b.status,
     "tenant_portfolio": lambda b: _rounded(portfolio.tenant_portfolio(b.status), 2, "avg_ltv", "arpu"),

@@ -1,3 +1,5 @@
+import hashlib
+
 from pyspark.sql import functions as F
 
 from recurra.operators import quality
@@ -28,10 +30,22 @@ def test_defaults(spark):
 def test_sample_is_exact_repeatable_and_the_smallest_draws(spark):
     df = spark.range(20_000).select("id", (F.col("id") % 7).alias("v")).repartition(5)
     for n in (1, 777, 19_999):
-        want = sorted((r.h, r.id) for r in df.select(F.xxhash64(F.lit(3), "id", "v").alias("h"), "id").collect())[:n]
+        draws = sorted((hashlib.md5(f"3|{r.id}|{r.v}".encode()).hexdigest(), r.id) for r in df.collect())
+        want = draws[:n]
         got = [r.id for r in sample_rows(df, n, seed=3).collect()]
         assert sorted(got) == sorted(i for _, i in want)
     assert sample_rows(df, 50_000).count() == 20_000
     assert sample_rows(df, 100, 1).exceptAll(sample_rows(df, 100, 2)).count() > 0
     copies = spark.createDataFrame([("same",)] * 500 + [("other",)], "v string")
-    assert sample_rows(copies, 400).count() == 400
+    for n in (0, 1, 400, 500, 501, 900):
+        assert sample_rows(copies, n).count() == min(n, 501)
+
+
+def test_sample_sorts_one_bucket_only(spark):
+    """A large sample neither sorts its rows nor gathers them in one task; odd column names and NULLs are kept."""
+    df = spark.range(50_000).select(F.when(F.col("id") % 3 > 0, F.col("id")).alias("a.b"), F.lit(None).cast("string").alias("_x"))
+    sample = sample_rows(df, 20_000)
+    text = sample._jdf.queryExecution().executedPlan().toString()
+    assert "TakeOrdered" not in text and "Limit" not in text
+    assert sample.columns == ["a.b", "_x"] and sample.count() == 20_000
+    assert sample.exceptAll(df).count() == 0
