@@ -9,8 +9,25 @@ offset instead of collapsed counts.
 
 from __future__ import annotations
 
-from recurra import schemas
-from recurra.functions import labels
+# Fixed values, written again here so that a wrong one in the library shows as a difference.
+EVENT_TYPES = [
+    "subscription_created",
+    "subscription_upgraded",
+    "subscription_downgraded",
+    "subscription_cancelled",
+    "invoice_paid",
+    "invoice_failed",
+    "trial_started",
+    "trial_converted",
+]
+PLANS = ["starter", "growth", "business", "enterprise"]
+PLAN_TIER = {"starter": 1, "growth": 2, "business": 3, "enterprise": 4}
+INVOICE_STATUSES = ["paid", "failed", "pending", "refunded"]
+REVENUE_PLAN_COLOURS = {"enterprise": "#3C3489", "business": "#185FA5", "growth": "#0F6E56", "starter": "#633806"}
+REVENUE_PLAN_COLOUR_DEFAULT = "#185FA5"
+CHURN_PLAN_COLOURS = {"starter": "#E24B4A", "growth": "#EF9F27", "business": "#85B7EB", "enterprise": "#1D9E75"}
+CHURN_PLAN_COLOUR_DEFAULT = "#85B7EB"
+# End of fixed values.
 
 
 def _sql_list(values: list[str]) -> str:
@@ -95,7 +112,7 @@ raw AS (
 tagged AS (
   SELECT *, CASE WHEN event_id IS NULL THEN 'missing event_id'
     WHEN tenant_id IS NULL THEN 'missing tenant_id'
-    WHEN event_type NOT IN ({_sql_list(schemas.EVENT_TYPES)}) THEN 'invalid event_type'
+    WHEN event_type NOT IN ({_sql_list(EVENT_TYPES)}) THEN 'invalid event_type'
     WHEN amount < 0 THEN 'negative amount'
     WHEN event_date IS NULL THEN 'null event_date' END AS validation_error
   FROM raw),
@@ -225,7 +242,7 @@ plan_latest AS (
   FROM mrr m JOIN tenants l USING (tenant_id) WHERE m.period = (SELECT max(period) FROM mrr) GROUP BY l.plan),
 plan_rates AS (
   SELECT p.plan, coalesce(c.churn_rate_pct, 0) AS rate
-  FROM (SELECT unnest([{_sql_list(schemas.PLANS)}]) AS plan) p
+  FROM (SELECT unnest([{_sql_list(PLANS)}]) AS plan) p
   LEFT JOIN (SELECT * FROM churn WHERE period = (SELECT selected_period FROM selected)) c USING (plan)),
 scenario_rows AS (
   SELECT {_padded("c_custkey", "SCN_")} AS scenario_id,
@@ -413,7 +430,7 @@ _TAILS: dict[str, str] = {
         FROM selected JOIN churn_period c ON c.period = selected_period""",
     "plan_churn_latest": f"""SELECT {_capital("plan")} AS plan, rate AS churn_rate_pct,
         printf('%.1f%%', rate) AS rate_label, CAST(floor(least(rate * 10, 100)) AS INTEGER) AS bar_width,
-        {_choose("plan", labels.CHURN_PLAN_COLOURS, labels.CHURN_PLAN_COLOUR_DEFAULT)} AS color FROM plan_rates""",
+        {_choose("plan", CHURN_PLAN_COLOURS, CHURN_PLAN_COLOUR_DEFAULT)} AS color FROM plan_rates""",
     "billing_risk": """SELECT CAST(row_number() OVER (ORDER BY failure_count DESC, tenant_id) AS INTEGER) AS rank,
         tenant_id, company_name, failure_count,
         CASE WHEN failure_count > 1 THEN CAST(failure_count AS VARCHAR) || ' failed invoices in last 90d'
@@ -448,8 +465,8 @@ _TAILS: dict[str, str] = {
     "mrr_trend_all": _TREND_ROWS.format(shown=1_000_000),
     "revenue_by_plan": f"""SELECT {_capital("plan")} AS plan, mrr AS raw_mrr, {_inr("mrr")} AS mrr,
         CAST(floor(mrr / sum(mrr) OVER () * 100) AS INTEGER) AS pct,
-        {_choose("plan", labels.REVENUE_PLAN_COLOURS, labels.REVENUE_PLAN_COLOUR_DEFAULT)} AS color,
-        {_choose("plan", schemas.PLAN_TIER, 0)} AS tier FROM plan_latest""",
+        {_choose("plan", REVENUE_PLAN_COLOURS, REVENUE_PLAN_COLOUR_DEFAULT)} AS color,
+        {_choose("plan", PLAN_TIER, 0)} AS tier FROM plan_latest""",
     "top_tenants": f"""SELECT CAST(row_number() OVER (ORDER BY estimated_ltv DESC, t.tenant_id) AS INTEGER) AS rank, t.tenant_id, company_name, {_capital("plan")} AS plan, estimated_ltv,
         {_inr("estimated_ltv")} AS ltv, m.mrr AS latest_mrr, {_inr("m.mrr")} AS mrr,
         {_trend("mrr_growth_pct")} AS mom_growth, {_trend_class("mrr_growth_pct")} AS mom_class
@@ -501,10 +518,10 @@ _TAILS: dict[str, str] = {
     ),
     "dq_domain": _UNION.join(
         [
-            _domain_rows("tenants", "tenants", "plan", schemas.PLANS),
-            _domain_rows("invoices", "invoices", "status", schemas.INVOICE_STATUSES),
-            _domain_rows("billing_events", "raw", "plan", schemas.PLANS),
-            _domain_rows("billing_events", "raw", "event_type", schemas.EVENT_TYPES),
+            _domain_rows("tenants", "tenants", "plan", PLANS),
+            _domain_rows("invoices", "invoices", "status", INVOICE_STATUSES),
+            _domain_rows("billing_events", "raw", "plan", PLANS),
+            _domain_rows("billing_events", "raw", "event_type", EVENT_TYPES),
         ]
     ),
     "dq_orphans": _UNION.join(
