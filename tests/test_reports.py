@@ -89,6 +89,13 @@ def test_top_tenants_show_their_own_latest_month(ltv, mrr):
     assert [(r["tenant_id"], r["latest_mrr"], r["mom_growth"]) for r in got] == [("A", 1500, "+50.0%"), ("B", 500, "-")]
 
 
+def test_standing_in_one_pass_equals_status_of_stored_tables(spark, ltv, mrr):
+    one_pass, of_tables = portfolio.tenant_standing(mrr, tenants(spark, "ABC")), portfolio.tenant_status(ltv, mrr)
+    assert one_pass.columns == of_tables.columns
+    assert collected(one_pass, "tenant_id") == collected(of_tables, "tenant_id")
+    assert portfolio.tenant_standing(mrr.limit(0), tenants(spark, "ABC")).count() == 0
+
+
 def test_status_portfolio_and_page(ltv, mrr):
     status = portfolio.tenant_status(ltv, mrr)
     assert {r.tenant_id: r.status for r in status.collect()} == {"A": "Active", "B": "Churned", "C": "Active"}
