@@ -36,7 +36,7 @@ def tenant_standing(mrr: DataFrame, tenants: DataFrame) -> DataFrame:
     """
     latest = latest_period(mrr)
     last_paid = F.max(F.struct("period", "mrr")).alias("last")
-    current = (F.col("last.period") == latest)
+    current = F.col("last.period") == latest
     per_tenant = tenant_ltv(mrr, tenants, last_paid)
     return (
         per_tenant.withColumn("latest_mrr", F.when(current, F.col("last.mrr")))
