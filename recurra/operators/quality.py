@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Column defaults of the event log.
+# Column defaults of the event log and of subscriptions.
 EVENT_DEFAULTS = {"amount": 0, "currency": "INR", "status": "success", "trial": False}
+SUBSCRIPTION_DEFAULTS = {"seats": 1}
 # End of fixed values.
 
 
@@ -53,6 +54,6 @@ def orphans(child: DataFrame, foreign_key: str, parent: DataFrame, key: str) ->
     return values.filter(F.col("key_value").isNotNull()).join(parents, "key_value", "left_anti")
 
 
-def with_defaults(events: DataFrame) -> DataFrame:
+def with_defaults(df: DataFrame, defaults: dict = EVENT_DEFAULTS) -> DataFrame:
     """NULLs replaced by the column defaults."""
-    return events.fillna(EVENT_DEFAULTS)
+    return df.fillna(defaults)

@@ -22,6 +22,7 @@ EVENT_TYPES = [
 ]
 PLANS = ["starter", "growth", "business", "enterprise"]
 PLAN_TIER = {"starter": 1, "growth": 2, "business": 3, "enterprise": 4}
+SUBSCRIPTION_STATUSES = ["active", "cancelled", "paused", "trial"]
 INVOICE_STATUSES = ["paid", "failed", "pending", "refunded"]
 REVENUE_PLAN_COLOURS = {"enterprise": "#3C3489", "business": "#185FA5", "growth": "#0F6E56", "starter": "#633806"}
 REVENUE_PLAN_COLOUR_DEFAULT = "#185FA5"
@@ -105,7 +106,8 @@ raw AS (
     CASE WHEN o_orderkey % 233 <> 0 THEN o_orderdate END AS event_date,
     CASE WHEN et = 'invoice_failed' THEN 'failed'
       WHEN et = 'invoice_paid' AND o_orderkey % 41 = 0 THEN 'pending' ELSE 'success' END AS status,
-    CASE WHEN o_orderkey % 43 <> 0 THEN {_padded("o_orderkey", "INV_")} END AS invoice_id,
+    CASE WHEN o_orderkey % 43 = 0 THEN NULL WHEN o_orderkey % 47 = 0 THEN {_padded("(o_orderkey + 5000000000)", "INV_")}
+      ELSE {_padded("o_orderkey", "INV_")} END AS invoice_id,
     CAST(1 + o_orderkey % 20 AS INTEGER) AS seats,
     rn = 1 AND o_custkey % 2 = 0 AS trial
   FROM typed),
@@ -135,11 +137,27 @@ tenants AS (
   FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE c_custkey % 101 <> 0),
 invoices AS (
   SELECT {_padded("o_orderkey", "INV_")} AS invoice_id, {_padded("o_custkey", "TNT_")} AS tenant_id,
+    CASE WHEN o_orderkey % 59 <> 0 THEN {_padded("o_orderkey", "SUB_")} END AS subscription_id,
     CAST(floor(o_totalprice) AS INTEGER) AS amount, 'INR' AS currency,
     CASE WHEN o_orderkey % 53 = 0 THEN 'refunded' WHEN o_orderstatus = 'F' THEN 'paid'
       WHEN o_orderstatus = 'P' THEN 'failed' ELSE 'pending' END AS status,
-    CAST(o_orderdate AS DATE) AS billing_date
+    CAST(o_orderdate AS DATE) AS billing_date, CAST(o_orderdate AS DATE) + 30 AS due_date,
+    CASE WHEN o_orderstatus = 'F' AND o_orderkey % 53 <> 0 THEN CAST(o_orderdate AS DATE) END AS paid_date
   FROM orders),
+subscriptions AS (
+  SELECT CASE WHEN o_orderkey % 251 = 0 THEN {_padded("(o_orderkey - 1)", "SUB_")}
+      ELSE {_padded("o_orderkey", "SUB_")} END AS subscription_id,
+    CASE WHEN o_orderkey % 239 <> 0 THEN {_padded("o_custkey", "TNT_")} END AS tenant_id,
+    CASE WHEN o_orderkey % 257 = 0 THEN 'legacy' ELSE CASE o_orderpriority WHEN '1-URGENT' THEN 'enterprise'
+      WHEN '2-HIGH' THEN 'business' WHEN '3-MEDIUM' THEN 'growth' ELSE 'starter' END END AS plan,
+    s.status, CAST(floor(o_totalprice) AS INTEGER) AS monthly_amount,
+    CAST(CASE WHEN o_orderkey % 5 <> 0 THEN 1 + o_orderkey % 20 END AS INTEGER) AS seats,
+    CASE WHEN o_orderkey % 233 <> 0 THEN CAST(o_orderdate AS DATE) END AS start_date,
+    CASE WHEN s.status = 'cancelled' THEN CAST(o_orderdate AS DATE) + 365 END AS end_date,
+    CASE WHEN s.status = 'trial' THEN CAST(o_orderdate AS DATE) + 14 END AS trial_end_date
+  FROM (SELECT *, CASE WHEN o_orderkey % 263 = 0 THEN 'expired' WHEN o_orderstatus = 'F' THEN 'cancelled'
+      WHEN o_orderstatus = 'P' THEN 'paused' WHEN o_orderkey % 9 = 0 THEN 'trial' ELSE 'active' END AS status
+    FROM orders) s),
 monthly AS (
   SELECT tenant_id, event_year, event_month, CAST(sum(amount) AS BIGINT) AS mrr,
     count(invoice_id) AS invoice_count, avg(seats) AS avg_seats
@@ -379,9 +397,25 @@ def _check_row(table: str, source: str, checksum: str) -> str:
     )
 
 
+def _risk_rows(events: str) -> str:
+    return f"""SELECT CAST(row_number() OVER (ORDER BY failure_count DESC, tenant_id) AS INTEGER) AS rank,
+        tenant_id, company_name, failure_count,
+        CASE WHEN failure_count > 1 THEN CAST(failure_count AS VARCHAR) || ' failed invoices in last 90d'
+          ELSE '1 failed invoice in last 90d' END AS reason,
+        CASE WHEN failure_count >= 3 THEN 'var(--color-text-danger)'
+          ELSE 'var(--color-text-warning)' END AS color
+        FROM (SELECT tenant_id, count(*) AS failure_count FROM {events} WHERE event_type = 'invoice_failed'
+            AND event_date >= (SELECT max(event_date) FROM {events}) - INTERVAL 90 DAY
+          GROUP BY tenant_id ORDER BY failure_count DESC, tenant_id LIMIT 4)
+        JOIN ltv USING (tenant_id)"""
+
+
 _MATRIX = ", ".join(
     f"max(retention_pct) FILTER (WHERE months_since_start = {m}) AS M{m}" for m in range(12)
 )
+_SLOT_TEXTS = ", ".join(
+    f"coalesce(CAST(max(retention_pct) FILTER (WHERE months_since_start = {m}) AS VARCHAR), 'null')" for m in range(12)
+)
 _UNION = "\nUNION ALL "
 _RAW_TEXT = " || '|' || ".join(
     f"coalesce(CAST({c} AS VARCHAR), '')"
@@ -431,16 +465,14 @@ _TAILS: dict[str, str] = {
     "plan_churn_latest": f"""SELECT {_capital("plan")} AS plan, rate AS churn_rate_pct,
         printf('%.1f%%', rate) AS rate_label, CAST(floor(least(rate * 10, 100)) AS INTEGER) AS bar_width,
         {_choose("plan", CHURN_PLAN_COLOURS, CHURN_PLAN_COLOUR_DEFAULT)} AS color FROM plan_rates""",
-    "billing_risk": """SELECT CAST(row_number() OVER (ORDER BY failure_count DESC, tenant_id) AS INTEGER) AS rank,
-        tenant_id, company_name, failure_count,
-        CASE WHEN failure_count > 1 THEN CAST(failure_count AS VARCHAR) || ' failed invoices in last 90d'
-          ELSE '1 failed invoice in last 90d' END AS reason,
-        CASE WHEN failure_count >= 3 THEN 'var(--color-text-danger)'
-          ELSE 'var(--color-text-warning)' END AS color
-        FROM (SELECT tenant_id, count(*) AS failure_count FROM clean WHERE event_type = 'invoice_failed'
-            AND event_date >= (SELECT max(event_date) FROM clean) - INTERVAL 90 DAY
-          GROUP BY tenant_id ORDER BY failure_count DESC, tenant_id LIMIT 4)
-        JOIN ltv USING (tenant_id)""",
+    "billing_risk": _risk_rows("clean"),
+    "billing_risk_text_dates": _risk_rows(
+        "(SELECT * REPLACE (CASE WHEN seats % 7 <> 0 THEN event_date END AS event_date) FROM clean)"
+    ),
+    "billing_risk_none": """SELECT CAST(1 AS INTEGER) AS rank, CAST(NULL AS VARCHAR) AS tenant_id,
+        'No high-risk accounts found' AS company_name, CAST(0 AS BIGINT) AS failure_count,
+        'No recent failed invoices in processed data' AS reason, 'var(--color-text-tertiary)' AS color
+        WHERE NOT EXISTS (SELECT 1 FROM tenants WHERE plan = 'retired')""",
     "churn_candidates": """SELECT t.tenant_id, t.company_name, max(i.billing_date) AS last_payment
         FROM tenants t LEFT JOIN invoices i ON t.tenant_id = i.tenant_id AND i.status = 'paid'
         GROUP BY t.tenant_id, t.company_name
@@ -453,6 +485,9 @@ _TAILS: dict[str, str] = {
     "cohort_retention_head": "SELECT * FROM retention ORDER BY cohort, months_since_start LIMIT 20",
     "cohort_matrix": f"""SELECT cohort, coalesce(max(s.cohort_size), 25) AS cohort_size, {_MATRIX}
         FROM retention r LEFT JOIN sizes s USING (cohort) GROUP BY cohort""",
+    "cohort_retention_lists": f"""SELECT cohort, coalesce(max(s.cohort_size), 25) AS cohort_size,
+        concat_ws(',', {_SLOT_TEXTS}) AS retention
+        FROM retention r LEFT JOIN sizes s USING (cohort) GROUP BY cohort""",
     "overview_kpis": "SELECT * FROM kpis",
     "overview_labels": _LABEL_ROWS
     + """SELECT 'Churn Rate', printf('%.1f%%', churn_pct),
@@ -467,6 +502,10 @@ _TAILS: dict[str, str] = {
         CAST(floor(mrr / sum(mrr) OVER () * 100) AS INTEGER) AS pct,
         {_choose("plan", REVENUE_PLAN_COLOURS, REVENUE_PLAN_COLOUR_DEFAULT)} AS color,
         {_choose("plan", PLAN_TIER, 0)} AS tier FROM plan_latest""",
+    "revenue_by_plan_none": f"""SELECT {_capital("plan")} AS plan, CAST(0 AS BIGINT) AS raw_mrr, 'INR 0' AS mrr,
+        CAST(0 AS INTEGER) AS pct, {_choose("plan", REVENUE_PLAN_COLOURS, REVENUE_PLAN_COLOUR_DEFAULT)} AS color,
+        {_choose("plan", PLAN_TIER, 0)} AS tier FROM (SELECT unnest([{_sql_list(PLANS)}]) AS plan)
+        WHERE NOT EXISTS (SELECT 1 FROM tenants WHERE plan = 'retired')""",
     "top_tenants": f"""SELECT CAST(row_number() OVER (ORDER BY estimated_ltv DESC, t.tenant_id) AS INTEGER) AS rank, t.tenant_id, company_name, {_capital("plan")} AS plan, estimated_ltv,
         {_inr("estimated_ltv")} AS ltv, m.mrr AS latest_mrr, {_inr("m.mrr")} AS mrr,
         {_trend("mrr_growth_pct")} AS mom_growth, {_trend_class("mrr_growth_pct")} AS mom_class
@@ -482,6 +521,8 @@ _TAILS: dict[str, str] = {
     "tenant_search": """SELECT * FROM status WHERE plan = 'starter'
         AND (regexp_matches(company_name, 'customer#0+.*[37]$', 'i')
           OR regexp_matches(tenant_id, 'customer#0+.*[37]$', 'i'))""",
+    "tenant_search_literal": """SELECT * FROM status
+        WHERE contains(lower(company_name), 'r#00000001') OR contains(lower(tenant_id), 'r#00000001')""",
     "tenant_page": f"""SELECT tenant_id, company_name, {_capital("plan")} AS plan,
         {_inr("(CASE WHEN latest_mrr > 0 THEN CAST(latest_mrr AS DOUBLE) ELSE avg_monthly_mrr END)")} AS mrr,
         active_months, {_inr("estimated_ltv")} AS ltv, status,
@@ -496,6 +537,10 @@ _TAILS: dict[str, str] = {
           UNION ALL SELECT 'paying_tenants', count(*) FROM ltv
           UNION ALL SELECT 'cohorts', count(DISTINCT cohort) FROM retention)""",
     "tenant_scoped_mrr": "SELECT * FROM mrr WHERE tenant_id = 'TNT_0000000007'",
+    "tenant_scoped_tenants": "SELECT * FROM tenants WHERE tenant_id = 'TNT_0000000007'",
+    "tenant_scoped_events": "SELECT * FROM raw WHERE tenant_id = 'TNT_0000000007'",
+    "tenant_scoped_invoices": "SELECT * FROM invoices WHERE tenant_id = 'TNT_0000000007'",
+    "tenant_scoped_subscriptions": "SELECT * FROM subscriptions WHERE tenant_id = 'TNT_0000000007'",
     "sample_events": f"SELECT * FROM raw ORDER BY md5('42|' || {_RAW_TEXT}) LIMIT 5000",
     "revenue_projection": _projected("scenarios", _MONTH_ROWS),
     "projection_summary": _projected("scenarios", _SUMMARY),
@@ -504,6 +549,7 @@ _TAILS: dict[str, str] = {
     "dq_duplicate_keys": _UNION.join(
         [
             _duplicate_rows("tenants", "tenants", ["tenant_id"]),
+            _duplicate_rows("subscriptions", "subscriptions", ["subscription_id"]),
             _duplicate_rows("invoices", "invoices", ["invoice_id"]),
             _duplicate_rows("billing_events", "raw", ["event_id"]),
             _duplicate_rows("mv_monthly_revenue", "revenue_view", ["tenant_id", "billing_month"]),
@@ -512,6 +558,11 @@ _TAILS: dict[str, str] = {
     "dq_nulls": _UNION.join(
         [
             _null_rows("tenants", "tenants", ["tenant_id", "company_name", "plan", "signup_date"]),
+            _null_rows(
+                "subscriptions",
+                "subscriptions",
+                ["subscription_id", "tenant_id", "plan", "status", "monthly_amount", "start_date"],
+            ),
             _null_rows("invoices", "invoices", ["invoice_id", "tenant_id", "amount", "status", "billing_date"]),
             _null_rows("billing_events", "raw", ["event_id", "tenant_id", "event_type", "event_date"]),
         ]
@@ -519,6 +570,8 @@ _TAILS: dict[str, str] = {
     "dq_domain": _UNION.join(
         [
             _domain_rows("tenants", "tenants", "plan", PLANS),
+            _domain_rows("subscriptions", "subscriptions", "plan", PLANS),
+            _domain_rows("subscriptions", "subscriptions", "status", SUBSCRIPTION_STATUSES),
             _domain_rows("invoices", "invoices", "status", INVOICE_STATUSES),
             _domain_rows("billing_events", "raw", "plan", PLANS),
             _domain_rows("billing_events", "raw", "event_type", EVENT_TYPES),
@@ -529,8 +582,11 @@ _TAILS: dict[str, str] = {
             _orphan_rows("billing_events", "raw", "tenant_id", "tenants", "tenant_id"),
             _orphan_rows("billing_events", "raw", "invoice_id", "invoices", "invoice_id"),
             _orphan_rows("invoices", "invoices", "tenant_id", "tenants", "tenant_id"),
+            _orphan_rows("invoices", "invoices", "subscription_id", "subscriptions", "subscription_id"),
+            _orphan_rows("subscriptions", "subscriptions", "tenant_id", "tenants", "tenant_id"),
         ]
     ),
+    "subscriptions_with_defaults": "SELECT * REPLACE (coalesce(seats, 1) AS seats) FROM subscriptions",
     "events_with_defaults": """SELECT event_id, coalesce(nullif(amount, 0), 0) AS amount,
         coalesce(CASE WHEN plan <> 'growth' THEN currency END, 'INR') AS currency,
         coalesce(nullif(status, 'success'), 'success') AS status,

@@ -15,6 +15,7 @@ from recurra.operators import (
     access,
     churn,
     cohorts,
+    fallback,
     inventory,
     overview,
     portfolio,
@@ -32,6 +33,9 @@ from recurra.streaming import jobs, messages
 SCOPED_TENANT = "TNT_0000000007"
 TREND_TENANT = "TNT_0000000001"
 SEARCH = "customer#0+.*[37]$"
+LITERAL_SEARCH = "r#00000001"
+UNSOLD_PLAN = "retired"
+UNREADABLE_EVERY = 7
 SAMPLE_SIZE = 5_000
 REDELIVERED_EVERY = 50
 BROKEN_EVERY = 199
@@ -69,6 +73,10 @@ class Billing:
     def invoices(self) -> DataFrame:
         return fixtures.invoices(self.spark, self.sf_dir)
 
+    @cached_property
+    def subscriptions(self) -> DataFrame:
+        return fixtures.subscriptions(self.spark, self.sf_dir)
+
     @cached_property
     def mrr(self) -> DataFrame:
         return revenue.monthly_mrr(self.events)
@@ -281,6 +289,26 @@ def _overview_empty(b: Billing) -> DataFrame:
     return overview.overview_labels(overview.overview_kpis(b.global_mrr, absent))
 
 
+def _unsold(b: Billing) -> DataFrame:
+    """Tenants of a plan that nobody has, so that a report on them is empty."""
+    return b.tenants.filter(F.col("plan") == UNSOLD_PLAN)
+
+
+def _billing_risk_text_dates(b: Billing) -> DataFrame:
+    """Billing risk over events whose dates are texts, some unreadable."""
+    text = F.date_format("event_date", "yyyy-MM-dd HH:mm:ss")
+    unreadable = F.col("seats") % UNREADABLE_EVERY == 0
+    dated = b.clean.withColumn("event_date", F.when(unreadable, "not a date").otherwise(text))
+    return churn.billing_risk(dated, b.ltv)
+
+
+def _retention_texts(b: Billing) -> DataFrame:
+    """The matrix with its twelve slots in one list, shown as text."""
+    shown = F.transform("retention", lambda rate: F.coalesce(rate.cast("string"), F.lit("null")))
+    lists = cohorts.retention_lists(cohorts.cohort_matrix(b.retention, b.cohort_sizes))
+    return lists.withColumn("retention", F.concat_ws(",", shown))
+
+
 def _rounded(df: DataFrame, digits: int, *names: str) -> DataFrame:
     return df.withColumns({name: F.round(name, digits) for name in names})
 
@@ -293,6 +321,7 @@ def _dq_duplicate_keys(b: Billing) -> DataFrame:
     return _union(
         [
             quality.duplicate_keys(b.tenants, "tenants", ["tenant_id"]),
+            quality.duplicate_keys(b.subscriptions, "subscriptions", ["subscription_id"]),
             quality.duplicate_keys(b.invoices, "invoices", ["invoice_id"]),
             quality.duplicate_keys(b.raw, "billing_events", ["event_id"]),
             quality.duplicate_keys(b.view, "mv_monthly_revenue", ["tenant_id", "billing_month"]),
@@ -304,6 +333,11 @@ def _dq_nulls(b: Billing) -> DataFrame:
     return _union(
         [
             quality.null_counts(b.tenants, "tenants", ["tenant_id", "company_name", "plan", "signup_date"]),
+            quality.null_counts(
+                b.subscriptions,
+                "subscriptions",
+                ["subscription_id", "tenant_id", "plan", "status", "monthly_amount", "start_date"],
+            ),
             quality.null_counts(
                 b.invoices, "invoices", ["invoice_id", "tenant_id", "amount", "status", "billing_date"]
             ),
@@ -318,6 +352,11 @@ def _dq_domain(b: Billing) -> DataFrame:
     return _union(
         [
             quality.domain_violations(b.tenants, "tenants", {"plan": schemas.PLANS}),
+            quality.domain_violations(
+                b.subscriptions,
+                "subscriptions",
+                {"plan": schemas.PLANS, "status": schemas.SUBSCRIPTION_STATUSES},
+            ),
             quality.domain_violations(b.invoices, "invoices", {"status": schemas.INVOICE_STATUSES}),
             quality.domain_violations(
                 b.raw, "billing_events", {"plan": schemas.PLANS, "event_type": schemas.EVENT_TYPES}
@@ -335,6 +374,12 @@ def _dq_orphans(b: Billing) -> DataFrame:
             named(quality.orphans(b.raw, "tenant_id", b.tenants, "tenant_id"), "billing_events", "tenant_id"),
             named(quality.orphans(b.raw, "invoice_id", b.invoices, "invoice_id"), "billing_events", "invoice_id"),
             named(quality.orphans(b.invoices, "tenant_id", b.tenants, "tenant_id"), "invoices", "tenant_id"),
+            named(
+                quality.orphans(b.invoices, "subscription_id", b.subscriptions, "subscription_id"),
+                "invoices",
+                "subscription_id",
+            ),
+            named(quality.orphans(b.subscriptions, "tenant_id", b.tenants, "tenant_id"), "subscriptions", "tenant_id"),
         ]
     )
 
@@ -380,6 +425,8 @@ QUERIES: dict[str, Callable[[Billing], DataFrame]] = {
     "churn_kpis": lambda b: churn.churn_kpis(b.churn, b.events),
     "plan_churn_latest": lambda b: churn.plan_churn(b.churn),
     "billing_risk": lambda b: churn.billing_risk(b.events, b.ltv),
+    "billing_risk_text_dates": _billing_risk_text_dates,
+    "billing_risk_none": lambda b: fallback.billing_risk_or_notice(churn.billing_risk(b.events, _unsold(b))),
     "churn_candidates": lambda b: churn.churn_candidates(b.tenants, b.invoices),
     # cohorts
     "cohort_assignment": lambda b: cohorts.cohort_assignment(b.events),
@@ -388,6 +435,7 @@ QUERIES: dict[str, Callable[[Billing], DataFrame]] = {
     "cohort_retention": lambda b: b.retention,
     "cohort_retention_head": lambda b: cohorts.retention_head(b.retention),
     "cohort_matrix": lambda b: cohorts.cohort_matrix(b.retention, b.cohort_sizes),
+    "cohort_retention_lists": _retention_texts,
     # reports
     "overview_kpis": lambda b: overview.overview_kpis(b.global_mrr, b.churn),
     "overview_labels": lambda b: overview.overview_labels(overview.overview_kpis(b.global_mrr, b.churn)),
@@ -396,14 +444,20 @@ QUERIES: dict[str, Callable[[Billing], DataFrame]] = {
     "mrr_trend_6m": lambda b: overview.mrr_trend(b.global_mrr, "6m"),
     "mrr_trend_all": lambda b: overview.mrr_trend(b.global_mrr, "all"),
     "revenue_by_plan": lambda b: overview.revenue_by_plan(b.mrr, b.tenants),
+    "revenue_by_plan_none": lambda b: fallback.revenue_by_plan_or_zero(overview.revenue_by_plan(b.mrr, _unsold(b))),
     "top_tenants": lambda b: overview.top_tenants(b.ltv, b.mrr),
     "kpi_formatting": _kpi_formatting,
     "tenant_status": lambda b: b.status,
     "tenant_portfolio": lambda b: _rounded(portfolio.tenant_portfolio(b.status), 2, "avg_ltv", "arpu"),
     "tenant_search": lambda b: portfolio.tenant_search(b.status, SEARCH, "Starter"),
+    "tenant_search_literal": lambda b: portfolio.tenant_search(b.status, LITERAL_SEARCH, literal=True),
     "tenant_page": lambda b: portfolio.tenant_page(portfolio.tenant_search(b.status, plan="growth"), page=2),
     "dataset_inventory": lambda b: inventory.dataset_inventory(b.events, b.rejected, b.ltv, b.retention),
     "tenant_scoped_mrr": lambda b: access.tenant_scope(b.mrr, SCOPED_TENANT),
+    "tenant_scoped_tenants": lambda b: access.tenant_scope(b.tenants, SCOPED_TENANT),
+    "tenant_scoped_events": lambda b: access.tenant_scope(b.raw, SCOPED_TENANT),
+    "tenant_scoped_invoices": lambda b: access.tenant_scope(b.invoices, SCOPED_TENANT),
+    "tenant_scoped_subscriptions": lambda b: access.tenant_scope(b.subscriptions, SCOPED_TENANT),
     "sample_events": lambda b: sampling.sample_rows(b.raw, SAMPLE_SIZE),
     # projections
     "revenue_projection": lambda b: projection.revenue_projection(b.scenarios),
@@ -415,6 +469,7 @@ QUERIES: dict[str, Callable[[Billing], DataFrame]] = {
     "dq_nulls": _dq_nulls,
     "dq_domain": _dq_domain,
     "dq_orphans": _dq_orphans,
+    "subscriptions_with_defaults": lambda b: quality.with_defaults(b.subscriptions, quality.SUBSCRIPTION_DEFAULTS),
     "events_with_defaults": _events_with_defaults,
     # files
     "csv_roundtrip_events": _csv_roundtrip_events,

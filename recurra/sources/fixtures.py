@@ -20,6 +20,10 @@ TABLES = {
 }
 
 
+# Every 47th event names an invoice that doesn't exist.
+LOST_INVOICE = "(o_orderkey + IF(o_orderkey % 47 = 0, 5000000000, 0))"
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
 
@@ -64,7 +68,7 @@ def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         "IF(o_orderkey % 233 = 0, NULL, o_orderdate) AS event_date",
         f"""CASE WHEN {is_failed} THEN 'failed' WHEN {is_paid} AND o_orderkey % 41 = 0 THEN 'pending'
             ELSE 'success' END AS status""",
-        f"IF(o_orderkey % 43 = 0, NULL, {padded_id('INV_', 'o_orderkey')}) AS invoice_id",
+        f"IF(o_orderkey % 43 = 0, NULL, {padded_id('INV_', LOST_INVOICE)}) AS invoice_id",
         "CAST(1 + o_orderkey % 20 AS INT) AS seats",
         f"{is_first} AND o_custkey % 2 = 0 AS trial",
     )
@@ -101,6 +105,7 @@ def invoices(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, sf_dir, "orders").selectExpr(
         f"{padded_id('INV_', 'o_orderkey')} AS invoice_id",
         f"{padded_id('TNT_', 'o_custkey')} AS tenant_id",
+        f"IF(o_orderkey % 59 = 0, NULL, {padded_id('SUB_', 'o_orderkey')}) AS subscription_id",
         "CAST(floor(o_totalprice) AS INT) AS amount",
         "'INR' AS currency",
         f"{status} AS status",
@@ -110,6 +115,27 @@ def invoices(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def subscriptions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One subscription period per order, with violations of each constraint sprinkled in."""
+    status = """CASE WHEN o_orderkey % 263 = 0 THEN 'expired' WHEN o_orderstatus = 'F' THEN 'cancelled'
+        WHEN o_orderstatus = 'P' THEN 'paused' WHEN o_orderkey % 9 = 0 THEN 'trial' ELSE 'active' END"""
+    # Every 251st row repeats the id before it.
+    number = "(o_orderkey - IF(o_orderkey % 251 = 0, 1, 0))"
+    return read_table(spark, sf_dir, "orders").selectExpr(
+        f"{padded_id('SUB_', number)} AS subscription_id",
+        f"IF(o_orderkey % 239 = 0, NULL, {padded_id('TNT_', 'o_custkey')}) AS tenant_id",
+        """CASE WHEN o_orderkey % 257 = 0 THEN 'legacy' WHEN o_orderpriority = '1-URGENT' THEN 'enterprise'
+            WHEN o_orderpriority = '2-HIGH' THEN 'business' WHEN o_orderpriority = '3-MEDIUM' THEN 'growth'
+            ELSE 'starter' END AS plan""",
+        f"{status} AS status",
+        "CAST(floor(o_totalprice) AS INT) AS monthly_amount",
+        "CAST(IF(o_orderkey % 5 = 0, NULL, 1 + o_orderkey % 20) AS INT) AS seats",
+        "IF(o_orderkey % 233 = 0, NULL, CAST(o_orderdate AS DATE)) AS start_date",
+        f"IF({status} = 'cancelled', date_add(CAST(o_orderdate AS DATE), 365), NULL) AS end_date",
+        f"IF({status} = 'trial', date_add(CAST(o_orderdate AS DATE), 14), NULL) AS trial_end_date",
+    )
+
+
 def scenarios(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One what-if scenario per customer; some break an input range."""
     return read_table(spark, sf_dir, "customer").selectExpr(

@@ -26,6 +26,9 @@ def test_defaults(spark):
     df = spark.createDataFrame([(None, None, None, None, None), (5, "USD", "failed", True, 2)], "amount int, currency string, status string, trial boolean, seats int")
     assert [tuple(r) for r in quality.with_defaults(df).collect()] == [(0, "INR", "success", False, None), (5, "USD", "failed", True, 2)]
 
+    seats = quality.with_defaults(df, quality.SUBSCRIPTION_DEFAULTS).collect()
+    assert [(r.amount, r.seats) for r in seats] == [(None, 1), (5, 2)]
+
 
 def test_sample_is_exact_repeatable_and_the_smallest_draws(spark):
     df = spark.range(20_000).select("id", (F.col("id") % 7).alias("v")).repartition(5)
