@@ -6,7 +6,10 @@ that may share a template. Within a leaf with lines of at least ``MIN_DOCS`` doc
 lines of at least ``MIN_DOCS`` documents have it there, and a variable field otherwise: the line's template is its constants
 with ``<*>`` elsewhere. A line recurs if at least ``SIMILARITY`` of its tokens are constants that an earlier document has
 already brought (documents in the order of doc_id). Such lines are dropped; so the first document that brings a template keeps it
-whole, and every later one loses it. Lines of fewer than ``MIN_TOKENS`` tokens recur by chance and stay.
+whole, and every later one loses it. Lines of fewer than ``MIN_TOKENS`` tokens have no template.
+
+Apart from templates, a line of at least ``LONG_CHARS`` code points that stands word for word (blanks aside, digits included) in
+several documents is dropped from the second one on, whatever its number of tokens.
 
 Shuffles carry hashes and counts for all lines, tokens only for distinct lines in leaves that several documents
 share. A leaf with a third of all lines is counted before it is shuffled, and joins on leaves are plain equi-joins that
@@ -28,13 +31,19 @@ DEPTH = 3
 MIN_DOCS = 3
 MIN_TOKENS = 4
 SIMILARITY = 0.6
+LONG_CHARS = 20
 
 FIELD = "<*>"
 
 
+def bare_line(line: Column) -> Column:
+    """A line with single blanks between its tokens."""
+    return F.btrim(F.regexp_replace(line, r"[ \t\r\f\x0B]+", " "))
+
+
 def masked(line: Column) -> Column:
     """A line with single blanks between its tokens and ``<*>`` for tokens with a digit."""
-    bare = F.btrim(F.regexp_replace(line, r"[ \t\r\f\x0B]+", " "))
+    bare = bare_line(line)
     return F.when(bare.rlike("[0-9]"), F.regexp_replace(bare, r"[^ ]*[0-9][^ ]*", FIELD)).otherwise(bare)
 
 
@@ -116,9 +125,39 @@ def recurring(docs: DataFrame) -> DataFrame:
     )
 
 
-def deduplicated(docs: DataFrame) -> DataFrame:
-    """``docs`` with recurring lines taken out of text, and n_lines, n_dropped (null texts: 0 and 0)."""
-    found = recurring(docs.select("doc_id", "text")).select("doc_id", F.col("places").alias("_places"))
+def repeated(docs: DataFrame) -> DataFrame:
+    """doc_id, places: the numbers (from 0) of the lines that an earlier document has word for word, for documents that have any."""
+    split = docs.where(F.col("doc_id").isNotNull()).select(
+        "doc_id", F.posexplode(F.split("text", "\n")).alias("place", "raw")
+    )
+    same = (
+        split.select("doc_id", "place", bare_line(F.col("raw")).alias("line"))
+        .where(F.length("line") >= LONG_CHARS)
+        .select("doc_id", "place", F.xxhash64("line", F.lit(2)).alias("same"))
+    )
+    groups = (
+        same.groupBy("same")
+        .agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
+        .where(F.col("first") < F.col("last"))
+    )
+    return (
+        same.join(groups, "same")
+        .where(F.col("doc_id") > F.col("first"))
+        .groupBy("doc_id")
+        .agg(F.array_sort(F.collect_set("place")).alias("places"))
+    )
+
+
+def deduplicated(docs: DataFrame, verbatim: bool = True) -> DataFrame:
+    """``docs`` with recurring lines taken out of text, and n_lines, n_dropped (null texts: 0 and 0).
+
+    Without ``verbatim`` only the lines of recurring templates go, which is what the SQL twin states.
+    """
+    keyed = docs.select("doc_id", "text")
+    found = recurring(keyed)
+    if verbatim:
+        found = found.unionByName(repeated(keyed)).groupBy("doc_id").agg(F.array_distinct(F.flatten(F.collect_list("places"))).alias("places"))
+    found = found.select("doc_id", F.col("places").alias("_places"))
     kept = F.expr("filter(split(text, '\\n'), (line, at) -> NOT array_contains(_places, at))")
     rest = docs.drop("n_lines", "n_dropped")
     joined = rest.join(found, "doc_id", "left")

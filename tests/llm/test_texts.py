@@ -112,6 +112,16 @@ def test_recurring_passages_go_but_for_their_first_document(spark):
     assert [passage in got[i] for i in range(5)] == [True, False, False, False, False]
 
 
+def test_long_lines_of_two_documents_go_from_the_second(spark):
+    passage = " ".join(f"passage{chr(97 + i % 26)}" for i in range(60))
+    rows = [(1, f"first opening of its own\n{passage}\n{passage}"), (2, f"  {passage}\nanother way to open it"), (3, "版权所有，" * 6),
+            (4, "版权所有，" * 6 + "\n短"), (5, "短"), (6, "sum 1 of 30 parts sent"), (7, "sum 2 of 30 parts sent")]
+    docs = spark.createDataFrame(rows, DOCS)
+    got = {r.doc_id: (r.text, r.n_dropped) for r in line_dedup.deduplicated(docs).collect()}
+    assert got == {**{i: (text, 0) for i, text in rows}, 2: ("another way to open it", 1), 4: ("短", 1)}
+    assert {r.n_dropped for r in line_dedup.deduplicated(docs, verbatim=False).collect()} == {0}
+
+
 def test_line_dedup_equals_its_sql(spark):
     draw = np.random.default_rng(2)
     line = lambda: " ".join(f"w{'abcdef'[draw.integers(0, 6)]}" for _ in range(draw.integers(1, 7)))
