@@ -9,7 +9,8 @@ already brought (documents in the order of doc_id). Such lines are dropped; so t
 whole, and every later one loses it. Lines of fewer than ``MIN_TOKENS`` tokens have no template.
 
 Apart from templates, a line of at least ``LONG_CHARS`` code points that stands word for word (blanks aside, digits included) in
-several documents is dropped from the second one on, whatever its number of tokens.
+several documents is dropped from the second one on, whatever its number of tokens. One of at least ``SHORT_CHARS`` is dropped
+there if at least ``MIN_DOCS`` documents have it; shorter ones recur by chance and stay.
 
 Shuffles carry hashes and counts for all lines, tokens only for distinct lines in leaves that several documents
 share. A leaf with a third of all lines is counted before it is shuffled, and joins on leaves are plain equi-joins that
@@ -32,6 +33,7 @@ MIN_DOCS = 3
 MIN_TOKENS = 4
 SIMILARITY = 0.6
 LONG_CHARS = 20
+SHORT_CHARS = 10
 
 FIELD = "<*>"
 
@@ -126,19 +128,22 @@ def recurring(docs: DataFrame) -> DataFrame:
 
 
 def repeated(docs: DataFrame) -> DataFrame:
-    """doc_id, places: the numbers (from 0) of the lines that an earlier document has word for word, for documents that have any."""
+    """doc_id, places: the numbers (from 0) of the lines that enough documents have word for word, but for those of the first."""
     split = docs.where(F.col("doc_id").isNotNull()).select(
         "doc_id", F.posexplode(F.split("text", "\n")).alias("place", "raw")
     )
     same = (
         split.select("doc_id", "place", bare_line(F.col("raw")).alias("line"))
-        .where(F.length("line") >= LONG_CHARS)
-        .select("doc_id", "place", F.xxhash64("line", F.lit(2)).alias("same"))
+        .where(F.length("line") >= SHORT_CHARS)
+        .select("doc_id", "place", F.when(F.length("line") >= LONG_CHARS, 2).otherwise(MIN_DOCS).alias("needed"), F.xxhash64("line", F.lit(2)).alias("same"))
     )
     groups = (
-        same.groupBy("same")
-        .agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
-        .where(F.col("first") < F.col("last"))
+        same.groupBy("same", "needed", "doc_id")
+        .agg(F.lit(1).alias("one"))
+        .groupBy("same", "needed")
+        .agg(F.count("*").alias("n_docs"), F.min("doc_id").alias("first"))
+        .where(F.col("n_docs") >= F.col("needed"))
+        .select("same", "first")
     )
     return (
         same.join(groups, "same")

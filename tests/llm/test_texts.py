@@ -122,6 +122,13 @@ def test_long_lines_of_two_documents_go_from_the_second(spark):
     assert {r.n_dropped for r in line_dedup.deduplicated(docs, verbatim=False).collect()} == {0}
 
 
+def test_lines_of_few_tokens_go_with_three_documents(spark):
+    short = ["Read it all online", "请在这里登录您的账户吧", "Share it"]
+    rows = [(i, "\n".join([f"{'xyz'[i]}opens", *short[: 3 - i // 2]])) for i in range(3)] + [(3, short[1])]
+    got = {r.doc_id: r.text for r in line_dedup.deduplicated(spark.createDataFrame(rows, DOCS)).collect()}
+    assert got == {0: rows[0][1], 1: f"yopens\n{short[2]}", 2: "zopens", 3: ""}
+
+
 def test_line_dedup_equals_its_sql(spark):
     draw = np.random.default_rng(2)
     line = lambda: " ".join(f"w{'abcdef'[draw.integers(0, 6)]}" for _ in range(draw.integers(1, 7)))
