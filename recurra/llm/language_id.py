@@ -162,11 +162,11 @@ def paths(scores: np.ndarray, offsets: np.ndarray, penalty: float = PENALTY) ->
     lengths = np.diff(offsets)
     order = np.argsort(-lengths, kind="stable")
     begin, lengths = offsets[:-1][order], lengths[order]
-    best = np.zeros(len(scores), np.int8)
+    best = np.zeros(len(scores), np.int32)
     if not len(scores):
         return best
     stay = np.zeros(scores.shape, bool)
-    top = np.zeros(len(scores), np.int8)
+    top = np.zeros(len(scores), np.int32)
     alive = np.searchsorted(-lengths, -np.arange(1, lengths[0] + 1), side="right")
     value = scores[begin[: alive[0]]].copy()
     for t in range(1, int(lengths[0])):

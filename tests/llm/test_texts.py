@@ -193,6 +193,24 @@ def test_paths_equal_a_plain_viterbi():
             assert got[a:b].tolist() == best_path(scores[a:b], np.float32(4.0))
 
 
+def test_paths_and_labels_of_two_hundred_languages():
+    scores = np.random.default_rng(5).normal(0, 3, (40, 200)).astype(np.float32)
+    scores[10:20, 130] += 9
+    scores[20:, 199] += 9
+    got = language_id.paths(scores.copy(), np.array([0, 40]), 4.0)
+    assert got.tolist() == best_path(scores, np.float32(4.0)) and {130, 199} <= set(got.tolist())
+    names = [f"l{k:03}" for k in range(200)]
+    words = ["".join(chr(0x4E00 + 40 * k + i) for i in range(20)) for k in range(200)]
+    counts = np.zeros((200, language_id.TABLE))
+    for k, word in enumerate(words):
+        np.add.at(counts[k], language_id.grams([word])[0], 5)
+    labeller = language_id.Labeller(language_id.Model(names, counts, np.ones((200, len(language_id.SCRIPT_NAMES)))))
+    import pyarrow as pa
+
+    found = labeller.label(pa.array([f"{word} {word}" for word in words]))
+    assert found[0] == names and found[1].min() > 0.5
+
+
 EN, DE = "the house and the garden are of this town", "das haus und der garten sind in dieser stadt"
 
 
