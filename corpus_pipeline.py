@@ -15,8 +15,8 @@ VOCABULARY = "byte_bpe_50k.tiktoken"
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is known; those without any letters go. A missing lang is filled in."""
-    found = language_id.identified(docs, docs).where(F.col("lang_pred") != language_id.UNKNOWN)
+    """Documents with letters, which are those with spans, also if no lang is given at all. A missing lang is filled in."""
+    found = language_id.identified(docs, docs).where(F.size("lang_spans") > 0)
     return found.withColumn("lang", F.coalesce("lang", "lang_pred")).select(docs.columns)
 
 

@@ -200,6 +200,18 @@ def _sums(rows: np.ndarray, cuts: np.ndarray) -> np.ndarray:
     return running[cuts[1:]] - running[cuts[:-1]]
 
 
+def unlearned(texts: pa.Array) -> tuple[list[str], np.ndarray, list[list[tuple[int, int, str]]]]:
+    """What ``Labeller.label`` returns where no language was learned: one span from the first to the last word with letters."""
+    words, offsets = split_words(texts, lower=False)
+    index, distinct = numbered(words)
+    sound = np.flatnonzero(np.array([bool(letters_of(word)) for word in distinct], bool)[index])
+    spans = [
+        [(int(sound[a] - start), int(sound[b - 1] - start) + 1, UNKNOWN)] if b > a else []
+        for start, a, b in zip(offsets, *(np.searchsorted(sound, cuts) for cuts in (offsets[:-1], offsets[1:])))
+    ]
+    return [UNKNOWN] * len(texts), np.zeros(len(texts)), spans
+
+
 class Labeller:
     """Applies a model to batches of texts."""
 
@@ -247,8 +259,7 @@ def labelled(docs: DataFrame, shared: Broadcast) -> DataFrame:
     def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         labeller = Labeller(shared.value) if shared.value else None
         for batch in chunks(batches, "text"):
-            n = batch.num_rows
-            found = labeller.label(batch.column("text")) if labeller else ([UNKNOWN] * n, np.zeros(n), [[]] * n)
+            found = (labeller.label if labeller else unlearned)(batch.column("text"))
             spans = [[{"first": a, "last": b, "lang": x} for a, b, x in row] for row in found[2]]
             columns = [pa.array(found[0], pa.string()), pa.array(found[1], pa.float64()), pa.array(spans, kind)]
             yield pa.RecordBatch.from_arrays([*batch.columns, *columns], [*batch.schema.names, *names])

@@ -4,10 +4,11 @@ import hashlib
 
 import public_tokenizers
 import tiktoken
+from pyspark.sql import functions as F
 
 import __spark_entry__ as spark_entry
 import corpus_pipeline
-from recurra.llm import byte_bpe, line_dedup, queries
+from recurra.llm import byte_bpe, language_id, line_dedup, queries
 from tests.llm.test_pairs import close, least_reachable, shingles
 
 SF = "/root/testdata/sf0.001"
@@ -51,6 +52,18 @@ def test_pipeline_of_an_empty_table(spark):
         assert docs.count() == 0
 
 
+def test_documents_without_any_lang_stay(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(3)
+    rows = [{**docs.first().asDict(), "doc_id": i, "text": text, "lang": None} for i, text in enumerate(["12 a b 3", None, "", "12 !!", "字"])]
+    bare = spark.createDataFrame(rows, docs.schema)
+    kept = corpus_pipeline.identify_language(spark, bare, SF).collect()
+    assert {(r.doc_id, r.text, r.lang) for r in kept} == {(0, "12 a b 3", "und"), (4, "字", "und")}
+    spans = language_id.identified(bare, bare).where("doc_id = 0").first().lang_spans
+    assert [tuple(s) for s in spans] == [(1, 3, "und")]
+    named = bare.withColumn("lang", F.lit("und"))
+    assert {r.doc_id for r in corpus_pipeline.identify_language(spark, named, SF).collect()} == {0, 4}
+
+
 def test_every_operator_has_its_query():
     names = [name.split("_")[0] for name in queries.QUERIES]
     assert sorted(names) == sorted(f"op{n}" for n in range(1, 11)) and set(queries.ORACLES) <= set(queries.QUERIES)
