@@ -4,12 +4,16 @@ A page is cut into blocks: the text between two block-level tags. Blocks keep wh
 article or main element, inside boilerplate such as navigation, footers, asides, forms or adverts) and how many of their
 characters are link text.
 
-First pass, each block by itself: boilerplate containers and a link density above ``MOST_LINKS`` decide against it; a
+If a page has an article or main element, its blocks are the text but for boilerplate containers and blocks with a link density
+above ``MOST_LINKS``; stop words and neighbours decide nothing there. On other pages:
+
+First pass, each block by itself: boilerplate containers and the link density decide against it; a
 stop-word density of ``MANY_STOPS`` with ``SHORT`` characters or more, or any length of ``LONG`` characters with ``SOME_STOPS``,
-decides for it; headings and all else stay undecided. Second pass: an undecided block inherits the label of
-its nearest decided neighbours in page order. Where both sides agree that is the label; where they differ, the block takes
-the side of its container: inside an article it is text, outside it isn't. If a page has an article element, blocks
-outside of it are decided against in the first pass, and a page without any decided block takes its article whole.
+decides for it; headings and all else stay undecided. Where less than half of the remaining text is in blocks with ``SOME_STOPS`` (the page's
+language isn't listed) or no block is decided for, length decides without them: ``LONG`` characters, or ``SHORT`` if no block is that long.
+Wide characters (Chinese, Japanese, Korean) count as two there. Second pass: an undecided block
+takes the label of the nearest decided block in page order, of the text side where both are as near; a heading takes the
+label of the next decided block, if there is one.
 
 Defined results: a null or empty page gives an empty text, as does a page without blocks. Unclosed tags end with their
 parent; scripts, styles, templates and comments are never text; a tag that never ends is text no more.
@@ -19,6 +23,7 @@ from __future__ import annotations
 
 import html
 import re
+import unicodedata
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -79,18 +84,67 @@ class Block:
     def __init__(self, text: str, linked: int, main: bool, boilerplate: bool, heading: bool):
         self.text, self.linked, self.main, self.boilerplate, self.heading = text, linked, main, boilerplate, heading
 
-    def label(self, has_main: bool) -> bool | None:
-        """The first pass: whether the block is main text, None if that is undecided."""
-        size = len(self.text)
-        if self.boilerplate or self.linked > MOST_LINKS * size or has_main and not self.main:
-            return False
-        if self.heading:
-            return None
+    def excluded(self) -> bool:
+        """Whether the block is boilerplate by its container or by its links."""
+        return self.boilerplate or self.linked > MOST_LINKS * len(self.text)
+
+    def stops(self) -> tuple[int, int]:
+        """The number of stop words and of words."""
         words = _words.findall(self.text.lower())
-        stops = sum(word in ALL_STOP_WORDS for word in words) / max(1, len(words))
-        if size >= SHORT and stops >= MANY_STOPS or size >= LONG and stops >= SOME_STOPS:
-            return True
-        return None
+        return sum(word in ALL_STOP_WORDS for word in words), len(words)
+
+    def width(self) -> int:
+        """The number of characters, wide ones twice."""
+        if self.text.isascii():
+            return len(self.text)
+        return len(self.text) + sum(unicodedata.east_asian_width(char) in "WF" for char in self.text)
+
+
+def first_pass(found: list[Block]) -> list[bool | None]:
+    """Whether each block of a page without article is main text, None if that is undecided."""
+    labels: list[bool | None] = []
+    known = total = 0
+    for block in found:
+        if block.excluded():
+            labels.append(False)
+            continue
+        stops, words = block.stops()
+        share, size, width = stops / max(1, words), len(block.text), block.width()
+        known, total = known + width * (share >= SOME_STOPS), total + width
+        sure = size >= SHORT and share >= MANY_STOPS or size >= LONG and share >= SOME_STOPS
+        labels.append(True if sure and not block.heading else None)
+    if True not in labels or 2 * known < total:
+        open_blocks = [(k, found[k].width()) for k, label in enumerate(labels) if label is None and not found[k].heading]
+        for least in (LONG, SHORT):
+            for k, width in open_blocks:
+                if width >= least:
+                    labels[k] = True
+            if True in labels:
+                break
+    return labels
+
+
+def second_pass(found: list[Block], labels: list[bool | None]) -> list[bool]:
+    """The labels with those of the nearest decided blocks where there was none; False where nothing is decided."""
+    before: list[int | None] = []
+    for k, label in enumerate(labels):
+        before.append(k if label is not None else before[-1] if before else None)
+    after: list[int | None] = []
+    for k in range(len(labels) - 1, -1, -1):
+        after.append(k if labels[k] is not None else after[-1] if after else None)
+    after.reverse()
+    decided = []
+    for k, (block, left, right) in enumerate(zip(found, before, after)):
+        if left is None or right is None:
+            near = right if left is None else left
+            decided.append(near is not None and bool(labels[near]))
+        elif block.heading or right - k < k - left:
+            decided.append(bool(labels[right]))
+        elif k - left < right - k:
+            decided.append(bool(labels[left]))
+        else:
+            decided.append(bool(labels[left] or labels[right]))
+    return decided
 
 
 def blocks(page: str) -> Iterator[Block]:
@@ -148,23 +202,11 @@ def blocks(page: str) -> Iterator[Block]:
 def main_text(page: str | None) -> str:
     """The blocks of main text, joined by line breaks."""
     found = list(blocks(page or ""))
-    has_main = any(block.main for block in found)
-    labels = [block.label(has_main) for block in found]
-    before: list[bool | None] = []
-    for label in labels:
-        before.append(label if label is not None else before[-1] if before else None)
-    after: list[bool | None] = []
-    for label in reversed(labels):
-        after.append(label if label is not None else after[-1] if after else None)
-    after.reverse()
-    kept = []
-    for block, label, left, right in zip(found, labels, before, after):
-        if label is None:
-            sides = {side for side in (left, right) if side is not None}
-            label = block.main if len(sides) != 1 or block.main else sides.pop()
-        if label:
-            kept.append(block.text)
-    return "\n".join(kept)
+    if any(block.main for block in found):
+        kept = [block.main and not block.excluded() for block in found]
+    else:
+        kept = second_pass(found, first_pass(found))
+    return "\n".join(block.text for block, keep in zip(found, kept) if keep)
 
 
 def extracted(pages: DataFrame) -> DataFrame:

@@ -159,6 +159,30 @@ def test_page_text_without_article():
     assert PARAGRAPH in html_extract.main_text(page) and "Home" not in html_extract.main_text(page)
 
 
+MENU, FOOTER = "<div><a>Home</a> <a>News</a></div>", "<div><a>Next</a></div>"
+
+
+def test_page_text_without_article_keeps_headline_and_last_paragraph():
+    page = f"{MENU}<h1>Title</h1><p>{PARAGRAPH}</p><h2>Middle</h2><p>{PARAGRAPH}</p><p>The end.</p>{FOOTER}<h3>More</h3>{FOOTER}<p>Imprint</p>"
+    assert html_extract.main_text(page) == f"Title\n{PARAGRAPH}\nMiddle\n{PARAGRAPH}\nThe end."
+
+
+RUSSIAN = "Сегодня утром жители города вышли на площадь, чтобы вместе посадить деревья вдоль старой набережной реки. " * 2
+CHINESE = "今天早上城里的居民来到广场，一起沿着古老的河岸种植树木，孩子们也带来了自己的小铲子和水桶，大家忙到了傍晚才回家。" * 2
+POLISH = "Dzisiaj rano mieszkańcy miasta wyszli na plac, żeby wspólnie posadzić drzewa wzdłuż starego nabrzeża rzeki, przynosząc łopaty, wiadra."
+
+
+@pytest.mark.parametrize("text", [RUSSIAN.strip(), CHINESE, POLISH * 2, CHINESE[:25], POLISH])
+def test_page_text_of_other_languages(text):
+    page = f"{MENU}<h1>*</h1><p>{text}</p><p>{text}</p><p>!!</p>{FOOTER}<p>©</p>"
+    assert html_extract.main_text(page) == f"*\n{text}\n{text}\n!!"
+
+
+def test_page_text_of_another_language_with_an_english_sentence():
+    page = f"{MENU}<h1>*</h1><p>{RUSSIAN}</p>{FOOTER}<p>{PARAGRAPH}</p>{FOOTER}<p>{RUSSIAN}{RUSSIAN}</p>{FOOTER}"
+    assert html_extract.main_text(page) == f"*\n{RUSSIAN.strip()}\n{PARAGRAPH}\n{(RUSSIAN + RUSSIAN).strip()}"
+
+
 @pytest.mark.parametrize("page", [None, "", "<", "<!-- open", "<script>x", "<p", "</p></div>", "<a><b><c>" * 50])
 def test_page_text_of_broken_pages(page):
     assert html_extract.main_text(page) in ("", "<", "<p")
