@@ -2,7 +2,7 @@
 
 A softmax regression on whole-text features (square roots of the shares of hashed word stems, of the marks around words and of
 their case, and how far the text repeats itself) is fitted in numpy on at most ``SAMPLE_ROWS`` labelled texts a domain
-(smallest hashes of their text). It gives every document p(domain | text).
+(smallest hashes of their text; the one that brings them to ``SAMPLE_BYTES`` is the last), weighted to the shares of all labelled texts. It gives every document p(domain | text).
 
 The rates r of the documents minimise
 
@@ -31,14 +31,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from recurra.llm.language_id import letters_of
-from recurra.llm.shared import checkpoint
+from recurra.llm.shared import checkpoint, sampled
 from recurra.llm.words import chunks, numbered, split_words, word_hashes
 
 QUALITY_TARGETS = {"high": 0.95, "low": 0.05}
 BUDGET = 1.1
 RIDGE = 1e-4
 SAMPLE_ROWS = 3_000
-SAMPLE_CHARS = 20_000
+SAMPLE_BYTES = 8_000_000
 STEM = 4
 STEMS = 1024
 MARKS = 256
@@ -113,14 +113,20 @@ def fit(rows: np.ndarray, labels: np.ndarray, domains: list[str], prior: np.ndar
 
 def learn(docs: DataFrame, domains: DataFrame, names: list[str], sample_rows: int = SAMPLE_ROWS) -> Classifier | None:
     """The classifier of a bounded sample of the texts that ``domains`` (doc_id, domain) labels."""
-    given = docs.where(F.col("text").isNotNull() & (F.length("text") <= SAMPLE_CHARS))
-    marked = given.select("doc_id", F.xxhash64("text").alias("order")).join(domains.where(F.col("domain").isin(names)), "doc_id")
-    texts = checkpoint(marked.groupBy("order").agg(F.min("doc_id").alias("doc_id"), F.min("domain").alias("domain")))
+    given = docs.where(F.col("text").isNotNull())
+    hashed = given.select("doc_id", F.xxhash64("text").alias("order"), F.octet_length("text").alias("n_bytes"))
+    marked = hashed.join(domains.where(F.col("domain").isin(names)), "doc_id")
+    texts = checkpoint(
+        marked.groupBy("order").agg(
+            F.min("doc_id").alias("doc_id"), F.min("domain").alias("domain"), F.max("n_bytes").alias("n_bytes")
+        )
+    )
     counts = {row["domain"]: row["count"] for row in texts.groupBy("domain").count().collect()}
     if len(counts) < 2:
         return None
     chosen = reduce(
-        DataFrame.union, (texts.where(F.col("domain") == name).orderBy("order").limit(sample_rows) for name in names)
+        DataFrame.union,
+        (sampled(texts.where(F.col("domain") == name), sample_rows, SAMPLE_BYTES).drop("n_bytes") for name in names),
     )
     rows = given.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("order", "text", "domain").toPandas()
     rows = rows.drop_duplicates("order").sort_values("order")

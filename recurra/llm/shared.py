@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -26,6 +26,16 @@ def widened(df: DataFrame, ddl: str) -> T.StructType:
     return T.StructType([*df.schema.fields, *T.StructType.fromDDL(ddl).fields])
 
 
+def sampled(texts: DataFrame, rows: int, size: int) -> DataFrame:
+    """The first ``rows`` of ``texts`` by ``order``, ended by the one that brings the sum of ``n_bytes`` to ``size`` or more.
+
+    Whether a text is in doesn't depend on its own length; only the limited rows meet in one task.
+    """
+    some = texts.orderBy("order").limit(rows)
+    before = F.coalesce(F.sum("n_bytes").over(Window.orderBy("order").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    return some.withColumn("_before", before).where(F.col("_before") < size).drop("_before")
+
+
 def components(links: DataFrame) -> DataFrame:
     """Connected components of undirected links ``a``, ``b``, by alternating large and small stars.
 

@@ -4,8 +4,8 @@ A word (lower-cased letters) is the sum of hashed embeddings of itself and of it
 known stem are known as well; places that fewer than ``LEAST_TEXTS`` training texts have stay zero. Filters of several widths slide over the
 words, a ReLU and the maximum over the whole text follow, and one output adds them up, with weights of zero or more: evidence for
 toxicity can't be outweighed by whatever else a text holds. Training is plain
-mini-batch Adam with hand-written gradients on at most ``SAMPLE_ROWS`` labelled texts a class (smallest hashes of their text),
-since more add nothing to a model of fixed size.
+mini-batch Adam with hand-written gradients on at most ``SAMPLE_ROWS`` labelled texts a class (smallest hashes of their text;
+the one that brings them to ``SAMPLE_BYTES`` is the last), since more add nothing to a model of fixed size.
 
 Thresholds are calibrated by language on labelled texts that training didn't see: per language the cut between the classes
 (a third of the way up in the gap that errs least) becomes a score of ``CUT``. The language is guessed from the text's
@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from recurra.llm.language_id import letters_of
-from recurra.llm.shared import widened
+from recurra.llm.shared import sampled, widened
 from recurra.llm.stopwords import STOP_WORDS
 from recurra.llm.words import PLACES, chunks, mixed, numbered, split_words, word_hashes
 
@@ -39,7 +39,7 @@ DIMENSIONS = 8
 WIDTHS = (1, 2, 3)
 FILTERS = 8
 SAMPLE_ROWS = 3_000
-SAMPLE_CHARS = 20_000
+SAMPLE_BYTES = 8_000_000
 CALIBRATE_EVERY = 4
 EPOCHS = 8
 BATCH = 32
@@ -224,10 +224,12 @@ def _cut(logits: np.ndarray, labels: np.ndarray) -> float:
 def learn(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Network | None:
     """The network of a bounded sample of the texts of ``docs`` that ``labels`` (doc_id, toxic) covers."""
     known = labels.where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull()).select("doc_id", "toxic")
-    given = docs.where(F.col("text").isNotNull() & (F.length("text") <= SAMPLE_CHARS))
-    marked = given.select("doc_id", F.xxhash64("text").alias("order")).join(known, "doc_id")
-    texts = marked.groupBy("order").agg(F.min("doc_id").alias("doc_id"), F.max("toxic").alias("toxic"))
-    chosen = [texts.where(F.col("toxic") == k).orderBy("order").limit(sample_rows) for k in (0, 1)]
+    given = docs.where(F.col("text").isNotNull())
+    marked = given.select("doc_id", F.xxhash64("text").alias("order"), F.octet_length("text").alias("n_bytes")).join(known, "doc_id")
+    texts = marked.groupBy("order").agg(
+        F.min("doc_id").alias("doc_id"), F.max("toxic").alias("toxic"), F.max("n_bytes").alias("n_bytes")
+    )
+    chosen = [sampled(texts.where(F.col("toxic") == k), sample_rows, SAMPLE_BYTES).drop("n_bytes") for k in (0, 1)]
     few = F.broadcast(chosen[0].union(chosen[1]))
     rows = given.select("doc_id", "text").join(few, "doc_id").select("order", "text", "toxic").toPandas()
     rows = rows.drop_duplicates("order").sort_values("order")

@@ -361,6 +361,21 @@ def test_mixing(spark):
         mixing.rates(docs, domains, {"high": 1.0})
 
 
+def test_long_labelled_texts_teach_too(spark, monkeypatch):
+    texts, labels = network_case()
+    long = [f"{text} " + "akon " * 4_500 * int(y) for text, y in zip(texts[:60], labels)]
+    docs = spark.createDataFrame([*enumerate(long)], DOCS)
+    marks = spark.createDataFrame([(i, int(y)) for i, y in enumerate(labels[:60])], "doc_id long, toxic int")
+    assert toxicity.learn(docs, marks) is not None
+    domains = marks.select("doc_id", F.when(F.col("toxic") == 1, "low").otherwise("high").alias("domain"))
+    seen = {}
+    fit = mixing.fit
+    monkeypatch.setattr(mixing, "fit", lambda *given: seen.update(rows=given[1], prior=given[3]) or fit(*given))
+    monkeypatch.setattr(mixing, "SAMPLE_BYTES", 45_000)
+    assert mixing.learn(docs, domains, ["high", "low"]) is not None
+    assert seen["prior"].tolist() == [0.75, 0.25] and (seen["rows"] == 1).sum() == 2 and (seen["rows"] == 0).sum() == 45
+
+
 def test_vocabulary_file_is_the_public_one():
     with open(public_tokenizers.path(queries.VOCABULARY), "rb") as lines:
         first = next(lines).split()
