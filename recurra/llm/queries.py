@@ -13,13 +13,17 @@ from recurra.llm import (
     chat_format,
     embedding_dedup,
     exact_topk,
+    fill_middle,
+    filter_audit,
     html_extract,
     language_id,
     line_dedup,
     minhash_dedup,
     mixing,
+    quality_rules,
     toxicity,
 )
+from recurra.llm.stopwords import ALL_STOP_WORDS
 
 QUERY_EVERY = 50
 SCALE = 256
@@ -102,6 +106,30 @@ def op10_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash_dedup.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op11_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and verdict of every document."""
+    found = quality_rules.judged(_table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
+        F.array_join("broken_rules", ",").alias("broken_rules"),
+    )
+
+
+def op12_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document in fill-in-the-middle form, and rebuilt from that form."""
+    moved = fill_middle.transformed(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    back = fill_middle.restored(moved.drop("text"))
+    return back.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"), F.sha2("restored", 256).alias("restored_sha256"),
+    )
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What five filters remove of all documents, in every order."""
+    return filter_audit.filter_audit(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 #: The same rules by DuckDB: the tokens of all lines in shared leaves, support and first document by position.
 LINE_DEDUP = """
 WITH split AS (
@@ -142,6 +170,117 @@ SELECT o.doc_id, CASE WHEN k.doc_id IS NULL THEN o.text ELSE coalesce(k.text, ''
 FROM documents o LEFT JOIN kept k USING (doc_id)
 """
 
+#: Counts by list functions, windows of five words as rows; the rules of the threshold table spelled out.
+QUALITY_RULES = r"""
+WITH given AS (
+  SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text, lang FROM documents
+), split AS (
+  SELECT r, doc_id, text, coalesce(lang IN ('de', 'en', 'es', 'fr'), false) AS listed,
+         regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS w,
+         list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
+  FROM given
+), starts AS (
+  SELECT r, w, unnest(range(1, len(w) - 3)) AS spot FROM split WHERE len(w) >= 5
+), windows AS (
+  SELECT r, spot, count(*) OVER (PARTITION BY r, w[spot], w[spot + 1], w[spot + 2], w[spot + 3], w[spot + 4]) AS times FROM starts
+), covered AS (
+  SELECT r, count(DISTINCT spot + k) AS n FROM windows, range(5) AS t(k) WHERE times > 1 GROUP BY r
+), counts AS (
+  SELECT s.r, doc_id, text, listed, len(w) AS n_words, length(list_aggregate(w, 'string_agg', '')) AS chars,
+         length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS n_symbols,
+         length(regexp_replace(text, '[^\p{L}]', '', 'g')) AS n_letters,
+         length(regexp_replace(text, '[^\p{Lu}]', '', 'g')) AS n_capitals,
+         len(list_filter(w, lambda x: lower(x) IN (STOPS))) AS n_stops,
+         len(lines) AS n_lines, len(lines) - len(list_distinct(lines)) AS n_dup_lines,
+         len(list_filter(lines, lambda x: regexp_matches(x, '^[\x20\x09-\x0D]*[-*•‣◦]'))) AS n_bullets,
+         len(list_filter(lines, lambda x: regexp_matches(x, '(\.\.\.|…)[\x20\x09-\x0D]*$'))) AS n_dots,
+         coalesce(c.n, 0) AS n_repeat_words,
+         regexp_matches(text, '[\x{0E00}-\x{0EFF}\x{1000}-\x{109F}\x{1780}-\x{17FF}\x{3040}-\x{30FF}\x{3400}-\x{9FFF}]') AS unspaced
+  FROM split s LEFT JOIN covered c ON s.r = c.r
+), ruled AS (
+  SELECT *, coalesce(chars, 0) AS word_chars, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
+    concat_ws(',',
+      CASE WHEN NOT unspaced AND (chars < 2.0 * n_words OR chars > 15.0 * n_words) THEN 'word_length' END,
+      CASE WHEN n_words > 0 AND n_symbols / n_words > 0.1 THEN 'symbols' END,
+      CASE WHEN n_words > 0 AND n_letters / chars < 0.4 THEN 'letters' END,
+      CASE WHEN n_letters > 0 AND n_capitals / n_letters > 0.5 THEN 'capitals' END,
+      CASE WHEN n_words >= 50 AND listed AND n_stops / n_words < 0.05 THEN 'stop_words' END,
+      CASE WHEN n_lines > 0 AND n_dup_lines / n_lines > 0.5 THEN 'repeated_lines' END,
+      CASE WHEN n_lines >= 10 AND n_dup_lines / n_lines > 0.3 THEN 'repeated_lines_long' END,
+      CASE WHEN n_lines >= 5 AND n_bullets / n_lines > 0.9 THEN 'bullet_lines' END,
+      CASE WHEN n_lines >= 5 AND n_dots / n_lines > 0.3 THEN 'ellipsis_lines' END) AS broken_rules
+  FROM counts
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND broken_rules = '' AS kept, broken_rules
+FROM ruled
+""".replace("STOPS", ", ".join(f"'{word}'" for word in sorted(ALL_STOP_WORDS)))
+
+#: The contract by DuckDB's string functions; the text is cut and joined, nothing is rotated.
+FILL_MIDDLE = """
+WITH given AS (
+  SELECT doc_id, coalesce(text, '') AS text, sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS hex FROM documents
+), drawn AS (
+  SELECT doc_id, text, length(text) AS n, ('0x' || hex[1:8])::BIGINT AS h1, ('0x' || hex[9:16])::BIGINT AS h2,
+         ('0x' || hex[17:24])::BIGINT AS h3, ('0x' || hex[25:32])::BIGINT AS h4
+  FROM given
+), shaped AS (
+  SELECT doc_id, text, n, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+         CASE WHEN n = 0 OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 % 100 >= 90 THEN 'plain'
+              WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form
+  FROM drawn
+), cut AS (
+  SELECT *, substring(text, 1, a) AS prefix, substring(text, a + 1, b - a) AS middle, substring(text, b + 1, n - b) AS suffix FROM shaped
+)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN a END AS prefix_chars, CASE WHEN form <> 'plain' THEN b - a END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+              ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+       sha256(text) AS restored_sha256
+FROM cut
+"""
+
+#: The filters one by one in each of the orders, as flags of whole documents.
+FILTER_AUDIT = r"""
+WITH words AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+), flags AS (
+  SELECT doc_id, part, len(w) < 100 AS a, 100 * len(list_distinct(w)) < 80 * len(w) AS b,
+         100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 10 * length(text) AS c,
+         regexp_matches(text, '[#$%&*|]') AS d, coalesce(doc_id > min(doc_id) OVER (PARTITION BY text), false) AS e
+  FROM words
+), marks AS (
+  SELECT doc_id, max(coalesce(quality = 1, false)) AS good, max(coalesce(toxic = 1, false)) AS toxic FROM labels GROUP BY doc_id
+), docs AS (
+  SELECT f.*, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic FROM flags f LEFT JOIN marks m ON f.doc_id = m.doc_id
+), sets AS (
+  SELECT part, [a, b, c, d, e] AS fails, count(*) AS n, count(*) FILTER (WHERE good) AS good, count(*) FILTER (WHERE toxic) AS toxic
+  FROM docs GROUP BY ALL
+), letters AS (
+  SELECT unnest(range(1, 6)) AS x
+), orders AS (
+  SELECT [p.x, q.x, r.x, s.x, t.x] AS o FROM letters p, letters q, letters r, letters s, letters t
+  WHERE len(list_distinct([p.x, q.x, r.x, s.x, t.x])) = 5
+), run AS (
+  SELECT part, fails, n, good, toxic, o, step, fails[o[step]] AS here,
+         list_bool_or(list_transform(o[1:step - 1], lambda x: fails[x])) IS TRUE AS before,
+         len(list_filter(fails, lambda x: x)) AS width
+  FROM sets, orders, range(1, 6) AS t(step)
+), counted AS (
+  SELECT part, o, step, o[step] AS own,
+         coalesce(sum(n) FILTER (WHERE NOT here AND NOT before), 0) AS kept, coalesce(sum(n) FILTER (WHERE here AND NOT before), 0) AS removed,
+         coalesce(sum(n) FILTER (WHERE here AND before), 0) AS redundant, coalesce(sum(n) FILTER (WHERE here AND width = 1), 0) AS unique_fails,
+         coalesce(sum(good) FILTER (WHERE here AND NOT before), 0) AS good_lost, coalesce(sum(toxic) FILTER (WHERE here AND NOT before), 0) AS toxic_lost
+  FROM run GROUP BY part, o, step
+)
+SELECT part, array_to_string(list_transform(o, lambda x: chr((64 + x)::INTEGER)), '') AS filter_order, step::INTEGER AS step,
+       kept::BIGINT AS kept, removed::BIGINT AS removed, redundant::BIGINT AS redundant, unique_fails::BIGINT AS unique_fails,
+       good_lost::BIGINT AS good_lost, toxic_lost::BIGINT AS toxic_lost,
+       (sum(removed) OVER (PARTITION BY part, own))::BIGINT AS shapley
+FROM counted
+"""
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_topk": op1_exact_topk,
     "op2_toxicity": op2_toxicity,
@@ -153,6 +292,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_html_extract": op8_html_extract,
     "op9_language_id": op9_language_id,
     "op10_minhash_dedup": op10_minhash_dedup,
+    "op11_quality_rules": op11_quality_rules,
+    "op12_fill_middle": op12_fill_middle,
+    "op13_filter_audit": op13_filter_audit,
 }
 
-ORACLES: dict[str, str] = {"op5_line_dedup": LINE_DEDUP}
+ORACLES: dict[str, str] = {
+    "op5_line_dedup": LINE_DEDUP,
+    "op11_quality_rules": QUALITY_RULES,
+    "op12_fill_middle": FILL_MIDDLE,
+    "op13_filter_audit": FILTER_AUDIT,
+}
