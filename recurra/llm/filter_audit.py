@@ -9,10 +9,11 @@ Filters (letter: a document fails if):
     E  its text is identical to that of a smaller doc_id, anywhere in the table
 
 A and B are decided by a sparse document-term matrix. Tasks cut their documents into shards of about ``SHARD_BYTES`` of text and
-write each as CSR rows (starts, columns, counts) with codes of the shard's own dictionary, in the shared folder. Then every
-shard's distinct words are numbered globally: dealt once by a hash bucket, ranked within the bucket, the number being rank * ``BUCKETS`` +
-bucket. A word is one row per shard that holds it, never one per occurrence, so that the most frequent word is as rare a row as any other.
-The numbers go back to their shards and replace the local codes; row sums are words, nonzero counts distinct words.
+write each as CSR cells (gaps in row-major order, counts) with codes of the shard's own dictionary, in the shared folder. Then every
+shard's distinct words are numbered globally: dealt once by a hash bucket, ranked within the bucket (of so many buckets that few hold two
+words), the number being rank * ``BUCKETS`` + bucket, the same for a word whatever the shards. A word is one row per shard that holds it,
+never one per occurrence, so that the most frequent word is as rare a row as any other. The numbers go back to their shards
+and replace the local codes; row sums are words, nonzero counts distinct words.
 
 C and D are columns of the first scan. E compares digests (SHA-256): the smallest doc_id of every digest that stands more than once,
 combined before the shuffle, joined back. Rows with labels are then counted by part and the set of filters they fail, at most 32 a part, and only
@@ -26,6 +27,7 @@ rows; an empty table has no parts. Other columns are ignored.
 
 from __future__ import annotations
 
+import struct
 from collections.abc import Iterator
 from itertools import permutations
 
@@ -46,35 +48,38 @@ MOST_CAPITALS = 10
 MARKS = "[#$%&*|]"
 NO_CAPITAL = "[^A-Z]+"
 
-SHARD_BYTES = 8_000_000
-BUCKETS = 4096
+SHARD_BYTES = 16_000_000
+BUCKETS = 1 << 48
 
 DOCUMENT = "doc_id long, part string, digest string, c boolean, d boolean"
 DOCUMENTS = f"rows array<struct<{DOCUMENT.replace(' ', ': ').replace(',:', ',')}>>"
-SHARD = f"shard string, {DOCUMENTS}, words array<string>, starts array<int>, columns binary, counts binary"
-MATRIX = f"shard string, {DOCUMENTS}, starts array<int>, numbers array<long>, counts array<long>"
+SHARD = f"shard long, {DOCUMENTS}, words array<string>, gaps binary, counts binary"
+MATRIX = f"shard long, {DOCUMENTS}, starts array<int>, numbers array<long>, counts array<long>"
 COUNTED = f"{DOCUMENT}, n_words long, n_distinct long"
 
 
-def _narrow(values: np.ndarray) -> bytes:
-    """Unsigned numbers in the fewest bytes each that hold all of them, the width first."""
-    kind = next(k for k in (np.uint8, np.uint16, np.uint32) if not len(values) or values.max() <= np.iinfo(k).max)
-    return bytes([np.dtype(kind).itemsize]) + values.astype(kind).tobytes()
+def packed(values: np.ndarray) -> bytes:
+    """Numbers from 0 to 2**63, compressed: their count and width, then all lowest bytes, all second ones and so on."""
+    most = int(values.max()) if len(values) else 0
+    width = next(k for k in (1, 2, 4, 8) if most < 256**k)
+    planes = values.astype(f"<u{width}").view(np.uint8).reshape(-1, width).T
+    return struct.pack("<QB", len(values), width) + pa.compress(planes.tobytes(), codec="zstd", asbytes=True)
 
 
-def _wide(data: bytes) -> np.ndarray:
-    return np.frombuffer(data, f"u{data[0]}", offset=1).astype(np.int64)
+def unpacked(data: bytes) -> np.ndarray:
+    """What :func:`packed` was given."""
+    n, width = struct.unpack_from("<QB", data)
+    planes = np.frombuffer(pa.decompress(data[9:], n * width, codec="zstd", asbytes=True), np.uint8)
+    return np.ascontiguousarray(planes.reshape(width, n).T).view(f"<u{width}").reshape(n).astype(np.int64)
 
 
-def csr(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray]:
-    """The distinct words of some texts, and starts, columns and counts of the matrix with a row per text."""
+def csr(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """The distinct words of some texts, and the cells of the matrix with a row per text: places in row-major order, counts."""
     flat, offsets = split_words(texts, lower=False)
     coded = flat.dictionary_encode()
-    size = max(1, len(coded.dictionary))
     owner = np.repeat(np.arange(len(texts), dtype=np.int64), np.diff(offsets))
-    cells, counts = np.unique(owner * size + coded.indices.to_numpy(), return_counts=True)
-    starts = np.searchsorted(cells, np.arange(len(texts) + 1, dtype=np.int64) * size)
-    return coded.dictionary, starts, cells % size, counts
+    cells = owner * len(coded.dictionary) + coded.indices.to_numpy()
+    return coded.dictionary, *np.unique(cells, return_counts=True)
 
 
 def shards(docs: DataFrame) -> DataFrame:
@@ -84,18 +89,17 @@ def shards(docs: DataFrame) -> DataFrame:
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task = TaskContext.get().partitionId()
         for k, batch in enumerate(chunks(batches, "text", SHARD_BYTES)):
-            words, starts, columns, counts = csr(batch.column("text"))
+            words, cells, counts = csr(batch.column("text"))
             rows = pa.StructArray.from_arrays([batch.column(name) for name in kind.names], fields=list(kind))
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array([f"{task}-{k}"]),
+                    pa.array([(task << 32) + k], pa.int64()),
                     pa.ListArray.from_arrays(pa.array([0, len(rows)], pa.int32()), rows),
                     pa.ListArray.from_arrays(pa.array([0, len(words)], pa.int32()), words),
-                    pa.array([starts], pa.list_(pa.int32())),
-                    pa.array([_narrow(columns)], pa.binary()),
-                    pa.array([_narrow(counts)], pa.binary()),
+                    pa.array([packed(np.diff(cells, prepend=0))], pa.binary()),
+                    pa.array([packed(counts)], pa.binary()),
                 ],
-                ["shard", "rows", "words", "starts", "columns", "counts"],
+                ["shard", "rows", "words", "gaps", "counts"],
             )
 
     return docs.select("doc_id", "part", "digest", "c", "d", "text").mapInArrow(build, SHARD)
@@ -105,10 +109,9 @@ def dictionary(stored: DataFrame) -> DataFrame:
     """shard, place, number: the global number of every word of every shard's dictionary."""
     words = stored.select("shard", F.posexplode("words").alias("place", "word"))
     bucket = F.pmod(F.xxhash64("word"), F.lit(BUCKETS))
-    in_bucket = Window.partitionBy("bucket").orderBy("word")
-    ranked = words.withColumn("bucket", bucket).withColumn("rank", F.dense_rank().over(in_bucket))
-    number = (F.col("rank").cast("long") - 1) * BUCKETS + F.col("bucket")
-    return ranked.select("shard", "place", number.alias("number"))
+    rank = F.dense_rank().over(Window.partitionBy(bucket).orderBy("word")).cast("long")
+    # dealt by the expression, so that words travel without their buckets
+    return words.repartition(bucket).select("shard", "place", ((rank - 1) * BUCKETS + bucket).alias("number"))
 
 
 def document_terms(stored: DataFrame) -> DataFrame:
@@ -117,11 +120,14 @@ def document_terms(stored: DataFrame) -> DataFrame:
         place, number = (right.column(name).to_numpy() for name in ("place", "number"))
         numbers = np.empty(len(place), np.int64)
         numbers[place] = number
-        columns, counts = (_wide(left.column(name)[0].as_py()) for name in ("columns", "counts"))
+        gaps, counts = (unpacked(left.column(name)[0].as_py()) for name in ("gaps", "counts"))
+        cells, size, n = np.cumsum(gaps), max(1, len(place)), len(left.column("rows")[0])
+        starts = np.searchsorted(cells, np.arange(n + 1, dtype=np.int64) * size)
         return pa.table(
             [
-                *(left.column(name) for name in ("shard", "rows", "starts")),
-                pa.array([numbers[columns]], pa.list_(pa.int64())),
+                *(left.column(name) for name in ("shard", "rows")),
+                pa.array([starts], pa.list_(pa.int32())),
+                pa.array([numbers[cells % size]], pa.list_(pa.int64())),
                 pa.array([counts], pa.list_(pa.int64())),
             ],
             ["shard", "rows", "starts", "numbers", "counts"],
@@ -160,7 +166,7 @@ def flagged(docs: DataFrame) -> DataFrame:
         text.alias("text"),
     )
     folder = shared_path(docs.sparkSession, "document-terms")
-    shards(given).write.parquet(folder)
+    shards(given).write.option("parquet.enable.dictionary", "false").parquet(folder)
     stored = docs.sparkSession.read.schema(SHARD).parquet(folder)
     twins = (
         stored.select(F.inline("rows")).groupBy("digest").agg(F.count("*").alias("n"), F.min("doc_id").alias("first"))

@@ -34,8 +34,8 @@ WINDOW = 5
 BLANK = r"[\x20\x09-\x0D]"
 WORD = r"[^\x20\x09-\x0D]"
 BLANKS = " \t\n\x0b\x0c\r"
-NO_SYMBOL = "[^#*$%&|<>]+"
-NO_LETTER, NO_CAPITAL = r"[^\p{L}]+", r"[^\p{Lu}]+"
+NO_SYMBOL, NO_CAPITAL = "[^#*$%&|<>]+", r"[^\p{Lu}]+"
+LETTERS = r"\p{L}+"
 BULLET = rf"^{BLANK}*[-*•‣◦]"
 ELLIPSIS = rf"(\.\.\.|…){BLANK}*\z"
 #: Thai, Lao, Burmese, Khmer, Japanese and Chinese have no blanks between words.
@@ -74,9 +74,9 @@ COUNTS = (
 RESULTS = (*COUNTS, "base_failed", "broken_rules", "kept")
 
 
-def _left(text: Column, others: str) -> Column:
-    """How many code points of a text the class ``others`` doesn't cover."""
-    return F.length(F.regexp_replace(text, others, ""))
+def _without(text: Column, pattern: str) -> Column:
+    """The code points of a text but for those that ``pattern`` covers."""
+    return F.length(F.regexp_replace(text, pattern, ""))
 
 
 def _matching(lines: Column, pattern: str) -> Column:
@@ -93,9 +93,9 @@ def measured(docs: DataFrame) -> DataFrame:
         *(F.col(f"`{name}`") for name in docs.columns if name not in taken),
         F.when(bare == "", F.array().cast("array<string>")).otherwise(F.split(bare, f"{BLANK}+")).alias("_words"),
         F.filter(F.split(text, "\n"), lambda line: line.rlike(WORD)).alias("_lines"),
-        _left(text, NO_SYMBOL).alias("n_symbols"),
-        _left(text, NO_LETTER).alias("n_letters"),
-        _left(text, NO_CAPITAL).alias("n_capitals"),
+        _without(text, NO_SYMBOL).alias("n_symbols"),
+        (F.length(text) - _without(text, LETTERS)).alias("n_letters"),
+        _without(text, NO_CAPITAL).alias("n_capitals"),
         text.rlike(UNSPACED).alias("unspaced"),
         F.coalesce(lang.isin(sorted(STOP_WORDS)), F.lit(False)).alias("listed_lang"),
     )
@@ -115,7 +115,7 @@ def measured(docs: DataFrame) -> DataFrame:
     # most texts hold no window twice; only the others have theirs sorted
     windows = F.col("_windows")
     again = F.size(F.array_distinct(windows)) < F.size(windows)
-    placed = F.array_sort(F.transform(windows, lambda window, at: F.struct(window.alias("window"), at.alias("at"))))
+    placed = F.sort_array(F.transform(windows, lambda window, at: F.struct(window.alias("window"), at.alias("at"))))
     ordered = counted.withColumn("_placed", F.when(again, placed)).drop("_words", "_lines", "_windows")
     covered = ordered.withColumn("n_repeat_words", _covered(F.col("_placed"))).drop("_placed")
     return covered.withColumns({name: F.col(name).cast("long") for name in COUNTS})
@@ -123,9 +123,8 @@ def measured(docs: DataFrame) -> DataFrame:
 
 def _windows(words: Column) -> Column:
     """A hash of every run of ``WINDOW`` words, by the place of its first word."""
-    starts = F.when(F.size(words) >= WINDOW, F.sequence(F.lit(0), F.size(words) - WINDOW))
-    hashes = F.transform(starts, lambda at: F.xxhash64(*(F.get(words, at + k) for k in range(WINDOW))))
-    return F.coalesce(hashes, F.array().cast("array<bigint>"))
+    firsts = F.slice(words, 1, F.greatest(F.size(words) - (WINDOW - 1), F.lit(0)))
+    return F.transform(firsts, lambda word, at: F.xxhash64(word, *(F.get(words, at + k) for k in range(1, WINDOW))))
 
 
 def _covered(placed: Column) -> Column:
@@ -135,7 +134,7 @@ def _covered(placed: Column) -> Column:
         lambda one, k: (F.get(placed, k + 1)["window"] == one["window"])
         | ((k > 0) & (F.get(placed, F.greatest(k - 1, F.lit(0)))["window"] == one["window"])),
     )
-    places = F.array_sort(F.transform(twin, lambda one: one["at"]))
+    places = F.sort_array(F.transform(twin, lambda one: one["at"]))
     start = F.struct(F.lit(0).alias("covered"), F.lit(-WINDOW).alias("last"))
     total = F.aggregate(
         places,
