@@ -117,8 +117,10 @@ def measured(docs: DataFrame) -> DataFrame:
     again = F.size(F.array_distinct(windows)) < F.size(windows)
     placed = F.sort_array(F.transform(windows, lambda window, at: F.struct(window.alias("window"), at.alias("at"))))
     ordered = counted.withColumn("_placed", F.when(again, placed)).drop("_words", "_lines", "_windows")
-    covered = ordered.withColumn("n_repeat_words", _covered(F.col("_placed"))).drop("_placed")
-    return covered.withColumns({name: F.col(name).cast("long") for name in COUNTS})
+    covered = ordered.withColumn("n_repeat_words", _covered(F.col("_placed")))
+    # one row out of one struct: a filter on a count stays above it, instead of copying all these expressions into the scan
+    counts = F.struct(*(F.col(name).cast("long").alias(name) for name in COUNTS), "unspaced", "listed_lang")
+    return covered.select(*(F.col(f"`{name}`") for name in docs.columns if name not in taken), F.inline(F.array(counts)))
 
 
 def _windows(words: Column) -> Column:

@@ -66,7 +66,7 @@ def test_documents_without_any_lang_stay(spark):
 
 def test_every_operator_has_its_query():
     names = [name.split("_")[0] for name in queries.QUERIES]
-    assert sorted(names) == sorted(f"op{n}" for n in range(1, 11)) and set(queries.ORACLES) <= set(queries.QUERIES)
+    assert sorted(names) == sorted(f"op{n}" for n in range(1, 14)) and set(queries.ORACLES) <= set(queries.QUERIES)
 
 
 def test_chat_query(spark):
