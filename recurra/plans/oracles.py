@@ -627,6 +627,9 @@ _TAILS: dict[str, str] = {
           WHEN amount < 0 THEN 'negative amount' ELSE 'null event_date' END AS validation_error
         FROM delivered WHERE broken OR tenant_id IS NULL OR amount < 0 OR event_date IS NULL""",
     "stream_dedup": """SELECT DISTINCT event_id, tenant_id, event_type, amount, event_date FROM stream_clean""",
+    "stream_conflicts": """SELECT event_id, tenant_id, event_type, amount, event_date + INTERVAL 40 DAY AS event_date,
+        'event_id stored with other content' AS validation_error
+        FROM messages WHERE source_key % 97 = 0 AND NOT broken AND tenant_id IS NOT NULL AND amount >= 0 AND event_date IS NOT NULL""",
     "stream_mrr": """SELECT tenant_id, CAST(year(event_date) AS INTEGER) AS event_year,
         CAST(month(event_date) AS INTEGER) AS event_month, CAST(sum(amount) AS BIGINT) AS mrr
         FROM (SELECT DISTINCT * FROM stream_clean) WHERE event_type = 'invoice_paid' AND status = 'success'

@@ -39,6 +39,9 @@ UNREADABLE_EVERY = 7
 SAMPLE_SIZE = 5_000
 REDELIVERED_EVERY = 50
 BROKEN_EVERY = 199
+# Every 97th clean message comes again with a date in another month.
+RETURNED = "source_key % 97 = 0 AND source_key % 61 <> 0 AND source_key % 67 <> 0 AND source_key % 71 <> 0 AND source_key % 199 <> 0"
+RETURNED_DAYS = 40
 LATE_DAYS = 45
 
 
@@ -197,15 +200,18 @@ def _mv_refresh(b: Billing) -> DataFrame:
 # --- streams ----------------------------------------------------------------
 
 
-def _message_stream(b: Billing) -> DataFrame:
-    """The ``events`` table as a stream of JSON texts, some twice, some broken."""
+def _message_stream(b: Billing, returned: bool = True) -> DataFrame:
+    """The ``events`` table as a stream of JSON texts, some twice, some broken, and some again with a date in another month."""
     path = shared_path(b.spark, "messages")
     key = F.col("source_key")
     copies = F.when(key % REDELIVERED_EVERY == 0, 2).otherwise(1)
     broken = F.concat(F.lit('{"event_id": "'), F.col("event_id"))
+    sent = fixtures.stream_events(b.spark, b.sf_dir)
+    if returned:
+        later = f"date_format(CAST(event_date AS TIMESTAMP_NTZ) + INTERVAL {RETURNED_DAYS} DAYS, \"yyyy-MM-dd'T'HH:mm:ss.SSSSSS\")"
+        sent = sent.unionByName(sent.filter(RETURNED).withColumns({"event_date": F.expr(later), "source_key": F.lit(-1).cast("long")}))
     texts = (
-        fixtures.stream_events(b.spark, b.sf_dir)
-        .withColumn("copy", F.explode(F.sequence(F.lit(1), copies)))
+        sent.withColumn("copy", F.explode(F.sequence(F.lit(1), copies)))
         .select(F.when(key % BROKEN_EVERY == 0, broken).otherwise(messages.message_text()).alias("value"))
     )
     texts.write.mode("overwrite").text(path)
@@ -239,6 +245,15 @@ def _to_parquet(b: Billing, name: str, stream: DataFrame) -> DataFrame:
     return b.spark.read.parquet(f"{root}/out")
 
 
+def _stream_conflicts(b: Billing) -> DataFrame:
+    """What a second delivery brings under ids that are stored already."""
+    root = shared_path(b.spark, "stream-conflicts")
+    for n, returned in enumerate((False, True)):
+        _finish(jobs.ingest(_message_stream(b, returned), f"{root}/events"), f"{root}/{n}")
+    found = _plain_dates(event_store.read_conflicts(b.spark, f"{root}/events"))
+    return found.select("event_id", "tenant_id", "event_type", "amount", "event_date", "validation_error")
+
+
 def _stream_dedup(b: Billing) -> DataFrame:
     stored = event_store.read_clean(b.spark, _ingested(b))
     return _plain_dates(stored).select("event_id", "tenant_id", "event_type", "amount", "event_date")
@@ -249,7 +264,7 @@ def _stream_mrr(b: Billing) -> DataFrame:
 
 
 def _stream_daily(b: Billing) -> DataFrame:
-    clean = validation.split_events(_message_stream(b))[0].drop("raw_message")
+    clean = validation.split_events(_message_stream(b, returned=False))[0].drop("raw_message")
     return _to_parquet(b, "stream-daily", jobs.daily_counts(clean))
 
 
@@ -482,6 +497,7 @@ QUERIES: dict[str, Callable[[Billing], DataFrame]] = {
     "stream_ingest": _stream_ingest,
     "stream_rejects": _stream_rejects,
     "stream_dedup": _stream_dedup,
+    "stream_conflicts": _stream_conflicts,
     "stream_mrr": _stream_mrr,
     "stream_daily": _stream_daily,
     "stream_mart_refresh": _stream_mart_refresh,

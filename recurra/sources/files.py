@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from recurra import schemas
@@ -53,4 +54,6 @@ def load_or_empty(spark: SparkSession, path: str, schema: StructType) -> DataFra
     except AnalysisException as error:
         if error.getCondition() not in _ABSENT:
             raise
-    return spark.createDataFrame([], schema)
+    # no rows that the optimizer knows of, so that joins with them vanish from the plan
+    nothing = (F.lit(None).cast(field.dataType).alias(field.name) for field in schema)
+    return spark.range(1).select(*nothing).filter(F.lit(False))

@@ -9,16 +9,14 @@ are computed from the store.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.readwriter import DataStreamWriter
 
-from recurra.operators.revenue import paid_by_month, with_history
+from recurra.operators.revenue import paid_by_month
 from recurra.sources import event_store
-from recurra.sources.event_store import MONTH
+from recurra.streaming import history
 
 
 def start(writer: DataStreamWriter, checkpoint: str, available_now: bool = True) -> StreamingQuery:
@@ -28,7 +26,7 @@ def start(writer: DataStreamWriter, checkpoint: str, available_now: bool = True)
 
 
 def ingest(events: DataFrame, path: str) -> DataStreamWriter:
-    """Validate, enrich and append to an event store: clean events once by id, rejected rows as they come."""
+    """Validate, enrich and append to an event store: clean events once by id, conflicts and rejected rows beside them."""
 
     def append(batch: DataFrame, batch_id: int) -> None:
         event_store.append_once(batch, path)
@@ -53,40 +51,28 @@ def running_mrr(spark: SparkSession, path: str) -> DataFrame:
 
 
 def refresh_marts(events: DataFrame, events_path: str, mart_path: str) -> DataStreamWriter:
-    """Append each micro-batch to the event store, then recompute its months.
+    """Append each micro-batch to the event store, then bring the revenue mart up to date.
 
-    The mart is replaced by whole months, and a month is computed from the
-    stored events, each id once. Only directories of touched months are read.
-    Read the mart with :func:`read_mart`.
+    Of the store, the months of the batch are read, and in them the tenants of the batch: their months are computed from
+    stored events, each id once, and merged into the mart (:mod:`~recurra.streaming.history`). Whatever breaks off in between, or
+    comes again, the mart ends up the same. Read it with :func:`read_mart`.
     """
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
         batch.persist()
         try:
-            event_store.append_once(batch, events_path)
-            # One row per calendar month in the batch, few of them.
-            clean = event_store.stored_layout(batch).filter(F.col("outcome") == event_store.CLEAN)
-            touched = clean.select(*MONTH).distinct().collect()
+            months = event_store.append_once(batch, events_path).months
+            if months:
+                clean = event_store.stored_layout(batch).filter(F.col("outcome") == event_store.CLEAN)
+                stored = history.of_months(event_store.read_clean(batch.sparkSession, events_path), months)
+                touched = stored.join(clean.select("tenant_id").distinct(), "tenant_id", "left_semi")
+                history.update(paid_by_month(touched), mart_path)
         finally:
             batch.unpersist()
-        if touched:
-            stored = event_store.read_clean(spark, events_path)
-            months = reduce(
-                lambda a, b: a | b, ((F.col("event_year") == y) & (F.col("event_month") == m) for y, m in touched)
-            )
-            (
-                paid_by_month(stored.filter(months))
-                .hint("rebalance", *MONTH)
-                .write.mode("overwrite")
-                .option("partitionOverwriteMode", "dynamic")
-                .partitionBy(*MONTH)
-                .parquet(mart_path)
-            )
 
     return events.writeStream.foreachBatch(apply)
 
 
 def read_mart(spark: SparkSession, mart_path: str) -> DataFrame:
-    """The mart of :func:`refresh_marts` with the columns of the batch table, history included."""
-    return with_history(spark.read.parquet(mart_path))
+    """The mart of :func:`refresh_marts` with the columns of the batch table, history included and no window to run."""
+    return history.read(spark, mart_path)
