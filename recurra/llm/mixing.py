@@ -44,6 +44,7 @@ STEMS = 1024
 MARKS = 256
 CASES = 4
 EXTRA = 3
+WIDTH = STEMS + MARKS + CASES + EXTRA
 STEPS = 400
 MOST_PASSES = 40
 CLOSE = 1e-9
@@ -128,11 +129,26 @@ def learn(docs: DataFrame, domains: DataFrame, names: list[str], sample_rows: in
         DataFrame.union,
         (sampled(texts.where(F.col("domain") == name), sample_rows, SAMPLE_BYTES).drop("n_bytes") for name in names),
     )
-    rows = given.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("order", "text", "domain").toPandas()
-    rows = rows.drop_duplicates("order").sort_values("order")
-    labels = np.array([names.index(name) for name in rows["domain"]])
+    texts = given.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("order", "domain", "text")
+    found = featured(texts).toArrow()
+    # copies of a text are one sample
+    _, at = np.unique(found.column("order").to_numpy(), return_index=True)
+    rows = found.column("features").combine_chunks().flatten().to_numpy().reshape(len(found), -1)[at]
+    labels = np.array([names.index(name) for name in found.column("domain").to_pylist()])[at]
     prior = np.array([counts.get(name, 0) for name in names], np.float64)
-    return fit(features(pa.array(rows["text"].tolist(), pa.string()))[0], labels, names, prior / prior.sum())
+    return fit(rows, labels, names, prior / prior.sum())
+
+
+def featured(texts: DataFrame) -> DataFrame:
+    """order, domain, features of labelled texts: only numbers leave the tasks, ``WIDTH`` 32-bit ones a text."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in chunks(batches, "text"):
+            flat = np.ascontiguousarray(features(batch.column("text"))[0]).ravel()
+            lists = pa.ListArray.from_arrays(pa.array(np.arange(batch.num_rows + 1, dtype=np.int32) * WIDTH), pa.array(flat))
+            yield pa.RecordBatch.from_arrays([batch.column("order"), batch.column("domain"), lists], ["order", "domain", "features"])
+
+    return texts.mapInArrow(rows, "order long, domain string, features array<float>")
 
 
 def memberships(docs: DataFrame, model: Classifier | None, targets: dict[str, float]) -> DataFrame:
