@@ -2,23 +2,23 @@
 
 A line's tokens are its runs without blanks; a token with a digit in it is a variable field and counts as ``<*>``. The
 tree has a level for the number of tokens and one for each of the first ``DEPTH`` tokens, so a path through it is a leaf of lines
-that may share a template. Within a leaf with lines of at least ``MIN_DOCS`` documents, a token is constant at its position if
-lines of at least ``MIN_DOCS`` documents have it there, and a variable field otherwise: the line's template is its constants
-with ``<*>`` elsewhere. A line recurs if at least ``SIMILARITY`` of its tokens are constants that an earlier document has
-already brought (documents in the order of doc_id). Such lines are dropped; so the first document that brings a template keeps it
-whole, and every later one loses it. Lines of fewer than ``MIN_TOKENS`` tokens have no template.
+that may share a template. Within a leaf a token behind the path is constant at its position if at least ``MIN_DOCS`` lines
+of different documents or of different wording have it there, and a variable field otherwise; ``<*>`` never is a constant. A line's template
+is its path with its constants. A template recurs if at least ``MIN_DOCS`` documents have lines of it and constants make up at least
+``SIMILARITY`` of the tokens behind the path, so that for short lines all of them have to agree. Its lines are dropped but for those of the
+first document (by doc_id). Lines of fewer than ``MIN_TOKENS`` tokens have no template.
 
 Apart from templates, a line of at least ``LONG_CHARS`` code points that stands word for word (blanks aside, digits included) in
 several documents is dropped from the second one on, whatever its number of tokens. One of at least ``SHORT_CHARS`` is dropped
 there if at least ``MIN_DOCS`` documents have it; shorter ones recur by chance and stay.
 
-Shuffles carry hashes and counts for all lines, tokens only for distinct lines in leaves that several documents
-share. A leaf with a third of all lines is counted before it is shuffled, and joins on leaves are plain equi-joins that
-adaptive execution splits.
+Blanks are put in order once a text, before it is split. Shuffles carry a few numbers for every distinct line of a document, tokens only
+for distinct lines in leaves that several documents share. A leaf or a line with a third of all lines is counted before it is
+shuffled, and joins on leaves are plain equi-joins that adaptive execution splits. Lines are told apart by 64-bit hashes.
 
 Defined results: a null text has no lines and stays null; blank lines are never dropped; a document whose lines are all dropped has an
-empty text. Rows without doc_id are left as they are and bring nothing. Rows that repeat a doc_id are one document.
-A document with several distinct lines in one leaf supports a token once for each of them.
+empty text. Rows without doc_id are left as they are and bring nothing. Rows that repeat a doc_id are one document, whose lines are
+those of all its texts; each row loses its own lines. Other columns stay, whatever their names.
 """
 
 from __future__ import annotations
@@ -36,143 +36,134 @@ LONG_CHARS = 20
 SHORT_CHARS = 10
 
 FIELD = "<*>"
+BLANKS = r"[ \t\r\f\x0B]"
+#: A token from its first character to a digit without ever going back, so that its cost is its length.
+NUMBERED = r"(?<![^ ])[^ 0-9]*+[0-9][^ ]*"
 
 
-def bare_line(line: Column) -> Column:
-    """A line with single blanks between its tokens."""
-    return F.btrim(F.regexp_replace(line, r"[ \t\r\f\x0B]+", " "))
+def tidy_lines(text: Column) -> Column:
+    """The lines of a text, each with single blanks between its tokens."""
+    without_ends = F.regexp_replace(text, rf"{BLANKS}*+\n{BLANKS}*+", "\n")
+    return F.split(F.btrim(F.regexp_replace(without_ends, rf"{BLANKS}++", " ")), "\n")
 
 
 def masked(line: Column) -> Column:
-    """A line with single blanks between its tokens and ``<*>`` for tokens with a digit."""
-    bare = bare_line(line)
-    return F.when(bare.rlike("[0-9]"), F.regexp_replace(bare, r"[^ ]*[0-9][^ ]*", FIELD)).otherwise(bare)
+    """A tidy line with ``<*>`` for tokens with a digit."""
+    return F.when(line.rlike("[0-9]"), F.regexp_replace(line, NUMBERED, FIELD)).otherwise(line)
 
 
 def lines(docs: DataFrame) -> DataFrame:
-    """doc_id, place, n_tokens, leaf, content, line: every line that can recur, by hashes of its path and of its masked tokens."""
-    split = docs.where(F.col("doc_id").isNotNull()).select(
-        "doc_id", F.posexplode(F.split("text", "\n")).alias("place", "raw")
-    )
-    line = split.select("doc_id", "place", masked(F.col("raw")).alias("line"))
-    n = F.length("line") - F.length(F.replace("line", F.lit(" "), F.lit(""))) + 1
-    return (
-        line.withColumn("n_tokens", n)
-        .where(F.col("n_tokens") >= MIN_TOKENS)
-        .select(
-            "doc_id",
-            "place",
-            "n_tokens",
-            F.xxhash64("n_tokens", F.substring_index("line", " ", DEPTH)).alias("leaf"),
-            F.xxhash64("line", F.lit(1)).alias("content"),
-            "line",
-        )
+    """doc_id, part, place, same, needed, leaf, content: the distinct lines of each text that can recur.
+
+    ``part`` marks the text, ``place`` the line among its distinct lines, ``same`` the line word for word, ``needed`` how many
+    documents make that recur (null: none do), ``content`` the masked line and ``leaf`` its path (null: no template).
+    """
+    distinct = docs.where(F.col("doc_id").isNotNull()).select(
+        "doc_id", F.xxhash64("text").alias("part"), F.posexplode(F.array_distinct(tidy_lines(F.col("text")))).alias("place", "line")
+    )
+    size, line = F.length("line"), F.col("line")
+    n_tokens = size - F.length(F.replace(line, F.lit(" "), F.lit(""))) + 1
+    known = distinct.select(
+        "doc_id",
+        "part",
+        "place",
+        "line",
+        F.when(size >= LONG_CHARS, 2).when(size >= SHORT_CHARS, MIN_DOCS).alias("needed"),
+        F.when(n_tokens >= MIN_TOKENS, n_tokens).alias("n_tokens"),
+    ).where(F.col("needed").isNotNull() | F.col("n_tokens").isNotNull())
+    templated = F.col("n_tokens").isNotNull()
+    return known.withColumn("masked", masked(line)).select(
+        "doc_id",
+        "part",
+        "place",
+        F.xxhash64("line").alias("same"),
+        "needed",
+        F.when(templated, F.xxhash64("n_tokens", F.substring_index("masked", " ", DEPTH))).alias("leaf"),
+        F.when(templated, F.xxhash64("masked", F.lit(1))).alias("content"),
+    )
+
+
+def repeated(found: DataFrame) -> DataFrame:
+    """doc_id, same: the lines that enough documents have word for word, but for those of the first."""
+    groups = (
+        found.where(F.col("needed").isNotNull())
+        .groupBy("same", "needed")
+        .agg(F.countDistinct("doc_id").alias("n_docs"), F.min("doc_id").alias("first"))
+        .where(F.col("n_docs") >= F.col("needed"))
     )
+    return found.join(groups.select("same", "first"), "same").where(F.col("doc_id") > F.col("first")).select("doc_id", "same")
 
 
-def _supported(distinct: DataFrame) -> DataFrame:
-    """leaf, content, first, with the shares of constants, and of those that an earlier document has brought."""
-    tokens = distinct.select(
-        "leaf", "content", "n_docs", "first", "n_tokens", F.posexplode(F.split("line", " ")).alias("at", "token")
-    )
-    constants = (
-        tokens.groupBy("leaf", "at", "token")
-        .agg(F.sum("n_docs").alias("support"), F.min("first").alias("brought"))
-        .where(F.col("support") >= MIN_DOCS)
-    )
-    return (
-        tokens.join(constants, ["leaf", "at", "token"])
-        .groupBy("leaf", "content", "first", "n_tokens")
-        .agg(F.count("*").alias("constant"), F.count_if(F.col("brought") < F.col("first")).alias("earlier"))
-        .select(
-            "content",
-            "first",
-            (F.col("constant") >= SIMILARITY * F.col("n_tokens")).alias("later_drop"),
-            (F.col("earlier") >= SIMILARITY * F.col("n_tokens")).alias("first_drop"),
-        )
-        .where("later_drop")
+def templated(docs: DataFrame, found: DataFrame) -> DataFrame:
+    """doc_id, same: the lines of recurring templates, but for those of each one's first document."""
+    in_tree = found.where(F.col("leaf").isNotNull())
+    busy = in_tree.groupBy("leaf").agg(F.count("*").alias("n"), F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"))
+    busy = busy.where((F.col("n") >= MIN_DOCS) & (F.col("lo") < F.col("hi")))
+    shared = checkpoint(in_tree.join(busy.select("leaf"), "leaf", "left_semi"))
+    templates = _templates(_contents(docs, shared))
+    members = shared.join(templates, ["leaf", "content"]).select("doc_id", "same", "leaf", "template")
+    recurring = (
+        members.groupBy("leaf", "template")
+        .agg(F.countDistinct("doc_id").alias("n_docs"), F.min("doc_id").alias("first"))
+        .where(F.col("n_docs") >= MIN_DOCS)
+        .select("leaf", "template", "first")
     )
+    return members.join(recurring, ["leaf", "template"]).where(F.col("doc_id") > F.col("first")).select("doc_id", "same")
 
 
-def recurring(docs: DataFrame) -> DataFrame:
-    """doc_id, places: the numbers (from 0) of the lines that are dropped, for documents that lose any."""
-    all_lines = lines(docs)
-    found = checkpoint(
-        all_lines.groupBy("leaf", "content", "doc_id").agg(F.collect_list("place").alias("places"))
-    )
-    leaves = (
-        found.select("leaf", "doc_id").distinct().groupBy("leaf").agg(F.count("*").alias("n")).where(F.col("n") >= MIN_DOCS)
+def _contents(docs: DataFrame, shared: DataFrame) -> DataFrame:
+    """leaf, content, n_docs, line: the distinct masked lines of shared leaves, fetched from one text that has each."""
+    groups = shared.groupBy("leaf", "content").agg(
+        F.countDistinct("doc_id").alias("n_docs"), F.min(F.struct("doc_id", "part", "place")).alias("at")
     )
-    shared = checkpoint(found.join(leaves.select("leaf"), "leaf", "left_semi"))
-    groups = shared.groupBy("leaf", "content").agg(F.count("*").alias("n_docs"), F.min("doc_id").alias("first"))
-    # the tokens of a line are fetched from the first document that has it
-    wanted = shared.join(groups, ["leaf", "content"]).where(F.col("doc_id") == F.col("first")).select(
-        "doc_id", "content", F.col("places")[0].alias("place"), "leaf", "n_docs", "first"
+    wanted = groups.groupBy("at.doc_id", "at.part").agg(
+        F.collect_list(F.struct(F.col("at.place").alias("place"), "leaf", "content", "n_docs")).alias("wanted")
     )
-    texts = docs.select("doc_id", "text").join(
-        wanted.groupBy("doc_id").agg(F.collect_list(F.struct("place", "leaf", "content", "n_docs", "first")).alias("w")), "doc_id"
-    )
-    distinct = (
-        texts.dropDuplicates(["doc_id"])
-        .select(F.split("text", "\n").alias("lines"), F.explode("w").alias("w"))
-        .select("w.leaf", "w.content", "w.n_docs", "w.first", masked(F.get("lines", F.col("w.place"))).alias("line"))
-        .withColumn("n_tokens", F.size(F.split("line", " ")))
-    )
-    verdicts = _supported(distinct)
+    texts = docs.select("doc_id", F.xxhash64("text").alias("part"), "text").join(wanted, ["doc_id", "part"])
     return (
-        shared.join(verdicts, "content")
-        .where((F.col("doc_id") > F.col("first")) | F.col("first_drop"))
-        .groupBy("doc_id")
-        .agg(F.array_sort(F.flatten(F.collect_list("places"))).alias("places"))
+        texts.dropDuplicates(["doc_id", "part"])
+        .select(F.array_distinct(tidy_lines(F.col("text"))).alias("lines"), F.explode("wanted").alias("w"))
+        .select("w.leaf", "w.content", "w.n_docs", masked(F.get("lines", F.col("w.place"))).alias("line"))
     )
 
 
-def repeated(docs: DataFrame) -> DataFrame:
-    """doc_id, places: the numbers (from 0) of the lines that enough documents have word for word, but for those of the first."""
-    split = docs.where(F.col("doc_id").isNotNull()).select(
-        "doc_id", F.posexplode(F.split("text", "\n")).alias("place", "raw")
-    )
-    same = (
-        split.select("doc_id", "place", bare_line(F.col("raw")).alias("line"))
-        .where(F.length("line") >= SHORT_CHARS)
-        .select("doc_id", "place", F.when(F.length("line") >= LONG_CHARS, 2).otherwise(MIN_DOCS).alias("needed"), F.xxhash64("line", F.lit(2)).alias("same"))
-    )
-    groups = (
-        same.groupBy("same", "needed", "doc_id")
-        .agg(F.lit(1).alias("one"))
-        .groupBy("same", "needed")
-        .agg(F.count("*").alias("n_docs"), F.min("doc_id").alias("first"))
-        .where(F.col("n_docs") >= F.col("needed"))
-        .select("same", "first")
-    )
+def _templates(contents: DataFrame) -> DataFrame:
+    """leaf, content, template of the lines that have enough constants; a template is a checksum of its constants and their places."""
+    tokens = contents.select("leaf", "content", "n_docs", F.posexplode(F.split("line", " ")).alias("at", "token"))
+    behind = tokens.where((F.col("at") >= DEPTH) & (F.col("token") != FIELD))
+    constants = behind.groupBy("leaf", "at", "token").agg(F.sum("n_docs").alias("support")).where(F.col("support") >= MIN_DOCS)
+    sizes = contents.select("content", (F.size(F.split("line", " ")) - DEPTH).alias("behind"))
     return (
-        same.join(groups, "same")
-        .where(F.col("doc_id") > F.col("first"))
-        .groupBy("doc_id")
-        .agg(F.array_sort(F.collect_set("place")).alias("places"))
+        behind.join(constants.select("leaf", "at", "token"), ["leaf", "at", "token"])
+        .groupBy("leaf", "content")
+        .agg(F.count("*").alias("constant"), F.bit_xor(F.xxhash64("at", "token")).alias("template"))
+        .join(sizes, "content")
+        .where(F.col("constant") >= SIMILARITY * F.col("behind"))
+        .select("leaf", "content", "template")
     )
 
 
-def deduplicated(docs: DataFrame, verbatim: bool = True) -> DataFrame:
-    """``docs`` with recurring lines taken out of text, and n_lines, n_dropped (null texts: 0 and 0).
+def recurring(docs: DataFrame) -> DataFrame:
+    """doc_id, dropped: the hashes (``same``) of the lines that a document loses, for documents that lose any."""
+    found = checkpoint(lines(docs))
+    return repeated(found).union(templated(docs, found)).groupBy("doc_id").agg(F.collect_set("same").alias("dropped"))
 
-    Without ``verbatim`` only the lines of recurring templates go, which is what the SQL twin states.
-    """
-    keyed = docs.select("doc_id", "text")
-    found = recurring(keyed)
-    if verbatim:
-        found = found.unionByName(repeated(keyed)).groupBy("doc_id").agg(F.array_distinct(F.flatten(F.collect_list("places"))).alias("places"))
-    found = found.select("doc_id", F.col("places").alias("_places"))
-    kept = F.expr("filter(split(text, '\\n'), (line, at) -> NOT array_contains(_places, at))")
+
+def deduplicated(docs: DataFrame) -> DataFrame:
+    """``docs`` with recurring lines taken out of text, and n_lines, n_dropped (null texts: 0 and 0)."""
+    found = recurring(docs.select("doc_id", "text")).withColumnRenamed("dropped", "_dropped")
     rest = docs.drop("n_lines", "n_dropped")
-    joined = rest.join(found, "doc_id", "left")
+    hashes = F.when(F.col("_dropped").isNotNull(), F.transform(tidy_lines(F.col("text")), lambda line: F.xxhash64(line)))
+    joined = rest.join(found, "doc_id", "left").withColumn("_hashes", hashes)
+    kept = F.expr("filter(split(text, '\\n'), (line, at) -> NOT array_contains(_dropped, _hashes[at]))")
+    lost = F.expr("size(filter(_hashes, hash -> array_contains(_dropped, hash)))")
     return joined.select(
         *(
-            F.when(F.col("_places").isNull(), F.col(name)).otherwise(F.array_join(kept, "\n")).alias(name)
+            F.when(F.col("_dropped").isNull(), F.col(name)).otherwise(F.array_join(kept, "\n")).alias(name)
             if name == "text"
             else F.col(f"`{name}`")
             for name in rest.columns
         ),
         F.coalesce(F.when(F.col("text").isNotNull(), F.size(F.split("text", "\n"))), F.lit(0)).cast("long").alias("n_lines"),
-        F.coalesce(F.size("_places"), F.lit(0)).cast("long").alias("n_dropped"),
+        F.coalesce(F.when(F.col("_hashes").isNotNull(), lost), F.lit(0)).cast("long").alias("n_dropped"),
     )

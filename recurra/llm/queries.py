@@ -68,8 +68,8 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All documents without the lines of recurring templates, by the rules of the SQL; the pipeline drops verbatim repeats as well."""
-    found = line_dedup.deduplicated(_table(spark, sf_dir, "documents"), verbatim=False)
+    """All documents without recurring lines, by template and word for word."""
+    found = line_dedup.deduplicated(_table(spark, sf_dir, "documents"))
     return found.select("doc_id", "text", "n_lines", "n_dropped")
 
 
@@ -130,40 +130,39 @@ def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.filter_audit(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
-#: The same rules by DuckDB: the tokens of all lines in shared leaves, support and first document by position.
+#: The same rules by DuckDB, with texts where Spark has hashes and lists of constants where it has checksums.
 LINE_DEDUP = """
 WITH split AS (
-  SELECT doc_id, unnest(string_split(text, chr(10))) AS raw,
-         unnest(range(len(string_split(text, chr(10))))) AS place
+  SELECT doc_id, unnest(string_split(text, chr(10))) AS raw, unnest(range(len(string_split(text, chr(10))))) AS place
   FROM documents WHERE doc_id IS NOT NULL AND text IS NOT NULL
 ), tidy AS (
-  SELECT doc_id, place,
-         string_split(regexp_replace(trim(regexp_replace(raw, '[ \\t\\r\\f\\x0B]+', ' ', 'g')),
-                                     '[^ ]*[0-9][^ ]*', '<*>', 'g'), ' ') AS tokens
-  FROM split
+  SELECT doc_id, place, raw, trim(regexp_replace(raw, '[ \\t\\r\\f\\x0B]+', ' ', 'g')) AS bare FROM split
 ), lines AS (
-  SELECT doc_id, place, tokens, len(tokens) AS n, tokens[1:3] AS head FROM tidy WHERE len(tokens) >= 4
-), leaves AS (
-  SELECT n, head FROM lines GROUP BY n, head HAVING count(DISTINCT doc_id) >= 3
-), shared AS (
-  SELECT l.* FROM lines l JOIN leaves USING (n, head)
+  SELECT DISTINCT doc_id, bare, string_split(regexp_replace(bare, '[^ ]*[0-9][^ ]*', '<*>', 'g'), ' ') AS tokens FROM tidy
+), verbatim AS (
+  SELECT bare, min(doc_id) AS first FROM lines WHERE length(bare) >= 10 GROUP BY bare
+  HAVING count(DISTINCT doc_id) >= CASE WHEN length(bare) >= 20 THEN 2 ELSE 3 END
 ), contents AS (
-  SELECT tokens, any_value(n) AS n, any_value(head) AS head, count(DISTINCT doc_id) AS docs, min(doc_id) AS first
-  FROM shared GROUP BY tokens
+  SELECT tokens, len(tokens) AS n, tokens[1:3] AS head, count(DISTINCT doc_id) AS docs FROM lines WHERE len(tokens) >= 4 GROUP BY tokens
 ), spread AS (
-  SELECT n, head, tokens, docs, first, unnest(tokens) AS token, unnest(range(len(tokens))) AS spot FROM contents
+  SELECT tokens, n, head, docs, unnest(tokens) AS token, unnest(range(len(tokens))) AS spot FROM contents
 ), constants AS (
-  SELECT n, head, spot, token, min(first) AS brought FROM spread GROUP BY n, head, spot, token HAVING sum(docs) >= 3
-), verdicts AS (
-  SELECT s.tokens, s.first, s.n, count(*) AS constant, count(*) FILTER (WHERE c.brought < s.first) AS earlier
-  FROM spread s JOIN constants c USING (n, head, spot, token) GROUP BY s.tokens, s.first, s.n
+  SELECT n, head, spot, token FROM spread WHERE spot >= 3 AND token <> '<*>' GROUP BY n, head, spot, token HAVING sum(docs) >= 3
+), templates AS (
+  SELECT s.tokens, n, head, list((spot, token) ORDER BY spot) AS template FROM spread s JOIN constants c USING (n, head, spot, token)
+  GROUP BY s.tokens, n, head HAVING count(*) >= 0.6 * (n - 3)
+), members AS (
+  SELECT l.doc_id, l.bare, n, head, template FROM lines l JOIN templates t USING (tokens)
+), recurring AS (
+  SELECT n, head, template, min(doc_id) AS first FROM members GROUP BY n, head, template HAVING count(DISTINCT doc_id) >= 3
 ), dropped AS (
-  SELECT doc_id, place FROM shared JOIN verdicts v USING (tokens)
-  WHERE CASE WHEN doc_id > v.first THEN v.constant ELSE v.earlier END >= 0.6 * v.n
+  SELECT l.doc_id, l.bare FROM lines l JOIN verbatim v USING (bare) WHERE l.doc_id > v.first
+  UNION
+  SELECT m.doc_id, m.bare FROM members m JOIN recurring r USING (n, head, template) WHERE m.doc_id > r.first
 ), kept AS (
-  SELECT s.doc_id, string_agg(s.raw, chr(10) ORDER BY s.place) FILTER (WHERE d.place IS NULL) AS text,
-         count(*) AS n_lines, count(d.place) AS n_dropped
-  FROM split s LEFT JOIN dropped d USING (doc_id, place) GROUP BY s.doc_id
+  SELECT t.doc_id, string_agg(t.raw, chr(10) ORDER BY t.place) FILTER (WHERE d.bare IS NULL) AS text,
+         count(*) AS n_lines, count(d.bare) AS n_dropped
+  FROM tidy t LEFT JOIN dropped d USING (doc_id, bare) GROUP BY t.doc_id
 )
 SELECT o.doc_id, CASE WHEN k.doc_id IS NULL THEN o.text ELSE coalesce(k.text, '') END AS text,
        coalesce(k.n_lines, 0) AS n_lines, coalesce(k.n_dropped, 0) AS n_dropped

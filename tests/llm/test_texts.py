@@ -2,6 +2,7 @@
 
 import base64
 import hashlib
+import time
 
 import duckdb
 import numpy as np
@@ -119,7 +120,33 @@ def test_long_lines_of_two_documents_go_from_the_second(spark):
     docs = spark.createDataFrame(rows, DOCS)
     got = {r.doc_id: (r.text, r.n_dropped) for r in line_dedup.deduplicated(docs).collect()}
     assert got == {**{i: (text, 0) for i, text in rows}, 2: ("another way to open it", 1), 4: ("短", 1)}
-    assert {r.n_dropped for r in line_dedup.deduplicated(docs, verbatim=False).collect()} == {0}
+
+
+def test_lines_that_only_share_their_path_stay(spark):
+    """The leading tokens of a leaf are no evidence, and neither are numbers; what stands behind the path has to agree."""
+    rows = [(1, "the cat sat down now"), (2, "the cat sat quietly there"), (3, "the cat sat over yonder"),
+            (4, "1 2 3 4 5 6"), (5, "7 8 9 10 11 12"), (6, "13 14 15 16 17 18"), (7, "call us on 555 today please"),
+            (8, "call us on 556 today please"), (9, "call us on 557 today please"), (10, "call us on 558 monday please")]
+    got = {r.doc_id: (r.text, r.n_dropped) for r in line_dedup.deduplicated(spark.createDataFrame(rows, DOCS)).collect()}
+    assert got == {i: ("", 1) if i in (8, 9) else (text, 0) for i, text in rows}
+
+
+def test_lines_of_rows_that_share_a_doc_id(spark):
+    long = "a passage that is long enough to go"
+    rows = [(1, f"{long}\nfirst"), (2, f"of its own\n{long}"), (2, f"{long}\nmore of it\nlast"), (2, "nothing of that"), (1, f"{long}\nfirst")]
+    got = sorted((r.doc_id, r.text, r.n_dropped) for r in line_dedup.deduplicated(spark.createDataFrame(rows, DOCS)).collect())
+    assert got == [(1, rows[0][1], 0), (1, rows[0][1], 0), (2, "more of it\nlast", 1), (2, "nothing of that", 0), (2, "of its own", 1)]
+
+
+def test_very_long_tokens_and_lines(spark):
+    huge = "x" * 1_000_000
+    rows = [(1, f"7 {huge} y z"), (2, f"{huge}\n{huge} 8"), (3, "\n".join(f"line number {i} of {i}" for i in range(3_000)))]
+    docs = spark.createDataFrame(rows, DOCS)
+    line_dedup.deduplicated(docs.limit(1)).count()
+    start = time.time()
+    assert docs.select(line_dedup.masked(F.col("text")).alias("m")).agg(F.sum(F.length("m"))).first()[0] > 2_000_000
+    assert time.time() - start < 5
+    assert {r.doc_id: r.n_dropped for r in line_dedup.deduplicated(docs).collect()} == {1: 0, 2: 0, 3: 0}
 
 
 def test_lines_of_few_tokens_go_with_three_documents(spark):
