@@ -23,6 +23,9 @@ those of all its texts; each row loses its own lines. Other columns stay, whatev
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -34,17 +37,23 @@ MIN_TOKENS = 4
 SIMILARITY = 0.6
 LONG_CHARS = 20
 SHORT_CHARS = 10
+BROADCAST_LEAVES = 1_000_000
 
 FIELD = "<*>"
-BLANKS = r"[ \t\r\f\x0B]"
+#: Blanks that aren't one space between two tokens; a single space is passed over.
+ODD_BLANKS = r"(?: (?=[ \t\r\f\x0B])|[\t\r\f\x0B])[ \t\r\f\x0B]*+"
 #: A token from its first character to a digit without ever going back, so that its cost is its length.
 NUMBERED = r"(?<![^ ])[^ 0-9]*+[0-9][^ ]*"
 
 
 def tidy_lines(text: Column) -> Column:
     """The lines of a text, each with single blanks between its tokens."""
-    without_ends = F.regexp_replace(text, rf"{BLANKS}*+\n{BLANKS}*+", "\n")
-    return F.split(F.btrim(F.regexp_replace(without_ends, rf"{BLANKS}++", " ")), "\n")
+    # most texts have none, which a search for bytes tells much faster than a pattern
+    odd = reduce(or_, (F.contains(text, F.lit(blanks)) for blanks in ("  ", "\t", "\r", "\f", "\x0b")))
+    single = F.when(odd, F.regexp_replace(text, ODD_BLANKS, " ")).otherwise(text)
+    for edge in (" \n", "\n "):
+        single = F.replace(single, F.lit(edge), F.lit("\n"))
+    return F.split(F.btrim(single), "\n")
 
 
 def masked(line: Column) -> Column:
@@ -53,33 +62,28 @@ def masked(line: Column) -> Column:
 
 
 def lines(docs: DataFrame) -> DataFrame:
-    """doc_id, part, place, same, needed, leaf, content: the distinct lines of each text that can recur.
+    """doc_id, same, needed, leaf, content, masked: the distinct lines of each text that can recur.
 
-    ``part`` marks the text, ``place`` the line among its distinct lines, ``same`` the line word for word, ``needed`` how many
-    documents make that recur (null: none do), ``content`` the masked line and ``leaf`` its path (null: no template).
+    ``same`` marks the line word for word, ``needed`` says how many documents make that recur (null: none do), ``content`` marks
+    the masked line and ``leaf`` its path (null: no template).
     """
     distinct = docs.where(F.col("doc_id").isNotNull()).select(
-        "doc_id", F.xxhash64("text").alias("part"), F.posexplode(F.array_distinct(tidy_lines(F.col("text")))).alias("place", "line")
+        "doc_id", F.explode(F.array_distinct(tidy_lines(F.col("text")))).alias("line")
     )
-    size, line = F.length("line"), F.col("line")
+    line, size = F.col("line"), F.length("line")
     n_tokens = size - F.length(F.replace(line, F.lit(" "), F.lit(""))) + 1
-    known = distinct.select(
-        "doc_id",
-        "part",
-        "place",
-        "line",
-        F.when(size >= LONG_CHARS, 2).when(size >= SHORT_CHARS, MIN_DOCS).alias("needed"),
-        F.when(n_tokens >= MIN_TOKENS, n_tokens).alias("n_tokens"),
-    ).where(F.col("needed").isNotNull() | F.col("n_tokens").isNotNull())
-    templated = F.col("n_tokens").isNotNull()
-    return known.withColumn("masked", masked(line)).select(
+    # no line under this length can recur; the filter looks at nothing else, so that nothing is computed twice
+    known = distinct.where(size >= min(SHORT_CHARS, 2 * MIN_TOKENS - 1)).select(
+        "doc_id", "line", n_tokens.alias("n_tokens"), masked(line).alias("masked")
+    )
+    in_tree = F.col("n_tokens") >= MIN_TOKENS
+    return known.select(
         "doc_id",
-        "part",
-        "place",
         F.xxhash64("line").alias("same"),
-        "needed",
-        F.when(templated, F.xxhash64("n_tokens", F.substring_index("masked", " ", DEPTH))).alias("leaf"),
-        F.when(templated, F.xxhash64("masked", F.lit(1))).alias("content"),
+        F.when(size >= LONG_CHARS, 2).when(size >= SHORT_CHARS, MIN_DOCS).alias("needed"),
+        F.when(in_tree, F.xxhash64("n_tokens", F.substring_index("masked", " ", DEPTH))).alias("leaf"),
+        F.when(in_tree, F.xxhash64("masked", F.lit(1))).alias("content"),
+        "masked",
     )
 
 
@@ -95,12 +99,20 @@ def repeated(found: DataFrame) -> DataFrame:
 
 
 def templated(docs: DataFrame, found: DataFrame) -> DataFrame:
-    """doc_id, same: the lines of recurring templates, but for those of each one's first document."""
-    in_tree = found.where(F.col("leaf").isNotNull())
-    busy = in_tree.groupBy("leaf").agg(F.count("*").alias("n"), F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"))
-    busy = busy.where((F.col("n") >= MIN_DOCS) & (F.col("lo") < F.col("hi")))
-    shared = checkpoint(in_tree.join(busy.select("leaf"), "leaf", "left_semi"))
-    templates = _templates(_contents(docs, shared))
+    """doc_id, same: the lines of recurring templates, but for those of each one's first document.
+
+    The texts are read a second time for the lines of busy leaves, as that costs less than carrying every line along. Leaves are
+    numbers of eight bytes; up to ``BROADCAST_LEAVES`` of them go to the tasks, more than that meet the lines in a shuffle.
+    """
+    busy = found.where(F.col("leaf").isNotNull()).groupBy("leaf").agg(
+        F.count("*").alias("n"), F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")
+    )
+    busy = checkpoint(busy.where((F.col("n") >= MIN_DOCS) & (F.col("lo") < F.col("hi"))).select("leaf"))
+    leaves = F.broadcast(busy) if busy.count() <= BROADCAST_LEAVES else busy
+    shared = checkpoint(lines(docs).drop("needed").join(leaves, "leaf", "left_semi"))
+    contents = shared.groupBy("leaf", "content").agg(F.countDistinct("doc_id").alias("n_docs"))
+    texts = shared.groupBy("leaf", "content").agg(F.min("masked").alias("line"))
+    templates = checkpoint(_templates(contents.join(texts, ["leaf", "content"])))
     members = shared.join(templates, ["leaf", "content"]).select("doc_id", "same", "leaf", "template")
     recurring = (
         members.groupBy("leaf", "template")
@@ -111,33 +123,16 @@ def templated(docs: DataFrame, found: DataFrame) -> DataFrame:
     return members.join(recurring, ["leaf", "template"]).where(F.col("doc_id") > F.col("first")).select("doc_id", "same")
 
 
-def _contents(docs: DataFrame, shared: DataFrame) -> DataFrame:
-    """leaf, content, n_docs, line: the distinct masked lines of shared leaves, fetched from one text that has each."""
-    groups = shared.groupBy("leaf", "content").agg(
-        F.countDistinct("doc_id").alias("n_docs"), F.min(F.struct("doc_id", "part", "place")).alias("at")
-    )
-    wanted = groups.groupBy("at.doc_id", "at.part").agg(
-        F.collect_list(F.struct(F.col("at.place").alias("place"), "leaf", "content", "n_docs")).alias("wanted")
-    )
-    texts = docs.select("doc_id", F.xxhash64("text").alias("part"), "text").join(wanted, ["doc_id", "part"])
-    return (
-        texts.dropDuplicates(["doc_id", "part"])
-        .select(F.array_distinct(tidy_lines(F.col("text"))).alias("lines"), F.explode("wanted").alias("w"))
-        .select("w.leaf", "w.content", "w.n_docs", masked(F.get("lines", F.col("w.place"))).alias("line"))
-    )
-
-
 def _templates(contents: DataFrame) -> DataFrame:
     """leaf, content, template of the lines that have enough constants; a template is a checksum of its constants and their places."""
-    tokens = contents.select("leaf", "content", "n_docs", F.posexplode(F.split("line", " ")).alias("at", "token"))
+    with_size = contents.withColumn("behind", F.size(F.split("line", " ")) - DEPTH)
+    tokens = with_size.select("leaf", "content", "n_docs", "behind", F.posexplode(F.split("line", " ")).alias("at", "token"))
     behind = tokens.where((F.col("at") >= DEPTH) & (F.col("token") != FIELD))
     constants = behind.groupBy("leaf", "at", "token").agg(F.sum("n_docs").alias("support")).where(F.col("support") >= MIN_DOCS)
-    sizes = contents.select("content", (F.size(F.split("line", " ")) - DEPTH).alias("behind"))
     return (
         behind.join(constants.select("leaf", "at", "token"), ["leaf", "at", "token"])
-        .groupBy("leaf", "content")
+        .groupBy("leaf", "content", "behind")
         .agg(F.count("*").alias("constant"), F.bit_xor(F.xxhash64("at", "token")).alias("template"))
-        .join(sizes, "content")
         .where(F.col("constant") >= SIMILARITY * F.col("behind"))
         .select("leaf", "content", "template")
     )
@@ -145,7 +140,7 @@ def _templates(contents: DataFrame) -> DataFrame:
 
 def recurring(docs: DataFrame) -> DataFrame:
     """doc_id, dropped: the hashes (``same``) of the lines that a document loses, for documents that lose any."""
-    found = checkpoint(lines(docs))
+    found = checkpoint(lines(docs).drop("content", "masked"))
     return repeated(found).union(templated(docs, found)).groupBy("doc_id").agg(F.collect_set("same").alias("dropped"))
 
 
