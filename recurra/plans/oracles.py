@@ -523,6 +523,9 @@ _TAILS: dict[str, str] = {
           OR regexp_matches(tenant_id, 'customer#0+.*[37]$', 'i'))""",
     "tenant_search_literal": """SELECT * FROM status
         WHERE contains(lower(company_name), 'r#00000001') OR contains(lower(tenant_id), 'r#00000001')""",
+    "tenant_search_indexed": r"""SELECT * FROM status WHERE
+        regexp_matches(company_name, 'customer#0+\d*12[37]$|^tnt_0*\d0{3}$|mer#000000011', 'i')
+          OR regexp_matches(tenant_id, 'customer#0+\d*12[37]$|^tnt_0*\d0{3}$|mer#000000011', 'i')""",
     "tenant_page": f"""SELECT tenant_id, company_name, {_capital("plan")} AS plan,
         {_inr("(CASE WHEN latest_mrr > 0 THEN CAST(latest_mrr AS DOUBLE) ELSE avg_monthly_mrr END)")} AS mrr,
         active_months, {_inr("estimated_ltv")} AS ltv, status,

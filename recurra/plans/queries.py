@@ -26,7 +26,7 @@ from recurra.operators import (
     validation,
 )
 from recurra.plans import marts
-from recurra.sources import event_store, files, fixtures
+from recurra.sources import event_store, files, fixtures, name_index
 from recurra.sources.scratch import shared_path
 from recurra.streaming import jobs, messages
 
@@ -34,6 +34,7 @@ SCOPED_TENANT = "TNT_0000000007"
 TREND_TENANT = "TNT_0000000001"
 SEARCH = "customer#0+.*[37]$"
 LITERAL_SEARCH = "r#00000001"
+INDEXED_SEARCH = r"customer#0+\d*12[37]$|^tnt_0*\d0{3}$|mer#000000011"
 UNSOLD_PLAN = "retired"
 UNREADABLE_EVERY = 7
 SAMPLE_SIZE = 5_000
@@ -197,6 +198,11 @@ def _mv_refresh(b: Billing) -> DataFrame:
     return marts.read_monthly_revenue(b.spark, path).select(*schemas.MONTHLY_REVENUE.names)
 
 
+def _tenant_search_indexed(b: Billing) -> DataFrame:
+    """The tenant list stored with its trigram index, and searched there."""
+    return name_index.build(b.status, shared_path(b.spark, "name-index")).search(INDEXED_SEARCH)
+
+
 # --- streams ----------------------------------------------------------------
 
 
@@ -466,6 +472,7 @@ QUERIES: dict[str, Callable[[Billing], DataFrame]] = {
     "tenant_portfolio": lambda b: _rounded(portfolio.tenant_portfolio(b.status), 2, "avg_ltv", "arpu"),
     "tenant_search": lambda b: portfolio.tenant_search(b.status, SEARCH, "Starter"),
     "tenant_search_literal": lambda b: portfolio.tenant_search(b.status, LITERAL_SEARCH, literal=True),
+    "tenant_search_indexed": _tenant_search_indexed,
     "tenant_page": lambda b: portfolio.tenant_page(portfolio.tenant_search(b.status, plan="growth"), page=2),
     "dataset_inventory": lambda b: inventory.dataset_inventory(b.events, b.rejected, b.ltv, b.retention),
     "tenant_scoped_mrr": lambda b: access.tenant_scope(b.mrr, SCOPED_TENANT),
