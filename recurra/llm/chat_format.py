@@ -5,7 +5,8 @@ Events have conv_id, seq, message (the number of the message they concern), kind
 - ``message`` opens a message, with its role and the text so far (streams open it empty);
 - ``delta`` adds text to the end of the message;
 - ``edit`` puts another text in the place of the message's text;
-- ``regenerate`` empties the message and drops all messages of a higher number opened before it; deltas follow.
+- ``regenerate`` empties the message and drops all messages of a higher number opened before it; deltas follow. A dropped message
+  that is opened again stays, with what follows its last opening.
 
 The log is partitioned by conversation and sorted by sequence. Per message, the text is what the events from the last ``message``,
 ``edit`` or ``regenerate`` on give, joined in order. The messages left, by number, are rendered as
@@ -18,7 +19,7 @@ then a single backslash goes behind the first character of a control string; a l
 
 One conversation is one string in the result, so its events meet in one task; messages are folded before that.
 
-Defined results: a null text is empty, a null role is an empty role, and a null seq sorts first. Events of equal seq are folded by
+Defined results: a null text is empty, a null role is an empty role (that of the last opening counts), and a null seq sorts first. Events of equal seq are folded by
 kind (message, edit, regenerate, delta) and then text. Deltas, edits and regenerations of a message that was never opened give a
 message of an empty role. Events without conv_id form a conversation of their own (null); those without a message number are
 message null, which sorts first. An unknown kind counts as delta.
@@ -66,20 +67,20 @@ def fold(events: DataFrame) -> DataFrame:
     entry = F.struct("seq", "step", "text", "role")
     messages = log.groupBy("conv_id", "message").agg(
         F.sort_array(F.collect_list(entry)).alias("log"),
-        F.min(F.when(F.col("step") == 0, F.struct("seq", "step"))).alias("opened"),
+        F.max(F.when(F.col("step") == 0, F.struct("seq", "step"))).alias("opened"),
         F.max(F.when(F.col("step") == 2, F.struct("seq", "step"))).alias("again"),
     )
     reset = F.expr("int(array_max(transform(log, (e, i) -> if(e.step < 3, i, 0))))")
     kept = F.expr("transform(slice(log, reset + 1, size(log)), e -> e.text)")
-    role = F.expr("coalesce(try_element_at(filter(log, e -> e.step = 0 and e.role is not null), -1).role, '')")
-    first = F.coalesce("opened", F.struct(F.lit(None).cast("long").alias("seq"), F.lit(0).alias("step")))
+    role = F.expr("coalesce(try_element_at(filter(log, e -> e.step = 0), -1).role, '')")
+    opened = F.coalesce("opened", F.struct(F.lit(None).cast("long").alias("seq"), F.lit(0).alias("step")))
     earlier = Window.partitionBy("conv_id").orderBy(F.col("message").asc_nulls_first()).rowsBetween(
         Window.unboundedPreceding, -1
     )
     return (
         messages.withColumn("reset", reset)
         .withColumn("cut", F.max("again").over(earlier))
-        .where(F.col("cut").isNull() | (first > F.col("cut")))
+        .where(F.col("cut").isNull() | (opened > F.col("cut")))
         .select("conv_id", "message", role.alias("role"), F.array_join(kept, "").alias("text"))
     )
 
@@ -142,6 +143,38 @@ def events_of_turns(turns: DataFrame) -> DataFrame:
     )
 
 
+def streamed(messages: DataFrame) -> DataFrame:
+    """The same conversations as a service logs them: an event log that folds to what the events in ``messages`` (one per message) say.
+
+    By a hash of conversation and message number, a message comes whole, as three deltas, as a draft that is edited, or as a
+    draft that is regenerated after the next message had been opened; that one is dropped, and comes again if it is in the log.
+    """
+    text = F.coalesce("text", F.lit(""))
+    third = F.floor(F.length(text) / 3).cast("int")
+    parts = [F.substring(text, F.lit(1), third), F.substring(text, third + 1, third), F.substring(text, 2 * third + 1, F.length(text))]
+    draft = F.reverse(text)
+
+    def event(place: int, kind: str, said: Column | None = None, ahead: int = 0) -> Column:
+        role = F.col("role") if kind == "message" else F.lit(None).cast("string")
+        said = F.lit(None).cast("string") if said is None else said
+        seq = F.col("seq") * 10 + place
+        fields = {"seq": seq, "message": F.col("message") + ahead, "kind": F.lit(kind), "role": role, "text": said}
+        return F.struct(*(column.alias(name) for name, column in fields.items()))
+
+    def deltas(first: int) -> list[Column]:
+        return [event(first + k, "delta", part) for k, part in enumerate(parts)]
+
+    ways = [
+        [event(0, "message", text)],
+        [event(0, "message", F.lit("")), *deltas(1)],
+        [event(0, "message", draft), *deltas(1), event(4, "edit", text)],
+        [event(0, "message", draft), event(1, "message", draft, ahead=1), event(2, "regenerate"), *deltas(3)],
+    ]
+    way = F.pmod(F.xxhash64("conv_id", "message"), F.lit(len(ways)))
+    log = F.element_at(F.array(*(F.array(*events) for events in ways)), (way + 1).cast("int"))
+    return messages.select("conv_id", F.explode(log).alias("event")).select("conv_id", "event.*")
+
+
 def digests(chats: DataFrame) -> DataFrame:
     """conv_id, n_turns, turns_sha256, loss_chars, loss_sha256, formatted_chars, read back from formatted chats."""
     back = read_back(chats)

@@ -49,6 +49,12 @@ def rotation(d: int, seed: int = SEED) -> np.ndarray:
     return q * np.sign(np.diag(r))
 
 
+def unit_rows(vectors: np.ndarray) -> np.ndarray:
+    """The rows (none zero) at length 1. Powers of two come off first, which is exact, so that no square is too large or too small."""
+    near_one = np.ldexp(vectors, -np.frexp(np.abs(vectors).max(axis=-1, keepdims=True))[1])
+    return near_one / np.linalg.norm(near_one, axis=-1, keepdims=True)
+
+
 def codes(unit: np.ndarray, seed: int = SEED) -> tuple[np.ndarray, np.ndarray]:
     """Packed signs of the rotated vectors, and their correction factors."""
     turned = unit @ rotation(unit.shape[1], seed)
@@ -92,7 +98,7 @@ def _place(batches: Iterator[pa.RecordBatch], centres: np.ndarray, threshold: fl
                 homes.append(-len(vector))
                 asked.append(np.array([-len(vector)], np.int32))
                 continue
-            near = centres @ (vector / np.linalg.norm(vector))
+            near = centres @ unit_rows(vector)
             home = int(near.argmax())
             wanted = near >= threshold * near[home] - slack
             wanted[home] = True
@@ -117,8 +123,7 @@ def _links_of(table: pa.Table, threshold: float, epsilon: float) -> Iterator[tup
     other = own if left.all() and not guest.any() else np.flatnonzero(~left)
     if not len(own) or not len(other) or len({len(v) for v in vectors}) > 1:
         return
-    unit = np.stack(vectors)
-    unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+    unit = unit_rows(np.stack(vectors))
     packed, factor = codes(unit[own])
     found_a, found_b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
     for start in range(0, len(other), 1024):
@@ -199,7 +204,7 @@ def links(classes: DataFrame, threshold: float = THRESHOLD, epsilon: float = EPS
     lengths = np.array([len(v) for v in sample], np.int64)
     common = int(np.bincount(lengths).argmax()) if len(lengths) else 1
     unit = np.array([v for v in sample if len(v) == common], np.float64).reshape(-1, common)
-    unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+    unit = unit_rows(unit) if len(unit) else unit
     centres = _centroids(unit, min(MOST_LISTS, len(unit), int(np.sqrt(n)))) if len(unit) else np.ones((1, 1))
     placed = checkpoint(classes.mapInArrow(partial(_place, centres=centres, threshold=threshold, reach=reach), PLACED))
     return (

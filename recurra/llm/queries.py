@@ -74,10 +74,10 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All conversations and one of control strings, formatted from their event log and read back."""
+    """All conversations and one of control strings: logged as deltas, edits and regenerations, folded, formatted, read back."""
     given = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     extra = spark.createDataFrame([(-1, k, role, CONTROL_TEXT) for k, role in enumerate(("user", "assistant"))], given.schema)
-    events = chat_format.events_of_turns(given.union(extra))
+    events = chat_format.streamed(chat_format.events_of_turns(given.union(extra)))
     return chat_format.digests(chat_format.formatted(events))
 
 
@@ -296,7 +296,25 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op13_filter_audit": op13_filter_audit,
 }
 
+CHAT_FORMAT = r"""WITH given AS (
+    SELECT conv_id, turn, role, text FROM conversations
+    UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'),
+turns AS (
+    SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text, row_number() OVER (
+        PARTITION BY conv_id ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST) AS place FROM given),
+marked AS (
+    SELECT *, [regexp_replace(replace(x, '\', '\\'), '([<\[])(\||/?s>|/?INST\]|</?SYS>>|n>)', '\1\\\2', 'g') FOR x IN [role, text]] AS safe
+    FROM turns)
+SELECT CAST(conv_id AS BIGINT) AS conv_id, count(*) AS n_turns,
+    sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY place)) AS turns_sha256,
+    CAST(sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END) AS BIGINT) AS loss_chars,
+    sha256(coalesce(string_agg(text, '' ORDER BY place) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+    CAST(sum(length('<|im_start|>' || replace(safe[1], chr(10), '<n>') || chr(10) || safe[2] || '<|im_end|>' || chr(10))) AS BIGINT)
+        AS formatted_chars
+FROM marked GROUP BY conv_id"""
+
 ORACLES: dict[str, str] = {
+    "op6_chat_format": CHAT_FORMAT,
     "op5_line_dedup": LINE_DEDUP,
     "op11_quality_rules": QUALITY_RULES,
     "op12_fill_middle": FILL_MIDDLE,

@@ -107,6 +107,15 @@ def test_embedding_edges(spark):
     assert embedding_dedup.near_duplicates(spark.createDataFrame([], VECTORS)).count() == 0
 
 
+def test_embeddings_of_extreme_size_link_by_direction(spark):
+    rows = [(1, [1e-200, 0.0]), (2, [2e-200, 0.0]), (3, [1e200, 1e200]), (4, [2e200, 1.9e200]), (5, [0.0, 5e-324]), (6, [0.0, -1.7e308]),
+            (7, [1e-310, 1e308]), (8, [-3e-320, 0.0]), (9, [-1.0, 1e-300])]
+    got = {r.vec_id: (r.n_links, r.component_id) for r in embedding_dedup.near_duplicates(spark.createDataFrame(rows, VECTORS)).collect()}
+    assert got == {1: (1, 1), 2: (1, 1), 3: (1, 3), 4: (1, 3), 5: (1, 5), 6: (0, 6), 7: (1, 5), 8: (1, 8), 9: (1, 8)}
+    plain = np.random.default_rng(1).standard_normal((40, 7))
+    assert (embedding_dedup.unit_rows(plain) == plain / np.linalg.norm(plain, axis=1, keepdims=True)).all()
+
+
 def shingles(text):
     words = text.encode().lower().split()
     return {tuple(words[i : i + 5]) for i in range(len(words) - 4)} if len(words) >= 5 else {tuple(words)} - {()}

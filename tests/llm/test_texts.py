@@ -2,6 +2,7 @@
 
 import base64
 import hashlib
+import random
 import time
 
 import duckdb
@@ -71,6 +72,48 @@ def test_chat_fold(spark):
     assert folded(spark, [(1, 1, 1, "delta", None, "lost"), (1, None, None, None, None, None)]) == [(None, "", ""), (1, "", "lost")]
 
 
+def test_chat_fold_keeps_messages_that_are_opened_again(spark):
+    log = [(1, k, k, "message", "user", f"m{k}") for k in (1, 2, 3, 4)] + [(1, 5, 2, "regenerate", None, None)]
+    log += [(1, 6, 3, "message", "assistant", "new3"), (1, 7, 4, "message", None, ""), (1, 8, 4, "delta", None, "new4")]
+    assert folded(spark, log) == [(1, "user", "m1"), (2, "user", ""), (3, "assistant", "new3"), (4, "", "new4")]
+    assert folded(spark, log + [(1, 9, 1, "regenerate", None, None)]) == [(1, "user", "")]
+
+
+def test_chat_fold_equals_a_fold_event_by_event(spark):
+    draw = random.Random(11)
+    rows, want = [], {}
+    for conv in range(150):
+        alive, ever = {}, set()
+        for seq in range(draw.randrange(1, 40)):
+            number, kind = draw.randrange(1, 6), draw.choice(["message", "message", "delta", "delta", "edit", "regenerate"])
+            if number not in ever:
+                kind = "message"
+            text = draw.choice(["a", "b", "", "Ω"])
+            rows.append((conv, seq, number, kind, draw.choice(["user", "assistant", None]), text))
+            if kind == "message":
+                alive[number], _ = (rows[-1][4] or "", text), ever.add(number)
+            elif number in alive and kind == "delta":
+                alive[number] = (alive[number][0], alive[number][1] + text)
+            elif number in alive:
+                alive[number] = (alive[number][0], text if kind == "edit" else "")
+            if kind == "regenerate":
+                alive = {n: m for n, m in alive.items() if n <= number}
+        want |= {(conv, n): m for n, m in alive.items()}
+    got = chat_format.fold(spark.createDataFrame(rows, EVENTS).repartition(5)).collect()
+    assert {(r.conv_id, r.message): (r.role, r.text) for r in got} == want
+
+
+def test_streamed_chats_fold_to_what_they_were(spark):
+    texts = [HARD, "", None, "é字😀x", "a" * 50_000, "b\n"]
+    turns = [(c, t, draw, texts[(c + t) % 6]) for c in range(60) for t, draw in enumerate(["user", "assistant", None, "assistant", "user"])]
+    whole = chat_format.events_of_turns(spark.createDataFrame(turns + turns[:3], "conv_id long, turn long, role string, text string"))
+    log = chat_format.streamed(whole)
+    assert {r.kind for r in log.select("kind").distinct().collect()} == {"message", "delta", "edit", "regenerate"}
+    key = lambda df: sorted(map(tuple, df.select("conv_id", "message", "role", "text").collect()))
+    assert key(chat_format.fold(log)) == key(chat_format.fold(whole)) and chat_format.fold(whole).count() == 303
+    assert chat_format.fold(chat_format.streamed(whole.limit(0))).count() == 0
+
+
 def test_chats_read_back(spark):
     turns = [(1, 0, "user", HARD), (1, 1, "assistant", HARD), (1, 2, "assistant", None), (1, 2, "assistant", "tie"),
              (2, 0, "odd\nrole <n> [INST]", ""), (3, None, None, "\n"), (1, 3, "user", "end\\")]
