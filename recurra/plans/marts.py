@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from recurra.functions import month_start
 from recurra.operators import churn, cohorts, revenue
 from recurra.schemas import MONTHLY_REVENUE
-from recurra.sources import event_store, files
+from recurra.sources import event_store, files, invoice_store
 
 MARTS = [
     "mrr_by_tenant_month",
@@ -85,6 +85,23 @@ def refresh_monthly_revenue(
     affected = invoices.withColumn("billing_month", month).join(
         F.broadcast(touched), "billing_month", "left_semi"
     )
+    _replace_months(affected, tenants, touched, path)
+
+
+def refresh_from_store(
+    spark: SparkSession, invoice_path: str, tenants: DataFrame, touched: DataFrame, path: str
+) -> None:
+    """Recompute the ``touched`` months from stored invoices, of which no other month is read.
+
+    ``touched`` (billing_month) is what :func:`~recurra.sources.invoice_store.apply_changes` returns. Invoices without
+    a date belong to no month that could be refreshed.
+    """
+    dated = touched.filter(F.col("billing_month") > F.lit(invoice_store.UNDATED).cast("date"))
+    affected = invoice_store.in_months(invoice_store.read_invoices(spark, invoice_path), dated)
+    _replace_months(affected, tenants, dated, path)
+
+
+def _replace_months(affected: DataFrame, tenants: DataFrame, touched: DataFrame, path: str) -> None:
     view = revenue.monthly_revenue_view(affected.drop("billing_month"), tenants)
     markers = touched.select("billing_month", F.lit(0).cast("long").alias("invoice_count"))
     write_monthly_revenue(view.unionByName(markers, allowMissingColumns=True), path, dynamic=True)

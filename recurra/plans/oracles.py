@@ -615,6 +615,7 @@ _TAILS: dict[str, str] = {
         ]
     ),
     "mv_refresh": "SELECT * FROM revenue_view",
+    "mv_refresh_stored": "SELECT * FROM revenue_view",
     "json_event_roundtrip": """SELECT event_id, tenant_id, event_type, plan, amount, currency, event_date, status
         FROM clean""",
     "stream_ingest": """SELECT *, CAST(event_date AS DATE) AS event_date_only,

@@ -26,7 +26,7 @@ from recurra.operators import (
     validation,
 )
 from recurra.plans import marts
-from recurra.sources import event_store, files, fixtures, name_index
+from recurra.sources import event_store, files, fixtures, invoice_store, name_index
 from recurra.sources.scratch import shared_path
 from recurra.streaming import jobs, messages
 
@@ -44,6 +44,7 @@ BROKEN_EVERY = 199
 RETURNED = "source_key % 97 = 0 AND source_key % 61 <> 0 AND source_key % 67 <> 0 AND source_key % 71 <> 0 AND source_key % 199 <> 0"
 RETURNED_DAYS = 40
 LATE_DAYS = 45
+REVISED_EVERY = 101
 
 
 class Billing:
@@ -198,6 +199,20 @@ def _mv_refresh(b: Billing) -> DataFrame:
     return marts.read_monthly_revenue(b.spark, path).select(*schemas.MONTHLY_REVENUE.names)
 
 
+def _mv_refresh_stored(b: Billing) -> DataFrame:
+    """Store invoices of which some are older versions in another month, apply the present ones, refresh the months they touch."""
+    root = shared_path(b.spark, "invoices")
+    revised = F.crc32(F.col("invoice_id").cast("binary")) % REVISED_EVERY == 0
+    older = F.when(revised, F.add_months("billing_date", 1)).otherwise(F.col("billing_date"))
+    first = b.invoices.withColumns({"billing_date": older, "amount": F.when(revised, F.lit(1)).otherwise(F.col("amount")).cast("long")})
+    first = first.select(*(F.col(f.name).cast(f.dataType) for f in b.invoices.schema))
+    invoice_store.write_invoices(first, f"{root}/table")
+    marts.write_monthly_revenue(revenue.monthly_revenue_view(first, b.tenants), f"{root}/view")
+    touched = invoice_store.apply_changes(b.spark, b.invoices.filter(revised), f"{root}/table")
+    marts.refresh_from_store(b.spark, f"{root}/table", b.tenants, touched, f"{root}/view")
+    return marts.read_monthly_revenue(b.spark, f"{root}/view").select(*schemas.MONTHLY_REVENUE.names)
+
+
 def _tenant_search_indexed(b: Billing) -> DataFrame:
     """The tenant list stored with its trigram index, and searched there."""
     return name_index.build(b.status, shared_path(b.spark, "name-index")).search(INDEXED_SEARCH)
@@ -499,6 +514,7 @@ QUERIES: dict[str, Callable[[Billing], DataFrame]] = {
     "partitioned_roundtrip": _partitioned_roundtrip,
     "marts_roundtrip": _marts_roundtrip,
     "mv_refresh": _mv_refresh,
+    "mv_refresh_stored": _mv_refresh_stored,
     "json_event_roundtrip": _json_event_roundtrip,
     # streams
     "stream_ingest": _stream_ingest,
