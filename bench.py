@@ -14,6 +14,7 @@ import time
 from functools import partial
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 from recurra.operators import churn, cohorts, revenue, validation
 from recurra.plans import marts
@@ -61,6 +62,12 @@ def stored_queries(spark, sf_dir):
     def from_csv():
         return files.read_events_csv(spark, f"{root}/events-csv")
 
+    def checked_csv():
+        return validation.enrich_events(validation.split_events(from_csv())[0])
+
+    def total_of_months(rows):
+        return revenue.paid_months(rows).agg(F.sum("mrr").alias("mrr_total"))
+
     def events():
         return event_store.read_clean(spark, f"{root}/billing_events")
 
@@ -69,6 +76,8 @@ def stored_queries(spark, sf_dir):
 
     return {
         "stored_csv_mrr_total": lambda: revenue.paid_total(from_csv()),
+        "stored_csv_mrr_total_by_month": lambda: total_of_months(checked_csv()),
+        "stored_mrr_total_by_month": lambda: total_of_months(events()),
         "stored_csv_rejection_summary": lambda: validation.rejection_summary(
             validation.split_events(from_csv())[1]
         ),

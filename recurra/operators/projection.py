@@ -136,3 +136,10 @@ def plan_scenarios(
         F.col("churn_rate_pct").alias("monthly_churn_pct"),
         F.lit(int(months)).alias("months"),
     ).select(*SCENARIOS.names)
+
+
+def seeded_scenarios(
+    mrr: DataFrame, tenants: DataFrame, plan_churn: DataFrame, growth_pct: float = 4.0, months: int = 12
+) -> tuple[DataFrame, DataFrame]:
+    """``(valid, rejected)`` scenarios per plan: seeds pass the same ranges as scenarios that users enter."""
+    return split_scenarios(plan_scenarios(mrr, tenants, plan_churn, growth_pct, months))

@@ -124,6 +124,12 @@ def paid_total(events: DataFrame) -> DataFrame:
     return events.filter(F.col("event_type") == PAID).agg(F.sum("amount").alias("mrr_total"))
 
 
+def paid_months(events: DataFrame) -> DataFrame:
+    """Paid amounts per tenant and month, whatever the status; their sum is :func:`paid_total`."""
+    paid = events.filter(F.col("event_type") == PAID)
+    return paid.groupBy("tenant_id", "event_year", "event_month").agg(F.sum("amount").alias("mrr"))
+
+
 def monthly_revenue_view(invoices: DataFrame, tenants: DataFrame) -> DataFrame:
     """Paid invoices per tenant and billing month, with the tenant's attributes.
 

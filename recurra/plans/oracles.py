@@ -434,6 +434,9 @@ _TAILS: dict[str, str] = {
     "global_mrr_last6": "SELECT * FROM global_mrr ORDER BY period DESC LIMIT 6",
     "tenant_ltv": "SELECT * FROM ltv",
     "top_tenants_ltv": "SELECT * FROM ltv ORDER BY estimated_ltv DESC, tenant_id LIMIT 10",
+    "paid_months": """SELECT tenant_id, CAST(year(event_date) AS INTEGER) AS event_year,
+        CAST(month(event_date) AS INTEGER) AS event_month, CAST(sum(amount) AS BIGINT) AS mrr
+        FROM clean WHERE event_type = 'invoice_paid' GROUP BY ALL""",
     "mrr_total": """SELECT CAST(sum(m) AS BIGINT) AS mrr_total FROM (
         SELECT tenant_id, date_trunc('month', event_date) AS month, sum(amount) AS m FROM clean
         WHERE event_type = 'invoice_paid' GROUP BY ALL)""",

@@ -350,7 +350,7 @@ def _rounded(df: DataFrame, digits: int, *names: str) -> DataFrame:
 
 
 def _plan_scenarios(b: Billing) -> DataFrame:
-    return projection.plan_scenarios(b.mrr, b.tenants, churn.plan_churn(b.churn))
+    return projection.seeded_scenarios(b.mrr, b.tenants, churn.plan_churn(b.churn))[0]
 
 
 def _dq_duplicate_keys(b: Billing) -> DataFrame:
@@ -445,6 +445,7 @@ QUERIES: dict[str, Callable[[Billing], DataFrame]] = {
     "global_mrr_last6": lambda b: revenue.last_months(b.global_mrr),
     "tenant_ltv": lambda b: b.ltv,
     "top_tenants_ltv": lambda b: revenue.top_by_ltv(b.ltv),
+    "paid_months": lambda b: revenue.paid_months(b.events),
     "mrr_total": lambda b: revenue.paid_total(b.clean),
     "latest_tenant_mrr": lambda b: revenue.latest_tenant_mrr(b.mrr),
     "mv_monthly_revenue": lambda b: b.view,

@@ -73,3 +73,17 @@ def test_range_checks_name_the_first_bad_input(spark):
     assert [r["scenario_error"].split()[0] for r in collected(rejected, "scenario_id")] == [
         "starting_tenants", "monthly_arpu", "monthly_growth_pct", "monthly_churn_pct", "months", "starting_tenants",
     ]
+
+
+def test_seeded_scenarios_pass_the_same_ranges(spark):
+    mrr = spark.createDataFrame(
+        [("A", 2024, 1, "2024-01", 500), ("B", 2024, 1, "2024-01", 90_000_000)],
+        "tenant_id string, event_year int, event_month int, period string, mrr long",
+    )
+    dim = spark.createDataFrame([("A", "growth"), ("B", "starter")], "tenant_id string, plan string")
+    rates = spark.createDataFrame([("Growth", 2.0), ("Starter", 1.0)], "plan string, churn_rate_pct double")
+    valid, rejected = projection.seeded_scenarios(mrr, dim, rates)
+    assert [r.scenario_id for r in valid.collect()] == ["Growth"]
+    assert [(r.scenario_id, r.scenario_error) for r in rejected.collect()] == [("Starter", "monthly_arpu out of range")]
+    valid, rejected = projection.seeded_scenarios(mrr, dim, rates, growth_pct=900.0)
+    assert valid.count() == 0 and rejected.count() == 2
