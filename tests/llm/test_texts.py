@@ -4,6 +4,7 @@ import base64
 import hashlib
 import random
 import time
+from html.parser import HTMLParser
 
 import duckdb
 import numpy as np
@@ -258,6 +259,86 @@ def test_page_text_of_broken_pages(page):
     assert html_extract.main_text(page) in ("", "<", "<p")
 
 
+@pytest.mark.parametrize(
+    "inner, want",
+    [
+        (f"<p>{PARAGRAPH}</p><p>See <a href=x>this long linked sentence of text</a>.</p>", f"{PARAGRAPH}\nSee this long linked sentence of text."),
+        (f'<p class="share-price">{PARAGRAPH}</p><p class="adaptive">So.</p>', f"{PARAGRAPH}\nSo."),
+        (f'<div class="social-share-buttons">{PARAGRAPH}</div><p>So.</p><div id="cookieBanner">{PARAGRAPH}</div>', "So."),
+        (f'<p>a <b title="x>bold</b> c</p><p>{PARAGRAPH}</p>', f"a bold c\n{PARAGRAPH}"),
+        (f'<p>a <b title="x>bold</b> <a href="y">c</a></p><p>{PARAGRAPH}</p>', f"a bold c\n{PARAGRAPH}"),
+        (f'<p>a <b title="1 > 0">bold</b></p><p>{PARAGRAPH}</p>', f"a bold\n{PARAGRAPH}"),
+        (f"<p>By Kim</p><p>At noon</p><p>{PARAGRAPH}</p><p>So</p><p>it is</p>", f"By Kim\nAt noon\n{PARAGRAPH}\nSo\nit is"),
+        (f"<p>{PARAGRAPH}</p><p>The end</p><ul><li><a href=1>One</a><li><a href=2>Two</a></ul>", f"{PARAGRAPH}\nThe end"),
+        (f'<p>{PARAGRAPH}</p><article class="comment"><p>{PARAGRAPH}</p></article>', PARAGRAPH),
+        ("<p>One</p><p>Two</p>", "One\nTwo"),
+        (f"<p>1 < 2 &lt; 3 &#{'0' * 5000}65; &#{'9' * 5000}; &<b>amp;</b></p>", "1 < 2 < 3 A \ufffd &amp;"),
+        (f"<span><p>{PARAGRAPH}</span></i></p><p>So</p>", f"{PARAGRAPH}\nSo"),
+    ],
+)
+def test_page_text_inside_an_article(inner, want):
+    assert html_extract.main_text(f"<body>{MENU}<p>{PARAGRAPH}</p><main>{inner}</main><p>{PARAGRAPH}</p>{FOOTER}</body>") == want
+
+
+def test_short_blocks_of_an_article_take_the_label_of_their_neighbours():
+    found = list(html_extract.blocks(f"<main><p>Short</p><p>{PARAGRAPH}</p><p>End</p><ul><li><a>One</a><li>x</ul></main>"))
+    labels = html_extract.first_pass(found)
+    assert labels == [None, True, None, False, None]
+    assert html_extract.second_pass(found, labels) == [True, True, True, False, False]
+
+
+@pytest.mark.parametrize(
+    "page",
+    ["<a " * 330_000, '<b a="x>' * 120_000, "<i>" * 30_000 + "</i>" * 30_000, "<b><div>" + "<i>" * 30_000 + "</b>" * 30_000, "<" * 500_000,
+     "<!--" * 250_000, "<a " + 'class="' * 140_000 + ">", "<a =" + " " * 900_000 + ">", "<script>" * 100_000],
+)
+def test_page_text_is_linear_in_broken_markup(page):
+    start = time.monotonic()
+    html_extract.main_text(page)
+    assert time.monotonic() - start < 10
+
+
+class ArticleText(HTMLParser):
+    """The blocks inside article elements, by the parser of the standard library."""
+
+    def __init__(self):
+        super().__init__()
+        self.depth, self.blocks = 0, [""]
+
+    def handle_starttag(self, tag, attrs):
+        self.depth += tag == "article"
+        if tag in html_extract.BLOCKS:
+            self.blocks.append("")
+
+    def handle_endtag(self, tag):
+        self.depth -= tag == "article"
+        if tag in html_extract.BLOCKS:
+            self.blocks.append("")
+
+    def handle_data(self, data):
+        if self.depth:
+            self.blocks[-1] += data
+
+
+def test_article_text_of_all_pages(spark):
+    path = "/root/testdata/sf0.01"
+    want = {}
+    for page_id, page in duckdb.sql(f"SELECT page_id, html FROM '{path}/pages.parquet'").fetchall():
+        parser = ArticleText()
+        parser.feed(page or "")
+        parser.close()
+        want[page_id] = "\n".join(filter(None, (" ".join(block.split()) for block in parser.blocks)))
+    got = {r.page_id: (r.text, r.n_chars) for r in queries.op8_html_extract(spark, path).collect()}
+    assert got == {page_id: (text, len(text)) for page_id, text in want.items()} and any(want.values())
+
+
+def test_pages_empty_and_repeated(spark):
+    layout = "page_id long, url string, html string"
+    assert html_extract.extracted(spark.createDataFrame([], layout)).count() == 0
+    rows = [(1, "u", f"<p>{PARAGRAPH}")] * 2
+    assert [r.text for r in html_extract.extracted(spark.createDataFrame(rows, layout)).collect()] == [PARAGRAPH] * 2
+
+
 def test_page_columns(spark):
     pages = spark.createDataFrame([(1, "u", None), (2, None, f"<p>{PARAGRAPH}é😀")], "page_id long, url string, html string")
     got = {r.page_id: (r.text, r.n_chars) for r in html_extract.extracted(pages.withColumn("text", F.lit("clash"))).collect()}
