@@ -41,7 +41,8 @@ def op1_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     given = _table(spark, sf_dir, "embeddings").where(exact_topk.usable("embedding"))
     vectors = given.select("vec_id", exact_topk.scaled("embedding", SCALE).alias("vector"))
     found = exact_topk.top_k(vectors, vectors.where(F.col("vec_id") % QUERY_EVERY == 0), TOP)
-    return found.withColumn("score", F.col("score").cast("long"))
+    most = 2**63 - 1
+    return found.withColumn("score", F.greatest(F.lit(-most), F.least(F.lit(most), F.col("score"))).cast("long"))
 
 
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -313,7 +314,60 @@ SELECT CAST(conv_id AS BIGINT) AS conv_id, count(*) AS n_turns,
         AS formatted_chars
 FROM marked GROUP BY conv_id"""
 
+EXACT_TOPK = """WITH usable AS (
+    SELECT vec_id, min([CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding]) AS v
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND len(embedding) > 0 AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+    GROUP BY vec_id),
+scored AS (
+    SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(CAST(q.v AS DOUBLE[]), CAST(c.v AS DOUBLE[])) AS BIGINT) AS score
+    FROM usable q JOIN usable c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id AND len(q.v) = len(c.v))
+SELECT query_id, CAST(place AS INTEGER) AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS place FROM scored) WHERE place <= 5"""
+
+EMBEDDING_DEDUP = """WITH RECURSIVE usable AS (
+    SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+    WHERE len(embedding) > 0 AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+      AND len([x FOR x IN embedding IF x <> 0]) > 0),
+links AS (
+    SELECT a.vec_id AS a, b.vec_id AS b FROM usable a JOIN usable b ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+    WHERE list_cosine_similarity(a.v, b.v) >= 0.95),
+reached AS (
+    SELECT vec_id AS node, vec_id AS least FROM embeddings
+    UNION SELECT links.b, reached.least FROM reached JOIN links ON links.a = reached.node WHERE reached.least < links.b),
+smallest AS (SELECT node, min(least) AS component_id FROM reached GROUP BY node),
+counted AS (SELECT a, count(*) AS n_links FROM links GROUP BY a)
+SELECT vec_id, coalesce(n_links, 0) AS n_links, component_id, vec_id = component_id AS kept
+FROM embeddings JOIN smallest ON node = vec_id LEFT JOIN counted ON a = vec_id"""
+
+MINHASH_DEDUP = r"""WITH RECURSIVE worded AS (
+    SELECT doc_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+    FROM documents),
+shingled AS (
+    SELECT DISTINCT doc_id, unnest([array_to_string(w[i:i + 4], ' ') FOR i IN range(1, greatest(len(w) - 4, 1) + 1)]) AS s
+    FROM worded WHERE len(w) > 0),
+sized AS (SELECT doc_id, count(*) AS n FROM shingled GROUP BY doc_id),
+common AS (
+    SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS both_hold
+    FROM (SELECT * FROM shingled JOIN sized USING (doc_id)) x JOIN (SELECT * FROM shingled JOIN sized USING (doc_id)) y
+      ON x.s = y.s AND x.doc_id < y.doc_id AND 100 * least(x.n, y.n) >= 75 * greatest(x.n, y.n)
+    GROUP BY x.doc_id, y.doc_id),
+found AS (
+    SELECT a, b FROM common JOIN sized x ON x.doc_id = a JOIN sized y ON y.doc_id = b
+    WHERE 100 * both_hold >= 75 * (x.n + y.n - both_hold)),
+links AS (SELECT a, b FROM found UNION ALL SELECT b, a FROM found),
+reached AS (
+    SELECT doc_id AS node, doc_id AS least FROM documents
+    UNION SELECT links.b, reached.least FROM reached JOIN links ON links.a = reached.node WHERE reached.least < links.b),
+smallest AS (SELECT node, min(least) AS component_id FROM reached GROUP BY node)
+SELECT d.doc_id, coalesce(n, 0) AS n_shingles, component_id, d.doc_id = component_id AS kept
+FROM documents d JOIN smallest ON node = d.doc_id LEFT JOIN sized ON sized.doc_id = d.doc_id"""
+
 ORACLES: dict[str, str] = {
+    "op1_exact_topk": EXACT_TOPK,
+    "op3_embedding_dedup": EMBEDDING_DEDUP,
+    "op10_minhash_dedup": MINHASH_DEDUP,
     "op6_chat_format": CHAT_FORMAT,
     "op5_line_dedup": LINE_DEDUP,
     "op11_quality_rules": QUALITY_RULES,

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from recurra.llm import embedding_dedup, exact_topk, minhash_dedup
 from recurra.llm.shared import components
+from tests.compare import difference, duck
 
 VECTORS = "vec_id long, vector array<double>"
 
@@ -52,6 +53,33 @@ def test_top_k_equals_brute_force(spark, shard_rows, block):
         assert best == {k + 1: (i, scores[i]) for k, i in enumerate(order)}
 
 
+@pytest.mark.parametrize("size", [300, 2**27, 2**31, 2**62])
+@pytest.mark.parametrize("shard_rows", [10_000, 40])
+def test_top_k_of_integers_is_exact(spark, size, shard_rows):
+    draw = np.random.default_rng(5)
+    points = [[int(x) for x in p] for p in draw.integers(-size, size, (200, 3))]
+    points[:60] = [[size - 1 - i % 4, size, i % 3] for i in range(60)]  # scores that differ in the last digit only
+    vectors = spark.createDataFrame(list(enumerate(points)), "vec_id long, vector array<long>")
+    got = {}
+    for r in exact_topk.top_k(vectors, vectors.where("vec_id % 20 = 0"), 5, shard_rows, 7, 8).collect():
+        got.setdefault(r.query_id, {})[r["rank"]] = (r.vec_id, int(r.score))
+    assert len(got) == 10
+    for q, best in got.items():
+        scores = sorted((-sum(a * b for a, b in zip(points[q], p)), i) for i, p in enumerate(points) if i != q)[:5]
+        assert best == {k + 1: (i, min(10**38 - 1, -less)) for k, (less, i) in enumerate(scores)}
+
+
+def test_scaled_components_round_down(spark):
+    vectors = spark.createDataFrame([(1, [0.5, -0.001, 0.0, 1 / 256])], VECTORS)
+    assert vectors.select(exact_topk.scaled("vector", 256).alias("v")).first().v == [128, -1, 0, 1]
+
+
+@pytest.mark.parametrize("name", ["op1_exact_topk", "op3_embedding_dedup", "op10_minhash_dedup"])
+def test_queries_equal_their_sql(spark, name):
+    path = "/root/testdata/sf0.01"
+    assert difference(spark, duck(path), name, path) == ""
+
+
 def test_top_k_edges(spark):
     rows = [(1, [1.0, 0.0]), (1, [1.0, 0.0]), (2, None), (3, []), (4, [float("nan"), 1.0]), (5, [None, 1.0]), (6, [2.0, 0.0]),
             (7, [1.0, 2.0, 3.0]), (None, [1.0, 1.0]), (8, [float("inf"), 1.0])]
