@@ -645,6 +645,7 @@ _TAILS: dict[str, str] = {
         GROUP BY 1, 2 HAVING CAST(event_date AS DATE) + INTERVAL 1 DAY
           <= (SELECT max(event_date) FROM stream_clean) - INTERVAL 1 DAY""",
 }
+_TAILS["stream_daily_late"] = _TAILS["stream_daily"]
 _TAILS["stream_mart_refresh"] = f"""SELECT *, CAST(0 AS BIGINT) AS invoice_count, CAST(NULL AS DOUBLE) AS avg_seats,
     {_period("event_year", "event_month")} AS period, lag(mrr) OVER w AS prev_mrr,
     CASE WHEN lag(mrr) OVER w <> 0 THEN round((mrr - lag(mrr) OVER w) / lag(mrr) OVER w * 100, 2) END AS mrr_growth_pct,

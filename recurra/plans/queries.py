@@ -28,7 +28,7 @@ from recurra.operators import (
 from recurra.plans import marts
 from recurra.sources import event_store, files, fixtures, invoice_store, name_index
 from recurra.sources.scratch import shared_path
-from recurra.streaming import jobs, messages
+from recurra.streaming import daily, jobs, messages
 
 SCOPED_TENANT = "TNT_0000000007"
 TREND_TENANT = "TNT_0000000001"
@@ -39,6 +39,7 @@ UNSOLD_PLAN = "retired"
 UNREADABLE_EVERY = 7
 SAMPLE_SIZE = 5_000
 REDELIVERED_EVERY = 50
+LATE_BATCHES = 3
 BROKEN_EVERY = 199
 # Every 97th clean message comes again with a date in another month.
 RETURNED = "source_key % 97 = 0 AND source_key % 61 <> 0 AND source_key % 67 <> 0 AND source_key % 71 <> 0 AND source_key % 199 <> 0"
@@ -221,8 +222,11 @@ def _tenant_search_indexed(b: Billing) -> DataFrame:
 # --- streams ----------------------------------------------------------------
 
 
-def _message_stream(b: Billing, returned: bool = True) -> DataFrame:
-    """The ``events`` table as a stream of JSON texts, some twice, some broken, and some again with a date in another month."""
+def _message_stream(b: Billing, returned: bool = True, parts: int | None = None) -> DataFrame:
+    """The ``events`` table as a stream of JSON texts, some twice, some broken, and some again with a date in another month.
+
+    With ``parts`` the texts are dealt to that many files whatever their dates, and each is a micro-batch of its own.
+    """
     path = shared_path(b.spark, "messages")
     key = F.col("source_key")
     copies = F.when(key % REDELIVERED_EVERY == 0, 2).otherwise(1)
@@ -235,8 +239,10 @@ def _message_stream(b: Billing, returned: bool = True) -> DataFrame:
         sent.withColumn("copy", F.explode(F.sequence(F.lit(1), copies)))
         .select(F.when(key % BROKEN_EVERY == 0, broken).otherwise(messages.message_text()).alias("value"))
     )
+    if parts:
+        texts = texts.repartition(parts)
     texts.write.mode("overwrite").text(path)
-    return messages.decode_messages(messages.read_message_files(b.spark, path))
+    return messages.decode_messages(messages.read_message_files(b.spark, path, parts and 1))
 
 
 def _finish(writer: DataStreamWriter, root: str) -> None:
@@ -289,6 +295,14 @@ def _stream_daily(b: Billing) -> DataFrame:
     return _to_parquet(b, "stream-daily", jobs.daily_counts(clean))
 
 
+def _stream_daily_late(b: Billing) -> DataFrame:
+    """The closed days of batches that each hold events of all days, so that most come late."""
+    root = shared_path(b.spark, "stream-daily-late")
+    clean = validation.split_events(_message_stream(b, returned=False, parts=LATE_BATCHES))[0].drop("raw_message")
+    _finish(daily.count_days(clean, f"{root}/days"), root)
+    return daily.closed_days(b.spark, f"{root}/days").select("day", "event_type", "events")
+
+
 def _stream_mart_refresh(b: Billing) -> DataFrame:
     root = shared_path(b.spark, "stream-marts")
     _finish(jobs.refresh_marts(_message_stream(b), f"{root}/events", f"{root}/mrr"), root)
@@ -524,6 +538,7 @@ QUERIES: dict[str, Callable[[Billing], DataFrame]] = {
     "stream_conflicts": _stream_conflicts,
     "stream_mrr": _stream_mrr,
     "stream_daily": _stream_daily,
+    "stream_daily_late": _stream_daily_late,
     "stream_mart_refresh": _stream_mart_refresh,
 }
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from recurra.operators.revenue import monthly_mrr
 from recurra.operators.validation import enrich_events, split_events
 from recurra.sources import event_store
-from recurra.streaming import jobs, messages
+from recurra.streaming import daily, jobs, messages
 
 
 def message(n, date, kind="invoice_paid", tenant="T1", amount=100, **more):
@@ -103,6 +103,39 @@ def test_late_rows_are_dropped_from_the_third_batch_on(spark, topic, tmp_path):
     assert got == {"2024-01-01": 1, "2024-01-10": 1}
 
 
+def test_late_rows_are_kept_and_counts_reconcile(spark, topic, tmp_path):
+    topic("a", [message(1, "2024-01-01T05:00:00"), message(2, "2024-01-02T00:00:00")])
+    topic("b", [message(3, "2024-01-10T05:00:00"), message(4, "2024-01-01T23:00:00")])  # closed by nothing before this batch
+    topic("c", [message(5, "2024-01-01T06:00:00"), message(6, "2024-01-08T23:59:59"), message(7, "2024-01-09T00:00:00")])
+    topic("d", [message(8, "2024-01-12T00:00:00", kind="subscription_cancelled"), message(9, "2024-01-01T06:00:00")])
+    stream, path = clean(spark, topic, 1), str(tmp_path / "days")
+    run(daily.count_days(stream, path), tmp_path / "c")
+    got = {str(r.day): (r.on_time, r.late, r.events) for r in daily.closed_days(spark, path).collect()}
+    assert got == {
+        "2024-01-01": (2, 2, 4), "2024-01-02": (1, 0, 1), "2024-01-08": (0, 1, 1), "2024-01-09": (1, 0, 1), "2024-01-10": (1, 0, 1),
+    }
+    late = {(r.event_id, str(r.day), r.batch) for r in daily.late_rows(spark, path, stream.schema).collect()}
+    assert late == {("EVT_5", "2024-01-01", 2), ("EVT_6", "2024-01-08", 2), ("EVT_9", "2024-01-01", 3)}
+
+
+def test_a_replayed_batch_of_daily_counts_changes_nothing(spark, topic, tmp_path):
+    topic("a", [message(1, "2024-01-01T05:00:00"), message(2, "2024-01-20T00:00:00")])
+    topic("b", [message(3, "2024-01-01T05:00:00"), message(4, "2024-01-20T00:00:00")])
+    stream, path = clean(spark, topic, 1), str(tmp_path / "days")
+    run(daily.count_days(stream, path), tmp_path / "c")
+    before = sorted(map(tuple, daily.closed_days(spark, path).collect()))
+    last = tmp_path / "c" / "commits" / "1"
+    os.replace(last, tmp_path / "uncommitted")  # as if the second batch had never been committed
+    os.replace(tmp_path / "c" / "commits" / ".1.crc", tmp_path / "uncommitted.crc")
+    run(daily.count_days(clean(spark, topic, 1), path), tmp_path / "c")
+    assert sorted(map(tuple, daily.closed_days(spark, path).collect())) == before
+    assert before[0][2:] == (1, 1, 2) and daily.late_rows(spark, path, stream.schema).count() == 1
+
+
+def test_days_without_a_stream(spark, tmp_path):
+    assert daily.closed_days(spark, str(tmp_path / "none")).count() == 0
+
+
 def test_running_totals_equal_the_batch_job(spark, topic, tmp_path):
     for batch in range(3):
         topic(f"f{batch}", [
