@@ -19,7 +19,8 @@ One hash function gives every shingle a value; a document keeps its ``SKETCH`` s
 No list, family or group is capped: what doesn't fit one block goes to several, in different tasks.
 
 Defined results: a null or blank text has no shingles, is linked with nothing and is kept; a row without doc_id
-has no component and is kept; rows that repeat a doc_id are one document for the links, and each gets its row.
+has no component and is kept. Equal rows are one document for the links, and each gets its row. Rows that share a doc_id but not the
+text are documents of their own, each linked by its own text; both carry the same doc_id.
 """
 
 from __future__ import annotations
@@ -53,12 +54,17 @@ def _sets(batch: pa.RecordBatch, width: int) -> Iterator[np.ndarray]:
     return shingle_hashes(word_hashes(distinct)[index], offsets, width)
 
 
+def _digest(values: np.ndarray) -> bytes | None:
+    """128 bits of a whole set, None if it is empty."""
+    return hashlib.blake2b(values.tobytes(), digest_size=16).digest() if len(values) else None
+
+
 def _sketches(batches: Iterator[pa.RecordBatch], width: int, k: int) -> Iterator[pa.RecordBatch]:
     for batch in chunks(batches, "text"):
         sizes, digests, sketches = [], [], []
         for values in _sets(batch, width):
             sizes.append(len(values))
-            digests.append(hashlib.blake2b(values.tobytes(), digest_size=16).digest() if len(values) else None)
+            digests.append(_digest(values))
             sketches.append(values[:k])
         yield pa.RecordBatch.from_arrays(
             [
@@ -74,9 +80,10 @@ def _sketches(batches: Iterator[pa.RecordBatch], width: int, k: int) -> Iterator
 def _full_sets(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
     for batch in chunks(batches, "text"):
         rest = [name for name in batch.schema.names if name != "text"]
+        sets = list(_sets(batch, width))
+        columns = [pa.array([_digest(values) for values in sets], pa.binary()), pa.array(sets, pa.list_(pa.int64()))]
         yield pa.RecordBatch.from_arrays(
-            [*(batch.column(name) for name in rest), pa.array(list(_sets(batch, width)), pa.list_(pa.int64()))],
-            [*rest, "shingles"],
+            [*(batch.column(name) for name in rest), *columns], [*rest, "digest", "shingles"]
         )
 
 
@@ -87,11 +94,12 @@ def sketches(docs: DataFrame, width: int = SHINGLE, k: int = SKETCH) -> DataFram
 
 
 def _classes(sketched: DataFrame) -> DataFrame:
-    """One row per distinct shingle set: its digest and its smallest doc_id."""
+    """One row per distinct shingle set: its digest, its smallest doc_id and a number that no other set has (once it is written)."""
     return (
         sketched.where(F.col("digest").isNotNull() & F.col("doc_id").isNotNull())
         .groupBy("digest")
-        .agg(F.min("doc_id").alias("rep"))
+        .agg(F.min("doc_id").alias("doc_id"))
+        .withColumn("rep", F.monotonically_increasing_id())
     )
 
 
@@ -224,7 +232,7 @@ def _units(families: DataFrame, reps: DataFrame) -> DataFrame:
     its shingles ask for, and each two blocks (and each block with itself) are a unit. Units of small families share a
     bucket, which is what one group of the verification reads.
     """
-    sized = families.join(reps.select("rep", "n_shingles"), "rep")
+    sized = families.join(reps.select("rep", "doc_id", "digest", "n_shingles"), "rep")
     totals = sized.groupBy("family").agg(F.sum("n_shingles").alias("total"))
     parted = sized.join(totals, "family").withColumn("blocks", F.ceil(F.col("total") / BLOCK_SHINGLES).cast("int"))
     own = parted.withColumn("own", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
@@ -232,6 +240,8 @@ def _units(families: DataFrame, reps: DataFrame) -> DataFrame:
     small, large = F.least("own", "other"), F.greatest("own", "other")
     return met.select(
         "rep",
+        "doc_id",
+        "digest",
         "family",
         F.xxhash64("family", small, large).alias("unit"),
         (F.col("own") > F.col("other")).cast("int").alias("side"),
@@ -246,12 +256,13 @@ def links(docs: DataFrame, reps: DataFrame, width: int = SHINGLE, k: int = SKETC
     work = units.where(~F.col("large")).select("family", "total").distinct().agg(F.sum("total")).first()[0] or 0
     buckets = int(work // BLOCK_SHINGLES) + 1
     bucket = F.when(F.col("large"), F.col("unit")).otherwise(F.pmod("family", F.lit(buckets)))
-    narrow = docs.select(F.col("doc_id").cast("long").alias("rep"), F.col("text").cast("string").alias("text"))
-    texts = narrow.join(units.select("rep").distinct(), "rep").dropDuplicates(["rep"])
-    sets = texts.mapInArrow(partial(_full_sets, width=width), "rep long, shingles array<long>")
+    narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    texts = narrow.join(units.select("doc_id").distinct(), "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
+    sets = texts.mapInArrow(partial(_full_sets, width=width), "doc_id long, digest binary, shingles array<long>")
+    # a set that comes twice, from texts of one doc_id that differ in blanks or case, only links with itself
     return (
         units.withColumn("bucket", bucket)
-        .join(sets, "rep")
+        .join(sets, ["doc_id", "digest"])
         .select("bucket", "unit", "rep", "side", "shingles")
         .groupBy("bucket")
         .applyInArrow(lambda table: _verify(table, k, pct), "a long, b long")
@@ -266,15 +277,16 @@ def near_duplicates(docs: DataFrame, width: int = SHINGLE, k: int = SKETCH, pct:
     classes = checkpoint(_classes(sketched))
     reps = checkpoint(
         sketched.where(F.col("digest").isNotNull())
-        .withColumnRenamed("doc_id", "rep")
-        .join(classes, ["rep", "digest"], "left_semi")
-        .select("rep", "n_shingles", "sketch")
+        .join(classes, ["doc_id", "digest"])
+        .select("rep", "doc_id", "digest", "n_shingles", "sketch")
         .dropDuplicates(["rep"])
     )
     joined = components(links(docs, reps, width, k, pct)).toDF("rep", "component")
-    of_class = classes.join(joined, "rep", "left").select(
-        "digest", F.coalesce("component", "rep").alias("component")
-    )
+    linked = joined.union(joined.select("component", "component").distinct())
+    members = classes.select("rep", "doc_id").join(linked, "rep")
+    least = members.groupBy("component").agg(F.min("doc_id").alias("least"))
+    ends = linked.join(least, "component").select("rep", "least")
+    of_class = classes.join(ends, "rep", "left").select("digest", F.coalesce("least", "doc_id").alias("component"))
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
     return (
         sketched.select("doc_id", "n_shingles", "digest")
@@ -289,7 +301,10 @@ def near_duplicates(docs: DataFrame, width: int = SHINGLE, k: int = SKETCH, pct:
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """The documents without all but one of each near-duplicate group, whole rows; a repeated doc_id counts once."""
+    """The documents without all but one of each near-duplicate group, whole rows; equal texts of one doc_id count once.
+
+    A doc_id with several texts keeps them all where one of them is kept.
+    """
     kept = near_duplicates(docs).where(F.col("kept") & F.col("doc_id").isNotNull()).select("doc_id").distinct()
     unnamed = docs.where(F.col("doc_id").isNull())
-    return docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"]).unionByName(unnamed)
+    return docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"]).unionByName(unnamed)

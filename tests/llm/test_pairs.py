@@ -176,6 +176,18 @@ def test_near_duplicates_equal_brute_force(spark, monkeypatch, short, block):
     }
 
 
+def test_texts_that_share_a_doc_id_keep_their_own_links(spark):
+    a, b, c = (" ".join(f"{name}{i}" for i in range(60)) for name in "abc")
+    rows = [(7, a), (7, b), (9, a + " more"), (3, b + " more"), (12, c), (12, c.upper()), (12, c + " x"), (5, "one two"), (5, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted((r.doc_id, r.n_shingles, r.component_id, r.kept) for r in minhash_dedup.near_duplicates(docs).collect())
+    assert got == [
+        (3, 57, 3, True), (5, 0, 5, True), (5, 1, 5, True), (7, 56, 3, False), (7, 56, 7, True), (9, 57, 7, False),
+        (12, 56, 12, True), (12, 56, 12, True), (12, 57, 12, True),
+    ]
+    assert {r.text for r in minhash_dedup.keep_one(docs).where("doc_id = 5").collect()} == {"one two", None}
+
+
 def test_near_duplicate_edges(spark):
     same = "one two three four five six"
     rows = [(1, None), (2, ""), (3, " \t\n"), (4, same), (5, f"  {same.upper()}\n"), (None, same), (5, same), (6, "é " * 3)]
