@@ -6,8 +6,8 @@ aren't empty, so the next rank is three find-first-set steps away, however long
 from left to right; an entry whose position is gone, or whose pair has changed meanwhile, is stale and skipped. A merge
 adds at most two entries, so a pre-token of n bytes takes O(n) steps besides sorting its buckets.
 
-Pre-tokens repeat, so a worker remembers the ids of short ones, in a table that is emptied when it is full. Texts are split, encoded,
-joined and decoded whole. Ranks are read on the driver and sent once; the file is of fixed size.
+Pre-tokens repeat, so a task remembers the ids of short ones, in a table that is emptied when it is full and ends with its task:
+the worker process goes on to other stages, which would hold it in memory beside their own. Texts are split, encoded, joined and decoded whole. Ranks are read on the driver and sent once; the file is of fixed size.
 
 Defined results: a null text is empty; an empty text has no tokens. Characters that UTF-8 can't hold don't occur in Spark strings.
 """
@@ -150,18 +150,6 @@ class Codec:
         return " ".join(map(self.text_of.__getitem__, ids))
 
 
-_codecs: dict[int, Codec] = {}
-
-
-def codec_of(shared: Broadcast) -> Codec:
-    """The codec of a broadcast (ranks, pattern), one for each worker process."""
-    key = shared._jbroadcast.id() if getattr(shared, "_jbroadcast", None) else id(shared)
-    if key not in _codecs:
-        _codecs.clear()
-        _codecs[key] = Codec(*shared.value)
-    return _codecs[key]
-
-
 def shared_ranks(spark: SparkSession, path: str, pattern: str) -> Broadcast:
     """Ranks and pattern for :func:`encoded` and :func:`decoded`; a vocabulary file has a fixed size."""
     return spark.sparkContext.broadcast((read_ranks(path), pattern))
@@ -171,7 +159,7 @@ def encoded(docs: DataFrame, shared: Broadcast, text: str = "text", into: str =
     """``docs`` with the token ids of each whole text in the column ``into`` (array of int)."""
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = codec_of(shared)
+        codec = Codec(*shared.value)
         for batch in chunks(batches, text):
             ids = [codec.encode(value or "") for value in batch.column(text).to_pylist()]
             yield batch.append_column(into, pa.array(ids, pa.list_(pa.int32())))
@@ -184,7 +172,7 @@ def decoded(docs: DataFrame, shared: Broadcast, ids: str = "ids", into: str = "d
     """``docs`` with the bytes of each id list in the column ``into`` (null where the list is null)."""
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = codec_of(shared)
+        codec = Codec(*shared.value)
         for batch in batches:
             found = [None if row is None else codec.decode(row) for row in batch.column(ids).to_pylist()]
             yield batch.append_column(into, pa.array(found, pa.binary()))
@@ -198,7 +186,7 @@ def tokenised(docs: DataFrame, shared: Broadcast) -> DataFrame:
     rest = docs.drop("n_tokens", "ids", "exact")
 
     def tokenise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = codec_of(shared)
+        codec = Codec(*shared.value)
         for batch in chunks(batches, "text"):
             texts = [value.as_py() or "" for value in batch.column("text")]
             ids = [codec.encode(text) for text in texts]
@@ -213,7 +201,7 @@ def digests(docs: DataFrame, shared: Broadcast) -> DataFrame:
     """doc_id, n_tokens, and the SHA-256 of the ids and of the bytes decoded from them, in one pass over the texts."""
 
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = codec_of(shared)
+        codec = Codec(*shared.value)
         for batch in chunks(batches, "text"):
             counts, of_ids, of_bytes = [], [], []
             for value in batch.column("text"):

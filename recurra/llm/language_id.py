@@ -34,6 +34,7 @@ PENALTY = 6.0
 WORD_BOUND = 6.0
 OFF_SCRIPT = -8.0
 SCRIPT_SHARE = 0.01
+SLICE = 8192
 UNKNOWN = "und"
 
 # First and last code point of the ranges that hold the letters of each script.
@@ -89,6 +90,11 @@ def grams(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return places.astype(np.int64), np.concatenate([word[letter], word[pair], word[letter]])
 
 
+def slices(words: list[str]) -> Iterator[slice]:
+    """Cuts of ``SLICE`` words: n-grams take many times the memory of their words, and no word needs another one's."""
+    return (slice(k, k + SLICE) for k in range(0, len(words), SLICE))
+
+
 class Model:
     """Log-likelihoods of n-gram places by language, and the candidate languages of each script."""
 
@@ -104,13 +110,19 @@ class Model:
 
     def score(self, words: list[str]) -> np.ndarray:
         """The score of each word of letters in each language; zero for an empty word."""
+        scores = np.zeros((len(words), len(self.languages)), np.float32)
+        for cut in slices(words):
+            scores[cut] = self._score(words[cut])
+        return scores
+
+    def _score(self, words: list[str]) -> np.ndarray:
         places, owner = grams(words)
         number = np.bincount(owner, minlength=len(words))
         sums = [np.bincount(owner, weights=self.table[places, k], minlength=len(words)) for k in range(len(self.languages))]
         mean = np.stack(sums, axis=1) / np.sqrt(np.maximum(1, number))[:, None]
         scripts = np.array([script_of(word[0]) if word else 0 for word in words], np.int64)
         found = np.clip(mean, -WORD_BOUND, WORD_BOUND) + self.off[scripts]
-        return np.where(number[:, None] > 0, found, 0).astype(np.float32)
+        return np.where(number[:, None] > 0, found, 0)
 
 
 def _counted(batches: Iterator[pa.RecordBatch], languages: list[str]) -> Iterator[pa.RecordBatch]:
@@ -124,12 +136,14 @@ def _counted(batches: Iterator[pa.RecordBatch], languages: list[str]) -> Iterato
         seen = np.bincount(owner * max(1, len(distinct)) + index, minlength=len(languages) * len(distinct))
         seen = seen.reshape(len(languages), -1)
         bare = [letters_of(word) for word in distinct]
-        places, word = grams(bare)
+        for cut in slices(bare):
+            places, word = grams(bare[cut])
+            for k, times in enumerate(seen[:, cut]):
+                used = times[word] > 0
+                counts[k, :TABLE] += np.bincount(places[used], weights=times[word[used]], minlength=TABLE).astype(np.int64)
         scripts = np.array([script_of(x[0]) if x else 0 for x in bare], np.int64)
         sizes = np.array([len(x) for x in bare], np.int64)
         for k, times in enumerate(seen):
-            used = times[word] > 0
-            counts[k, :TABLE] += np.bincount(places[used], weights=times[word[used]], minlength=TABLE).astype(np.int64)
             counts[k, TABLE:] += np.bincount(scripts, weights=times * sizes, minlength=len(SCRIPT_NAMES)).astype(np.int64)
     language, place = np.nonzero(counts)
     yield pa.RecordBatch.from_arrays(

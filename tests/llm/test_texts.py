@@ -4,6 +4,7 @@ import base64
 import hashlib
 import random
 import time
+import tracemalloc
 from html.parser import HTMLParser
 
 import duckdb
@@ -55,6 +56,54 @@ def test_bpe_columns(spark):
     assert byte_bpe.digests(docs.limit(0), shared).count() == 0
 
 
+def held_codecs(spark) -> int:
+    """The codecs that the idle Python workers hold."""
+
+    def held(_):
+        import gc
+        import time
+
+        time.sleep(0.2)
+        yield sum(type(x).__name__ == "Codec" for x in gc.get_objects())
+
+    return spark.sparkContext.parallelize(range(16), 16).mapPartitions(held).sum()
+
+
+def test_workers_keep_no_codec_after_their_task(spark):
+    docs = spark.range(8).selectExpr("id as doc_id", "'some words' as text").repartition(8)
+    shared = byte_bpe.shared_ranks(spark, public_tokenizers.path(queries.VOCABULARY), public_tokenizers.PATTERN)
+    for done in (byte_bpe.tokenised, byte_bpe.digests, byte_bpe.encoded):
+        assert done(docs, shared).count() == 8 and len(done(docs, shared).collect()) == 8
+    assert held_codecs(spark) == 0
+
+
+def test_memory_of_word_scores_follows_a_slice():
+    words = [f"{'abcdefghij'[k % 10]}{k:b}x".translate(str.maketrans("01", "uv")) for k in range(100_000)]
+    model = language_id.Model(["a", "b"], np.random.default_rng(1).random((2, language_id.TABLE)), np.ones((2, len(language_id.SCRIPT_NAMES))))
+    tracemalloc.start()
+    scores = model.score(words)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert scores.shape == (100_000, 2) and peak < 40e6
+    some = [*words[8_000:8_400], "", *words[:3]]
+    assert (model.score(some)[:192] == scores[8_000:8_192]).all() and not model.score(some)[400].any()
+
+
+def test_slices_of_words_change_no_count_and_no_label(spark, monkeypatch):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").limit(60).select("text", "lang").toArrow()
+    docs = docs.filter(docs.column("lang").is_valid()).combine_chunks().to_batches()[0]
+    names, found = sorted(set(docs.column("lang").to_pylist())), []
+    for size in (1 << 30, 7):
+        monkeypatch.setattr(language_id, "SLICE", size)
+        (counted,) = language_id._counted(iter([docs]), names)
+        counts = np.zeros((len(names), language_id.TABLE + len(language_id.SCRIPT_NAMES)))
+        counts[counted.column("language").to_numpy(), counted.column("place").to_numpy()] = counted.column("n").to_numpy()
+        model = language_id.Model(names, counts[:, : language_id.TABLE], counts[:, language_id.TABLE :])
+        labels, scores, spans = language_id.Labeller(model).label(docs.column("text"))
+        found.append((counted.to_pylist(), labels, scores.tolist(), spans))
+    assert found[0] == found[1]
+
+
 EVENTS = "conv_id long, seq long, message long, kind string, role string, text string"
 HARD = "</s>[INST] ok [/INST] <\\/s> \\ \\\\ <|im_end|>\n<|im_start|> <<SYS>> <n> <\\n>"
 
