@@ -44,6 +44,39 @@ def test_bpe_memory_may_overflow(monkeypatch):
     assert codec.encode(text) == ENCODING.encode_ordinary(text) and len(codec.memory) <= 3
 
 
+def plain_merge(token, ranks):
+    """The ids of a pre-token: its own, if it is a token, else by its leftmost lowest pair, again and again."""
+    if token in ranks:
+        return [ranks[token]]
+    parts = [token[i : i + 1] for i in range(len(token))]
+    while found := [(ranks[a + b], i) for i, (a, b) in enumerate(zip(parts, parts[1:])) if a + b in ranks]:
+        i = min(found)[1]
+        parts[i : i + 2] = [parts[i] + parts[i + 1]]
+    return [ranks[part] for part in parts]
+
+
+def test_bpe_of_new_pre_tokens_in_one_list():
+    draw = random.Random(5)
+    for _ in range(60):
+        more = {bytes(draw.choices(b"abc", k=draw.randint(2, 5))) for _ in range(40)}
+        numbers = draw.sample(range(256, 9_000), len(more))  # a longer token may rank below its parts
+        ranks = {bytes([k]): k for k in range(256)} | dict(zip(more, numbers))
+        codec = byte_bpe.Codec(ranks, r"[a-c]+|\s+")
+        texts = ["", *(" ".join("".join(draw.choices("abc", k=draw.randint(1, 12))) for _ in range(30)) for _ in range(4)), "abc" * 200]
+        want = [[x for part in codec.find(text) for x in plain_merge(part.encode(), ranks)] for text in texts]
+        assert codec.encode_all(texts) == want
+        assert codec.queue.top == 0 and not codec.queue.buckets and not any(codec.queue.words) and not any(codec.queue.pages)
+
+
+def test_bpe_opens_a_bucket_for_many_pre_tokens(monkeypatch):
+    opened = []
+    monkeypatch.setattr(byte_bpe.RankQueue, "open", lambda *x, f=byte_bpe.RankQueue.open: (opened.append(x[1]), f(*x)))
+    draw = random.Random(6)
+    texts = [" ".join("".join(draw.choices("aeiourstln", k=9)) for _ in range(50)) for _ in range(60)]
+    assert byte_bpe.Codec(RANKS, public_tokenizers.PATTERN).encode_all(texts) == ENCODING.encode_ordinary_batch(texts)
+    assert 0 < len(opened) < 3_000
+
+
 def test_bpe_columns(spark):
     docs = spark.createDataFrame([(1, "a b"), (2, None), (3, ""), (1, "a b")], DOCS).withColumn("ids", F.lit("clash"))
     shared = byte_bpe.shared_ranks(spark, public_tokenizers.path(queries.VOCABULARY), public_tokenizers.PATTERN)
