@@ -9,6 +9,7 @@ from html.parser import HTMLParser
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 import tiktoken
@@ -92,14 +93,15 @@ def test_bpe_columns(spark):
 def held_codecs(spark) -> int:
     """The codecs that the idle Python workers hold."""
 
-    def held(_):
+    def held(batches):
         import gc
         import time
 
-        time.sleep(0.2)
-        yield sum(type(x).__name__ == "Codec" for x in gc.get_objects())
+        for batch in batches:
+            time.sleep(0.2)
+            yield pa.RecordBatch.from_pydict({"n": [sum(type(x).__name__ == "Codec" for x in gc.get_objects())]})
 
-    return spark.sparkContext.parallelize(range(16), 16).mapPartitions(held).sum()
+    return sum(row.n for row in spark.range(16).repartition(16).mapInArrow(held, "n long").collect())
 
 
 def test_workers_keep_no_codec_after_their_task(spark):
